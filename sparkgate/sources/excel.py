@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import io
 import re
+import sys
 import zipfile
 from collections.abc import Iterator
 from datetime import datetime, timedelta
@@ -16,6 +17,7 @@ from xml.etree import ElementTree
 
 import pandas as pd
 import pyspark.sql.functions as F
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -23,6 +25,9 @@ from sparkgate.errors import StorageReadError
 from sparkgate.functions.conform import conform
 from sparkgate.functions.names import is_workbook
 
+# Ship these functions with the job: executors need not have the package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 WORKBOOK_GLOB = "*.[xX][lL][sS][xX]"
 BATCH_ROWS = 10_000
 

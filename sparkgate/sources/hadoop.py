@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from typing import Any
 
 from pyspark.sql import SparkSession
@@ -37,3 +38,26 @@ def move(spark: SparkSession, source: str, destination: str) -> bool:
     _, destination_path = file_system(spark, destination)
     fs.mkdirs(destination_path.getParent())
     return fs.rename(source_path, destination_path)
+
+
+def write_text(spark: SparkSession, location: str, text: str) -> None:
+    """Write a small text file that appears whole or not at all; refuse to replace one."""
+    draft = f"{location}.{uuid.uuid4().hex}.draft"
+    fs, draft_path = file_system(spark, draft)
+    stream = fs.create(draft_path)
+    stream.write(bytearray(text, "utf-8"))
+    stream.close()
+    _, path = file_system(spark, location)
+    if fs.exists(path) or not fs.rename(draft_path, path):
+        fs.delete(draft_path, False)
+        raise FileExistsError(f"{location} exists already")
+
+
+def read_text(spark: SparkSession, location: str) -> str:
+    """Content of a small text file."""
+    fs, path = file_system(spark, location)
+    stream = fs.open(path)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()

@@ -2,21 +2,21 @@
 
 Layout under a table's path::
 
-    meta/          one JSON row: schema and partition columns
-    data/v=<n>/…   files written by version n, in partition folders if there are partition columns
-    log/v=<n>/     JSON rows, one per data folder that is live in version n
+    meta.json        schema and partition columns
+    data/v=<n>/…     files written by version n, in partition folders if there are any
+    log/v=<n>.json   row count of version n, and the data folders live in it
 
-A merge writes new folders only, then publishes them by writing its log folder; readers pin the
+A merge writes new folders only, then publishes them by adding its log file; readers pin the
 folders of one version, so they see a merge wholly or not at all. Only folders with overwritten
-rows are rewritten; rows with new keys are added beside what is there. Like the service this
-serves, it allows one writer at a time: a second writer of the same version fails on the log.
+rows are rewritten; rows with new keys are added beside what is there. Like the jobs it serves,
+it allows one writer at a time: a second writer of the same version fails on the log.
 """
 
 from __future__ import annotations
 
 import json
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
 from urllib.parse import unquote
 
 import pyspark.sql.functions as F
@@ -31,8 +31,6 @@ from sparkgate.sources import hadoop
 from sparkgate.sources.staging import StagingArea
 
 VERSION_COL = "v"
-_META_SCHEMA = "table_schema string, partition_cols array<string>"
-_LOG_SCHEMA = "dir string, version bigint, partition_values array<string>, rows bigint"
 _NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
@@ -56,7 +54,6 @@ class LiveFolder:
     dir: str
     version: int
     partition_values: tuple[str | None, ...]
-    rows: int
 
 
 @dataclass(frozen=True)
@@ -67,12 +64,9 @@ class Snapshot:
     schema: T.StructType
     partition_cols: tuple[str, ...]
     version: int
+    rows: int
     folders: tuple[LiveFolder, ...]
 
-    @property
-    def rows(self) -> int:
-        return sum(folder.rows for folder in self.folders)
-
     def read(
         self, spark: SparkSession, folders: Sequence[LiveFolder] | None = None
     ) -> DataFrame:
@@ -100,8 +94,12 @@ def _clean(path: str) -> str:
     return path.rstrip("/")
 
 
+def _log_file(path: str, version: int) -> str:
+    return f"{path}/log/{_version_name(version)}.json"
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
-    return hadoop.exists(spark, f"{_clean(path)}/log/{_version_name(0)}/_SUCCESS")
+    return hadoop.exists(spark, _log_file(_clean(path), 0))
 
 
 def create_table_if_not_exists(
@@ -116,42 +114,43 @@ def create_table_if_not_exists(
     if VERSION_COL in schema.fieldNames():
         raise SchemaError(f"column name {VERSION_COL!r} is taken by the table layout")
     path = _clean(path)
-    meta = spark.createDataFrame([(schema.json(), list(partition_cols))], _META_SCHEMA)
-    meta.coalesce(1).write.mode("overwrite").json(f"{path}/meta")
-    _publish(spark, path, 0, [])
+    meta = {"schema": schema.jsonValue(), "partition_cols": list(partition_cols)}
+    hadoop.remove(spark, f"{path}/meta.json")
+    hadoop.write_text(spark, f"{path}/meta.json", json.dumps(meta))
+    _publish(spark, path, 0, 0, [])
 
 
-def _publish(spark: SparkSession, path: str, version: int, folders: list[LiveFolder]) -> None:
-    rows = [(f.dir, f.version, list(f.partition_values), f.rows) for f in folders]
-    log = spark.createDataFrame(rows, _LOG_SCHEMA).coalesce(1)
-    log.write.mode("errorifexists").option("ignoreNullFields", "false").json(
-        f"{path}/log/{_version_name(version)}"
-    )
+def _publish(
+    spark: SparkSession, path: str, version: int, rows: int, folders: Sequence[LiveFolder]
+) -> None:
+    log = {"rows": rows, "folders": [asdict(folder) for folder in folders]}
+    hadoop.write_text(spark, _log_file(path, version), json.dumps(log))
 
 
 def get_table_version(spark: SparkSession, path: str) -> int:
     """Latest published version; each merge adds one."""
     path = _clean(path)
-    for name in reversed(hadoop.child_names(spark, f"{path}/log")):
-        if hadoop.exists(spark, f"{path}/log/{name}/_SUCCESS"):
-            return int(name.removeprefix("v="))
-    raise TableMergeError(f"no table at {path}")
+    names = [n for n in hadoop.child_names(spark, f"{path}/log") if n.endswith(".json")]
+    if not names:
+        raise TableMergeError(f"no table at {path}")
+    return int(names[-1].removeprefix("v=").removesuffix(".json"))
 
 
 def load_snapshot(spark: SparkSession, path: str, version: int | None = None) -> Snapshot:
     """The table's metadata as of a version, the latest by default."""
     path = _clean(path)
     version = get_table_version(spark, path) if version is None else version
-    meta = spark.read.schema(_META_SCHEMA).json(f"{path}/meta").first()
-    log = spark.read.schema(_LOG_SCHEMA).json(f"{path}/log/{_version_name(version)}").collect()
+    meta = json.loads(hadoop.read_text(spark, f"{path}/meta.json"))
+    log = json.loads(hadoop.read_text(spark, _log_file(path, version)))
     return Snapshot(
         path=path,
-        schema=T.StructType.fromJson(json.loads(meta["table_schema"])),
+        schema=T.StructType.fromJson(meta["schema"]),
         partition_cols=tuple(meta["partition_cols"]),
         version=version,
+        rows=log["rows"],
         folders=tuple(
-            LiveFolder(r["dir"], r["version"], tuple(r["partition_values"] or ()), r["rows"])
-            for r in log
+            LiveFolder(f["dir"], f["version"], tuple(f["partition_values"]))
+            for f in log["folders"]
         ),
     )
 
@@ -199,7 +198,7 @@ def _merge(
     source_rows = _checked_count(source, snapshot.schema, keys)
     version = snapshot.version + 1
     if source_rows == 0:
-        _publish(spark, snapshot.path, version, list(snapshot.folders))
+        _publish(spark, snapshot.path, version, snapshot.rows, snapshot.folders)
         return MergeResult(0, 0, snapshot.rows)
 
     rewritten = _folders_to_rewrite(spark, snapshot, source, keys)
@@ -208,24 +207,24 @@ def _merge(
         old = snapshot.read(spark, rewritten).drop(VERSION_COL)
         merged = unmatched_rows(old, source, keys).unionByName(source)
 
-    location = f"{snapshot.path}/data/{_version_name(version)}"
     # Rebalancing gives each partition few files, and splits one that is far too large.
     merged = merged.hint("rebalance", *snapshot.partition_cols)
-    merged.write.mode("overwrite").partitionBy(*snapshot.partition_cols).parquet(location)
+    root = LiveFolder(_version_name(version), version, ())
+    merged.write.mode("overwrite").partitionBy(*snapshot.partition_cols).parquet(
+        f"{snapshot.path}/data/{root.dir}"
+    )
 
-    # Counts come from the stored files, which task retries cannot distort.
-    written = _written_folders(spark, snapshot, version)
-    rewritten_rows = sum(folder.rows for folder in rewritten)
-    kept_rows = sum(folder.rows for folder in written) - source_rows
-    updated = rewritten_rows - kept_rows
+    updated = 0
+    if rewritten:
+        # Counted on stored files, from their footers: task retries cannot distort that.
+        kept = snapshot.read(spark, [root]).count() - source_rows
+        updated = old.count() - kept
     gone = set(rewritten)
-    live = [folder for folder in snapshot.folders if folder not in gone] + written
-    _publish(spark, snapshot.path, version, live)
-    return MergeResult(
-        rows_inserted=source_rows - updated,
-        rows_updated=updated,
-        rows_unchanged=snapshot.rows - updated,
-    )
+    live = [folder for folder in snapshot.folders if folder not in gone]
+    live += _partition_folders(spark, snapshot, root)
+    inserted = source_rows - updated
+    _publish(spark, snapshot.path, version, snapshot.rows + inserted, live)
+    return MergeResult(inserted, updated, snapshot.rows - updated)
 
 
 def _checked_count(source: DataFrame, schema: T.StructType, keys: Sequence[str]) -> int:
@@ -262,27 +261,23 @@ def _folders_to_rewrite(
     return [f for f in snapshot.folders if (str(f.version), *f.partition_values) in wanted]
 
 
-def _written_folders(spark: SparkSession, snapshot: Snapshot, version: int) -> list[LiveFolder]:
-    """The folders of a version just written, with their row counts from the file footers."""
-    root = _version_name(version)
-    data = f"{snapshot.path}/data"
-    dirs: list[tuple[str, tuple[str | None, ...]]] = [(root, ())]
+def _partition_folders(
+    spark: SparkSession, snapshot: Snapshot, root: LiveFolder
+) -> list[LiveFolder]:
+    """The folders a write has left under its version, one per partition."""
+    folders = [root]
     for _ in snapshot.partition_cols:
-        dirs = [
-            (f"{parent}/{name}", (*values, _partition_value(name)))
-            for parent, values in dirs
-            for name in hadoop.child_names(spark, f"{data}/{parent}")
+        folders = [
+            LiveFolder(
+                f"{parent.dir}/{name}",
+                root.version,
+                (*parent.partition_values, _partition_value(name)),
+            )
+            for parent in folders
+            for name in hadoop.child_names(spark, f"{snapshot.path}/data/{parent.dir}")
             if "=" in name
         ]
-    probe = Snapshot(snapshot.path, snapshot.schema, snapshot.partition_cols, version, ())
-    frame = probe.read(spark, [LiveFolder(root, version, (), 0)])
-    counted = frame.groupBy(
-        F.array(*[F.col(c).cast("string") for c in snapshot.partition_cols])
-        .cast("array<string>")
-        .alias("at")
-    ).agg(F.count(F.lit(1)).alias("n"))
-    rows = {tuple(row["at"]): row["n"] for row in counted.collect()}
-    return [LiveFolder(d, version, values, rows.get(values, 0)) for d, values in dirs]
+    return folders
 
 
 def _partition_value(name: str) -> str | None:

@@ -432,9 +432,9 @@ def build() -> dict[str, str]:
     sql["rejects_5m"] = rejects
     sql["alarm_rejects_5m"] = f"SELECT * FROM ({rejects}) WHERE records_rejected > 100"
     sql["completions_5m"] = _windows("event = 'JOB_COMPLETE'", "count(*)", "completions")
-    # A window is closed once an error has been seen ten minutes past its end.
+    # A window is closed once any event has been seen ten minutes past its end.
     sql["stream_errors_5m"] = (
         f"SELECT * FROM ({errors}) WHERE window_end <= "
-        "(SELECT max(ts) FROM events WHERE event_type = 'error') - INTERVAL 10 MINUTE"
+        "(SELECT max(ts) FROM events) - INTERVAL 10 MINUTE"
     )
     return sql

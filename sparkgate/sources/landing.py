@@ -51,7 +51,8 @@ def write_json_lines(df: DataFrame, path: str, *, mode: str = "errorifexists") -
 def list_files(spark: SparkSession, path: str, wanted: Column | None = None) -> DataFrame:
     """Files under a folder and its subfolders: path, file_name, length, modification_time.
 
-    wanted is a predicate on file_name. File contents are not read. An empty folder gives no rows.
+    wanted is a predicate on file_name. File contents are not read. Files of zero bytes are left
+    out; an empty folder gives no rows.
     """
     files = _read(
         lambda: spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path),

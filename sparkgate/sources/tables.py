@@ -2,9 +2,9 @@
 
 Layout under a table's path::
 
-    meta.json        schema and partition columns
-    data/v=<n>/…     files written by version n, in partition folders if there are any
-    log/v=<n>.json   row count of version n, and the data folders live in it
+    meta.json             schema and partition columns
+    data/<version>/…      files written by a version, in partition folders if there are any
+    log/<version>.json    row count of a version, and the data folders live in it
 
 A merge writes new folders only, then publishes them by adding its log file; readers pin the
 folders of one version, so they see a merge wholly or not at all. Only folders with overwritten
@@ -30,7 +30,7 @@ from sparkgate.schemas import raw_schema, required_columns
 from sparkgate.sources import hadoop
 from sparkgate.sources.staging import StagingArea
 
-VERSION_COL = "v"
+VERSION_COL = "__version__"
 _NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
@@ -87,7 +87,7 @@ class Snapshot:
 
 
 def _version_name(version: int) -> str:
-    return f"v={version:010d}"
+    return f"{VERSION_COL}={version:010d}"
 
 
 def _clean(path: str) -> str:
@@ -133,7 +133,7 @@ def get_table_version(spark: SparkSession, path: str) -> int:
     names = [n for n in hadoop.child_names(spark, f"{path}/log") if n.endswith(".json")]
     if not names:
         raise TableMergeError(f"no table at {path}")
-    return int(names[-1].removeprefix("v=").removesuffix(".json"))
+    return int(names[-1].removeprefix(f"{VERSION_COL}=").removesuffix(".json"))
 
 
 def load_snapshot(spark: SparkSession, path: str, version: int | None = None) -> Snapshot:

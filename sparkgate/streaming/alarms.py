@@ -1,9 +1,9 @@
 """Five-minute metrics and alarms over run events, batch or stream.
 
 Events have ts, level, event, job_name, environment and records_rejected. The same functions take
-a static frame or a stream; a stream needs ``late``, how long a window waits for late events. Each
-filters first, so only the rows that count are aggregated, and combines map-side, so one busy job
-is no hot group.
+a static frame or a stream; a stream needs ``late``, how long a window waits for late events.
+Sums are combined map-side, so one busy job is no hot group. Periods without a counted event are
+absent: missing data raises no alarm.
 """
 
 from __future__ import annotations
@@ -18,14 +18,19 @@ REJECT_THRESHOLD = 100
 
 
 def _per_period(
-    events: DataFrame, wanted: Column, value: Column, name: str, late: str | None
+    events: DataFrame, wanted: Column, amount: Column, name: str, late: str | None
 ) -> DataFrame:
-    if late is not None:
+    """Sum of amount over the wanted events, per period, job and environment."""
+    if late is None:
+        events = events.filter(wanted)
+    else:
+        # Not filtered: every event moves the watermark on, or a quiet job's last window, whose
+        # alarm matters most, would stay open until the next error.
         events = events.withWatermark("ts", late)
     return (
-        events.filter(wanted)
-        .groupBy(F.window("ts", PERIOD), "job_name", "environment")
-        .agg(value.alias(name))
+        events.groupBy(F.window("ts", PERIOD), "job_name", "environment")
+        .agg(F.sum(F.when(wanted, amount)).alias(name))
+        .filter(F.col(name).isNotNull())
         .select(
             F.col("window.start").alias("window_start"),
             F.col("window.end").alias("window_end"),
@@ -37,10 +42,8 @@ def _per_period(
 
 
 def error_counts(events: DataFrame, late: str | None = None) -> DataFrame:
-    """ERROR events per period, job and environment; periods without any are absent."""
-    return _per_period(
-        events, F.col("level") == "ERROR", F.count(F.lit(1)), "errors", late
-    )
+    """ERROR events per period, job and environment."""
+    return _per_period(events, F.col("level") == "ERROR", F.lit(1), "errors", late)
 
 
 def error_alarms(
@@ -52,13 +55,8 @@ def error_alarms(
 
 def reject_sums(events: DataFrame, late: str | None = None) -> DataFrame:
     """Rejected records per period, job and environment."""
-    return _per_period(
-        events,
-        F.col("records_rejected") > 0,
-        F.sum("records_rejected"),
-        "records_rejected",
-        late,
-    )
+    rejected = F.col("records_rejected")
+    return _per_period(events, rejected > 0, rejected, "records_rejected", late)
 
 
 def reject_alarms(
@@ -70,6 +68,4 @@ def reject_alarms(
 
 def completions(events: DataFrame, late: str | None = None) -> DataFrame:
     """Finished jobs per period, job and environment."""
-    return _per_period(
-        events, F.col("event") == "JOB_COMPLETE", F.count(F.lit(1)), "completions", late
-    )
+    return _per_period(events, F.col("event") == "JOB_COMPLETE", F.lit(1), "completions", late)

@@ -16,6 +16,9 @@ from sparkgate.settings import RunSettings
 from sparkgate.sources.excel import WORKBOOK_GLOB, parse_workbooks
 from sparkgate.sources.landing import CSV_GLOB
 
+# The columns Spark's binaryFile source gives.
+_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
+
 
 def stream_csv(
     spark: SparkSession,
@@ -45,7 +48,7 @@ def stream_workbooks(
     files_per_batch: int = 1000,
 ) -> DataFrame:
     """Workbooks as they arrive under path; wanted is a predicate on file_name."""
-    reader = spark.readStream.format("binaryFile")
+    reader = spark.readStream.format("binaryFile").schema(_FILE_SCHEMA)
     files = _files(reader, WORKBOOK_GLOB, archive_dir, files_per_batch).load(path)
     files = files.select("content", F.substring_index("path", "/", -1).alias("file_name"))
     return parse_workbooks(files if wanted is None else files.filter(wanted), schema)

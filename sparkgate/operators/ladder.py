@@ -14,7 +14,6 @@ import pyspark.sql.functions as F
 from pyspark.sql import Column, DataFrame
 
 from sparkgate.operators.rules import (
-    DEFAULT_HOT_ROWS,
     ERROR_COL,
     MarkContext,
     MarkingRule,
@@ -22,9 +21,11 @@ from sparkgate.operators.rules import (
     StatefulRule,
     ValidationRule,
 )
-from sparkgate.operators.skew import spread
+from sparkgate.operators.skew import DEFAULT_HOT_ROWS, spread
 
 RULE_COL = "__rule__"
+# Only present with rules that split for themselves: the reason such a rule gave.
+REASON_COL = "__reason__"
 _SPREAD_COL = "__spread__"
 
 
@@ -47,6 +48,9 @@ def label_rows(
     if any(isinstance(rule, StatefulRule) for rule in rules):
         frame = frame.withColumn(_SPREAD_COL, spread(df))
         carried.append(_SPREAD_COL)
+    if any(not isinstance(rule, MarkingRule) for rule in rules):
+        frame = frame.withColumn(REASON_COL, F.lit(None).cast("string"))
+        carried.append(REASON_COL)
 
     label: Column = F.lit(None).cast("int")
     for place, rule in enumerate(rules):
@@ -70,7 +74,9 @@ def label_rows(
             label = F.coalesce(label, F.when(fails, F.lit(place)))
         else:
             frame = _split_with(frame, rule, place)
-    return frame.select(*_named(columns), label.alias(RULE_COL))
+    if _SPREAD_COL in carried:
+        carried.remove(_SPREAD_COL)
+    return frame.select(*_named(carried), label.alias(RULE_COL))
 
 
 def _named(columns: Sequence[str]) -> list[Column]:
@@ -78,34 +84,40 @@ def _named(columns: Sequence[str]) -> list[Column]:
 
 
 def _split_with(frame: DataFrame, rule: ValidationRule, place: int) -> DataFrame:
-    """Apply a rule that only knows how to split."""
-    alive = frame.filter(F.col(RULE_COL).isNull()).drop(RULE_COL)
+    """Apply a rule that splits for itself, keeping the reason it gives."""
+    alive = frame.filter(F.col(RULE_COL).isNull()).drop(RULE_COL, REASON_COL)
     failed_before = frame.filter(F.col(RULE_COL).isNotNull())
     valid, invalid = rule.validate(alive)
     return (
-        valid.withColumn(RULE_COL, F.lit(None).cast("int"))
-        .unionByName(invalid.drop(ERROR_COL).withColumn(RULE_COL, F.lit(place)))
+        valid.withColumn(REASON_COL, F.lit(None).cast("string"))
+        .withColumn(RULE_COL, F.lit(None).cast("int"))
+        .unionByName(
+            invalid.withColumnRenamed(ERROR_COL, REASON_COL).withColumn(RULE_COL, F.lit(place))
+        )
         .unionByName(failed_before)
     )
 
 
 def reason_of(rules: Sequence[ValidationRule]) -> Column:
-    """Reason text of the labelled row."""
-    reasons = [r.reason if isinstance(r, MarkingRule) else r.rule_name for r in rules]
-    if not reasons:
+    """Reason text of a labelled row, from the place of its rule."""
+    if not rules:
         return F.lit(None).cast("string")
+    reasons = [r.reason if isinstance(r, MarkingRule) else r.rule_name for r in rules]
     return F.array(*[F.lit(text) for text in reasons])[F.col(RULE_COL)]
 
 
 def surviving_rows(labelled: DataFrame) -> DataFrame:
     """Rows that passed every rule, in the input's columns."""
-    return labelled.filter(F.col(RULE_COL).isNull()).drop(RULE_COL)
+    return labelled.filter(F.col(RULE_COL).isNull()).drop(RULE_COL, REASON_COL)
 
 
 def rejected_rows(labelled: DataFrame, rules: Sequence[ValidationRule]) -> DataFrame:
     """Rows that failed a rule, with ``__error_reason__`` saying which."""
+    reason = reason_of(rules)
+    if REASON_COL in labelled.columns:
+        reason = F.coalesce(F.col(REASON_COL), reason)
     return (
         labelled.filter(F.col(RULE_COL).isNotNull())
-        .withColumn(ERROR_COL, reason_of(rules))
-        .drop(RULE_COL)
+        .withColumn(ERROR_COL, reason)
+        .drop(RULE_COL, REASON_COL)
     )

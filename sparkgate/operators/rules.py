@@ -20,7 +20,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import types as T
 
 from sparkgate.operators.skew import (
-    DEFAULT_HOT_ROWS,
     SPREAD_WIDTH,
     comparable_columns,
     hot_buckets,
@@ -29,6 +28,16 @@ from sparkgate.operators.skew import (
 
 ERROR_COL = "__error_reason__"
 
+# Reject reasons, as stored in __error_reason__.
+NULL_REASON = "null value in required column '{column}'"
+DUPLICATE_REASON = "duplicate key on columns: {keys}"
+ORPHAN_REASON = (
+    "referential_integrity_violation: '{column}' not found in reference table column '{ref_column}'"
+)
+RANGE_REASON = "'{column}' out of range [{low}, {high}]"
+AMOUNT_REASON = "'{column}' must be > 0"
+FLAG_REASON = "'{column}' must be 0 or 1"
+
 
 @dataclass(frozen=True)
 class MarkContext:
@@ -91,91 +100,77 @@ def _holds(predicate: Column) -> Column:
     return F.coalesce(predicate, F.lit(False))
 
 
-class NotNullRule(PredicateRule):
-    """The column must not be null. NaN and empty text pass."""
+class ColumnRule(PredicateRule):
+    """A predicate rule over one column."""
+
+    kind: str
+    reason_format: str
 
     def __init__(self, column: str) -> None:
         self.column = column
 
     @property
     def rule_name(self) -> str:
-        return f"not_null:{self.column}"
+        return f"{self.kind}:{self.column}"
 
     @property
     def reason(self) -> str:
-        return f"null value in required column '{self.column}'"
+        return self.reason_format.format(column=self.column)
+
+
+class NotNullRule(ColumnRule):
+    """The column must not be null. NaN and empty text pass."""
+
+    kind = "not_null"
+    reason_format = NULL_REASON
 
     def fails(self, schema: T.StructType) -> Column:
         return F.col(self.column).isNull()
 
 
-class PositiveAmountRule(PredicateRule):
+class PositiveAmountRule(ColumnRule):
     """The column must be above zero; null fails."""
 
-    def __init__(self, column: str) -> None:
-        self.column = column
-
-    @property
-    def rule_name(self) -> str:
-        return f"positive_amount:{self.column}"
-
-    @property
-    def reason(self) -> str:
-        return f"'{self.column}' must be > 0"
+    kind = "positive_amount"
+    reason_format = AMOUNT_REASON
 
     def fails(self, schema: T.StructType) -> Column:
         return ~_holds(F.col(self.column) > 0)
 
 
-class BooleanFlagRule(PredicateRule):
+class BooleanFlagRule(ColumnRule):
     """The column must be 0 or 1; null fails."""
 
-    def __init__(self, column: str) -> None:
-        self.column = column
-
-    @property
-    def rule_name(self) -> str:
-        return f"boolean_flag:{self.column}"
-
-    @property
-    def reason(self) -> str:
-        return f"'{self.column}' must be 0 or 1"
+    kind = "boolean_flag"
+    reason_format = FLAG_REASON
 
     def fails(self, schema: T.StructType) -> Column:
         return ~_holds(F.col(self.column).isin(0, 1))
 
 
-class TimestampRangeRule(PredicateRule):
+class TimestampRangeRule(ColumnRule):
     """The column must lie in the closed range [min_ts, max_ts]; null fails.
 
     Naive bounds are read in the session time zone, or as wall-clock time when the column itself
     carries no zone.
     """
 
-    def __init__(self, column: str, min_ts: datetime, max_ts: datetime) -> None:
-        self.column = column
-        self.min_ts = min_ts
-        self.max_ts = max_ts
+    kind = "timestamp_range"
 
-    @property
-    def rule_name(self) -> str:
-        return f"timestamp_range:{self.column}"
+    def __init__(self, column: str, min_ts: datetime, max_ts: datetime) -> None:
+        super().__init__(column)
+        self.bounds = (min_ts, max_ts)
 
     @property
     def reason(self) -> str:
-        return (
-            f"'{self.column}' out of range "
-            f"[{self.min_ts.isoformat()}, {self.max_ts.isoformat()}]"
-        )
+        low, high = (bound.isoformat() for bound in self.bounds)
+        return RANGE_REASON.format(column=self.column, low=low, high=high)
 
     def fails(self, schema: T.StructType) -> Column:
         zoneless = isinstance(schema[self.column].dataType, T.TimestampNTZType)
         bound_type = "timestamp_ntz" if zoneless else "timestamp"
-
-        def bound(value: datetime) -> Column:
-            return F.lit(value.isoformat(sep=" ")).cast(bound_type)
-
-        return ~_holds(F.col(self.column).between(bound(self.min_ts), bound(self.max_ts)))
+        low, high = (F.lit(bound.isoformat(sep=" ")).cast(bound_type) for bound in self.bounds)
+        return ~_holds(F.col(self.column).between(low, high))
 
 
 class UniqueKeyRule(StatefulRule):
@@ -195,7 +190,7 @@ class UniqueKeyRule(StatefulRule):
 
     @property
     def reason(self) -> str:
-        return f"duplicate key on columns: {self.keys}"
+        return DUPLICATE_REASON.format(keys=self.keys)
 
     def mark(self, df: DataFrame, context: MarkContext) -> tuple[DataFrame, Column]:
         leading = [*(self.order_by or context.order_by)]
@@ -236,8 +231,8 @@ class ReferentialIntegrityRule(StatefulRule):
     """The foreign key must occur in the reference column; null fails.
 
     One left join against the distinct reference keys. Rows with nothing to look up get a padded
-    key, which matches nothing and hashes apart; hot foreign keys are left to the adaptive
-    skew-join split, possible here because the reference side has one row per key.
+    key, which matches nothing and hashes apart. Hot foreign keys are split by adaptive execution:
+    the reference side has one row per key, so giving it to each piece costs nothing.
     """
 
     def __init__(self, fk_column: str, reference_df: DataFrame, ref_column: str) -> None:
@@ -251,40 +246,22 @@ class ReferentialIntegrityRule(StatefulRule):
 
     @property
     def reason(self) -> str:
-        return (
-            f"referential_integrity_violation: '{self.fk}' "
-            f"not found in reference table column '{self.ref_column}'"
-        )
+        return ORPHAN_REASON.format(column=self.fk, ref_column=self.ref_column)
 
     def mark(self, df: DataFrame, context: MarkContext) -> tuple[DataFrame, Column]:
         key, pad, found = (f"{context.prefix}_{part}" for part in ("key", "pad", "found"))
         ref_key = F.col(f"`{self.ref_column}`")
+        # Padded after the distinct, so that the join shuffles it anew: adaptive execution splits
+        # hot keys only where a join reads straight from a shuffle. The pad is zero for every key
+        # but no literal, which would be folded out of the join key.
         reference = (
             self.reference_df.filter(ref_key.isNotNull())
-            # The pad is zero for every key, but not a literal: a literal would be folded out of
-            # the join key, and with it the spreading of null keys.
-            .select(ref_key.alias(key), F.hash(ref_key).bitwiseAND(F.lit(0)).alias(pad))
+            .select(ref_key.alias(key))
             .distinct()
-            .withColumn(found, F.lit(True))
+            .select(key, F.hash(key).bitwiseAND(F.lit(0)).alias(pad), F.lit(True).alias(found))
         )
         wanted = F.when(context.alive, F.col(f"`{self.fk}`"))
         wanted_pad = F.when(wanted.isNotNull(), F.lit(0)).otherwise(context.spread + 1)
         df = df.join(reference, (wanted == F.col(key)) & (wanted_pad == F.col(pad)), "left")
         return df, context.alive & F.col(found).isNull()
 
-
-__all__ = [
-    "DEFAULT_HOT_ROWS",
-    "ERROR_COL",
-    "BooleanFlagRule",
-    "MarkContext",
-    "MarkingRule",
-    "NotNullRule",
-    "PositiveAmountRule",
-    "PredicateRule",
-    "ReferentialIntegrityRule",
-    "StatefulRule",
-    "TimestampRangeRule",
-    "UniqueKeyRule",
-    "ValidationRule",
-]

@@ -16,11 +16,15 @@ from sparkgate.operators.ladder import (
     rejected_rows,
     surviving_rows,
 )
-from sparkgate.operators.rules import DEFAULT_HOT_ROWS, ValidationRule
+from sparkgate.operators.rules import ValidationRule
+from sparkgate.operators.skew import DEFAULT_HOT_ROWS
 from sparkgate.sources.staging import StagingArea
 
 REJECTED_COL = "__rejected__"
 
+# Fixed value: message of a rule result.
+RESULT_MESSAGE = "{failed} record(s) failed rule '{rule_name}'"
+
 
 @dataclass
 class RuleResult:
@@ -57,7 +61,7 @@ def _rule_result(rule: ValidationRule, failed: int) -> RuleResult:
         passed=failed == 0,
         records_failed=failed,
         error_column=rule.rule_name.rpartition(":")[2],
-        error_message=f"{failed} record(s) failed rule '{rule.rule_name}'",
+        error_message=RESULT_MESSAGE.format(failed=failed, rule_name=rule.rule_name),
     )
 
 
@@ -142,8 +146,8 @@ def rule_results(labelled: DataFrame, rules: Sequence[ValidationRule]) -> DataFr
         (failed == 0).alias("passed"),
         failed.alias("records_failed"),
         "error_column",
-        F.concat(
-            failed.cast("string"), F.lit(" record(s) failed rule '"), "rule_name", F.lit("'")
+        F.format_string(
+            RESULT_MESSAGE.format(failed="%d", rule_name="%s"), failed, "rule_name"
         ).alias("error_message"),
     )
 

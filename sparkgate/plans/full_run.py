@@ -36,10 +36,10 @@ def run_all(
         return {"products": run_products(spark, settings, **options)}
 
     def orders_branch() -> dict[str, dict[str, int]]:
-        orders = run_orders(spark, settings, **options)
-        if not table_exists(spark, settings.storage.table_path("orders")):
-            return {"orders": orders}
-        return {"orders": orders, "order_items": run_order_items(spark, settings, **options)}
+        return {
+            "orders": run_orders(spark, settings, **options),
+            "order_items": run_order_items(spark, settings, **options),
+        }
 
     with ThreadPoolExecutor(max_workers=2) as pool:
         branches = [

@@ -16,7 +16,7 @@ from sparkgate.functions.names import is_items_workbook, is_orders_workbook
 from sparkgate.operators.rules import NotNullRule, UniqueKeyRule, ValidationRule
 from sparkgate.operators.validation import DataQualityValidator, check_threshold
 from sparkgate.plans.rule_sets import order_items_rules, orders_rules, products_rules
-from sparkgate.schemas import PARTITION_COLS, PRIMARY_KEYS, SCHEMA_REGISTRY
+from sparkgate.schemas import ORDERS_SCHEMA, PARTITION_COLS, PRIMARY_KEYS, SCHEMA_REGISTRY
 from sparkgate.settings import RunSettings
 from sparkgate.sources.excel import read_workbooks
 from sparkgate.sources.landing import read_csv
@@ -212,10 +212,13 @@ def run_order_items(
 ) -> dict[str, int]:
     """Order items job over workbooks, or over source_df, checked against orders.
 
-    Orders come from orders_df, else from the orders table. Options are those of run_table_job.
+    Orders come from orders_df, else from the orders table, which is empty before any order has
+    been loaded. Options are those of run_table_job.
     """
     if orders_df is None:
-        orders_df = read_table(spark, orders_path or settings.storage.table_path("orders"))
+        orders_path = orders_path or settings.storage.table_path("orders")
+        create_table_if_not_exists(spark, ORDERS_SCHEMA, orders_path, PARTITION_COLS["orders"])
+        orders_df = read_table(spark, orders_path)
     job = table_job("order_items", order_items_rules(orders_df))
 
     def read_source(staging: StagingArea) -> DataFrame:

@@ -314,7 +314,7 @@ def build() -> dict[str, str]:
     part_columns = ["p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"]
     custom = [
         ("", NULL_REASON.format("p_partkey"), "p_partkey IS NULL"),
-        ("", "price_ceiling:p_retailprice", "NOT COALESCE(p_retailprice <= 1500, FALSE)"),
+        ("", "costs over 1500", "NOT COALESCE(p_retailprice <= 1500, FALSE)"),
         ("", "duplicate key on columns: ['p_name', 'p_brand']", ["p_name", "p_brand"]),
     ]
     sql["custom_rule_rejects"] = _chain("SELECT * FROM part", custom, part_columns) + _rejects(

@@ -173,7 +173,7 @@ class PriceCeilingRule(ValidationRule):
 
     def validate(self, df):
         cheap = F.coalesce(F.col("p_retailprice") <= 1500, F.lit(False))
-        return df.filter(cheap), df.filter(~cheap).withColumn(ERROR_COL, F.lit(self.rule_name))
+        return df.filter(cheap), df.filter(~cheap).withColumn(ERROR_COL, F.lit("costs over 1500"))
 
 
 @query
@@ -426,8 +426,8 @@ def json_lines_scan(spark, sf_dir):
 
 @query
 def excel_scan(spark, sf_dir):
-    """Orders, some cells empty, through Excel workbooks."""
-    rows = mapped.spoiled_orders(spark, sf_dir)
+    """Orders, some cells empty, through Excel workbooks spread over the tasks."""
+    rows = mapped.spoiled_orders(spark, sf_dir).repartition("order_num")
     return parse_workbooks(as_workbooks(rows), rows.schema)
 
 

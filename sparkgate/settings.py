@@ -17,7 +17,7 @@ REQUIRED_ARGS = (
     "ENVIRONMENT",
 )
 DEFAULT_EXECUTION_ID = "local"
-DEFAULT_DATABASE = "lakehouse_db"
+DEFAULT_DATABASE = "sparkgate"
 DEFAULT_MAX_QUARANTINE_RATIO = 1.0
 
 

@@ -2,7 +2,7 @@
 
 The parser is a small helper over the standard library: the first sheet, one header row, one
 record per further row. A sheet holds about a million rows at most, and rows are handed to Spark
-in batches, so a task holds one packed file and one batch.
+in batches as the sheet's XML goes by, so a task holds one packed file and one batch.
 """
 
 from __future__ import annotations
@@ -11,9 +11,11 @@ import io
 import re
 import sys
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from datetime import datetime, timedelta
+from typing import IO
 from xml.etree import ElementTree
+from xml.parsers import expat
 
 import pandas as pd
 import pyspark.sql.functions as F
@@ -23,13 +25,13 @@ from pyspark.sql import types as T
 
 from sparkgate.errors import StorageReadError
 from sparkgate.functions.conform import conform
-from sparkgate.functions.names import is_workbook
 
 # Ship these functions with the job: executors need not have the package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 WORKBOOK_GLOB = "*.[xX][lL][sS][xX]"
 BATCH_ROWS = 10_000
+CHUNK_BYTES = 1 << 16
 
 # Number formats the workbook format reserves for dates and times.
 BUILT_IN_DATE_FORMATS = frozenset({14, 15, 16, 17, 18, 19, 20, 21, 22, 45, 46, 47})
@@ -104,17 +106,78 @@ def sheet_rows(content: bytes) -> Iterator[dict[int, str | None]]:
         sheet, dates_from_1904 = _first_sheet(book)
         strings = _shared_strings(book) if "xl/sharedStrings.xml" in parts else []
         date_styles = _date_styles(book) if "xl/styles.xml" in parts else frozenset()
+
+        def text_of(kind: str, style: str, value: str) -> str | None:
+            return _cell_text(kind, style, value, strings, date_styles, dates_from_1904)
+
         with book.open(sheet) as stream:
-            for _, element in ElementTree.iterparse(stream):
-                if _tag(element) != "row":
-                    continue
-                cells: dict[int, str | None] = {}
-                for position, cell in enumerate(element):
-                    text = _cell_text(cell, strings, date_styles, dates_from_1904)
-                    if text is not None:
-                        cells[_column_number(cell.get("r"), position)] = text
-                element.clear()
-                yield cells
+            yield from _stream_rows(stream, text_of)
+
+
+def _stream_rows(
+    stream: IO[bytes], text_of: Callable[[str, str, str], str | None]
+) -> Iterator[dict[int, str | None]]:
+    """Rows of a sheet as its XML goes by, a chunk at a time."""
+    rows: list[dict[int, str | None]] = []
+    cells: dict[int, str | None] = {}
+    numbers: dict[str, int] = {}
+    pieces: list[str] = []
+    kind = style = ""
+    column = -1
+    reading = filled = phonetic = False
+
+    def start(name: str, attributes: dict[str, str]) -> None:
+        nonlocal cells, kind, style, column, reading, filled, phonetic
+        tag = name.rpartition(":")[2]
+        if tag == "c":
+            kind, style = attributes.get("t", "n"), attributes.get("s", "0")
+            letters = attributes.get("r", "").rstrip("0123456789")
+            if not letters:
+                column += 1
+            elif letters in numbers:
+                column = numbers[letters]
+            else:
+                column = numbers[letters] = _column_number(letters)
+            pieces.clear()
+            filled = False
+        elif tag == "v" or tag == "t":
+            reading = not phonetic
+            filled = True
+        elif tag == "row":
+            cells, column = {}, -1
+        elif tag == "rPh":
+            phonetic = True
+
+    def characters(data: str) -> None:
+        if reading:
+            pieces.append(data)
+
+    def end(name: str) -> None:
+        nonlocal reading, phonetic
+        tag = name.rpartition(":")[2]
+        if tag == "v" or tag == "t":
+            reading = False
+        elif tag == "c":
+            if filled:
+                text = text_of(kind, style, "".join(pieces))
+                if text is not None:
+                    cells[column] = text
+        elif tag == "row":
+            rows.append(cells)
+        elif tag == "rPh":
+            phonetic = False
+
+    parser = expat.ParserCreate()
+    parser.buffer_text = True
+    parser.StartElementHandler = start
+    parser.CharacterDataHandler = characters
+    parser.EndElementHandler = end
+    while chunk := stream.read(CHUNK_BYTES):
+        parser.Parse(chunk)
+        yield from rows
+        rows.clear()
+    parser.Parse(b"", True)
+    yield from rows
 
 
 def _tag(element: ElementTree.Element) -> str:
@@ -154,8 +217,8 @@ def _shared_strings(book: zipfile.ZipFile) -> list[str]:
     return [_text_of(item) for item in table if _tag(item) == "si"]
 
 
-def _date_styles(book: zipfile.ZipFile) -> frozenset[int]:
-    """Cell styles whose number format shows a date or time."""
+def _date_styles(book: zipfile.ZipFile) -> frozenset[str]:
+    """Numbers of the cell styles whose number format shows a date or time."""
     styles = ElementTree.fromstring(book.read("xl/styles.xml"))
     custom = {}
     for element in styles.iter():
@@ -166,39 +229,32 @@ def _date_styles(book: zipfile.ZipFile) -> frozenset[int]:
         if _tag(element) == "cellXfs":
             formats = [int(style.get("numFmtId", "0")) for style in element]
             return frozenset(
-                i
+                str(i)
                 for i, number in enumerate(formats)
                 if custom.get(number, number in BUILT_IN_DATE_FORMATS)
             )
     return frozenset()
 
 
-def _column_number(reference: str | None, position: int) -> int:
-    """Column of a cell reference such as ``AB12``, counted from 0; its position without one."""
-    if not reference:
-        return position
+def _column_number(letters: str) -> int:
+    """Column of letters such as ``AB``, counted from 0."""
     number = 0
-    for letter in reference:
-        if not letter.isalpha():
-            break
+    for letter in letters:
         number = number * 26 + ord(letter.upper()) - ord("A") + 1
     return number - 1
 
 
 def _cell_text(
-    cell: ElementTree.Element,
+    kind: str,
+    style: str,
+    value: str,
     strings: list[str],
-    date_styles: frozenset[int],
+    date_styles: frozenset[str],
     dates_from_1904: bool,
 ) -> str | None:
-    kind = cell.get("t", "n")
-    value = None
-    for child in cell:
-        if _tag(child) == "is":
-            return _text_of(child)
-        if _tag(child) == "v":
-            value = child.text
-    if value is None or kind == "e":
+    if kind == "inlineStr" or kind == "str":
+        return value
+    if kind == "e" or not value:
         return None
     if kind == "s":
         return strings[int(value)]
@@ -206,8 +262,10 @@ def _cell_text(
         return "true" if value == "1" else "false"
     if kind != "n":
         return value
-    if int(cell.get("s", "0")) in date_styles:
+    if style in date_styles:
         return _serial_to_text(float(value), dates_from_1904)
+    if value.isdigit():
+        return value
     number = float(value)
     if number.is_integer() and abs(number) < 2**53:
         return str(int(number))
@@ -222,5 +280,3 @@ def _serial_to_text(serial: float, dates_from_1904: bool) -> str:
         epoch += timedelta(days=1)
     return str(epoch + timedelta(milliseconds=round(serial * 86_400_000)))
 
-
-__all__ = ["WORKBOOK_GLOB", "is_workbook", "parse_workbooks", "read_workbooks", "sheet_rows"]

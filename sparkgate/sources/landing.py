@@ -8,10 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from sparkgate.errors import StorageReadError
-from sparkgate.functions.conform import empty_frame
 from sparkgate.schemas import raw_schema
 
-CSV_GLOB = "*.csv"
+CSV_GLOB = "*.[cC][sS][vV]"
 JSON_GLOB = "*.json"
 
 
@@ -73,13 +72,3 @@ def _read(load, path: str) -> DataFrame:
     except AnalysisException as error:
         raise StorageReadError(f"cannot read {path}: {error}", location=path) from error
 
-
-__all__ = [
-    "CSV_GLOB",
-    "JSON_GLOB",
-    "empty_frame",
-    "list_files",
-    "read_csv",
-    "read_json_lines",
-    "write_json_lines",
-]

@@ -207,8 +207,9 @@ def _merge(
         old = snapshot.read(spark, rewritten).drop(VERSION_COL)
         merged = unmatched_rows(old, source, keys).unionByName(source)
 
-    # Rebalancing gives each partition few files, and splits one that is far too large.
-    merged = merged.hint("rebalance", *snapshot.partition_cols)
+    if snapshot.partition_cols:
+        # Gives each partition few files, and splits a partition that is far too large for one.
+        merged = merged.hint("rebalance", *snapshot.partition_cols)
     root = LiveFolder(_version_name(version), version, ())
     merged.write.mode("overwrite").partitionBy(*snapshot.partition_cols).parquet(
         f"{snapshot.path}/data/{root.dir}"

@@ -8,7 +8,13 @@ import random
 import pyspark.sql.functions as F
 import pytest
 
-from sparkgate.operators.ladder import RULE_COL, label_rows, rejected_rows, surviving_rows
+from sparkgate.operators.ladder import (
+    REASON_COL,
+    RULE_COL,
+    label_rows,
+    rejected_rows,
+    surviving_rows,
+)
 from sparkgate.operators.rules import (
     ERROR_COL,
     BooleanFlagRule,
@@ -114,11 +120,22 @@ def test_ladder_equals_the_chain(spark, name, hot_rows):
     rows = make_rows(seed=len(name))
     df = spark.createDataFrame(rows, SCHEMA).repartition(5)
     labelled = label_rows(df, rules, hot_rows=hot_rows)
-    assert labelled.columns == [*SCHEMA_NAMES, RULE_COL]
+    assert labelled.drop(REASON_COL).columns == [*SCHEMA_NAMES, RULE_COL]
+    labelled = labelled.drop(REASON_COL)
     found = sorted(((r[-1], *r[:-1]) for r in labelled.collect()), key=RANKED)
     assert found == sorted(chain_of(rules, rows), key=RANKED)
 
 
+def test_own_rules_keep_their_reasons(spark):
+    df = spark.createDataFrame([(None, 1, 2.0, 1), (1, 1, 3.0, 1), (2, 1, 4.0, 1)], SCHEMA)
+    rules = [NotNullRule("id"), OddAmountRule()]
+    labelled = label_rows(df, rules)
+    assert {(r.id, r[ERROR_COL]) for r in rejected_rows(labelled, rules).collect()} == {
+        (None, NotNullRule("id").reason), (1, "odd")}
+    assert [r.id for r in surviving_rows(labelled).collect()] == [2]
+    assert surviving_rows(labelled).columns == SCHEMA_NAMES
+
+
 def test_large_reference_takes_the_shuffle_join_with_the_same_result(spark):
     rules = rule_lists(spark)["usual"]
     rows = make_rows(seed=3)

@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import types as T
 
 from sparkgate.errors import StorageReadError
-from sparkgate.functions.conform import conform, union_frames
+from sparkgate.functions.conform import conform, empty_frame, union_frames
 from sparkgate.functions.names import (
     archive_folder,
     archive_key,
@@ -25,7 +25,6 @@ from sparkgate.queries.workbook_copies import workbook_bytes
 from sparkgate.schemas import ORDER_ITEMS_SCHEMA, ORDERS_SCHEMA, PRODUCTS_SCHEMA
 from sparkgate.sources.excel import read_workbooks, sheet_rows
 from sparkgate.sources.landing import (
-    empty_frame,
     list_files,
     read_csv,
     read_json_lines,

@@ -21,7 +21,7 @@ from sparkgate.operators.rules import (
     StatefulRule,
     ValidationRule,
 )
-from sparkgate.operators.skew import DEFAULT_HOT_ROWS, spread
+from sparkgate.operators.skew import BROADCAST_BYTES, DEFAULT_HOT_ROWS, quoted, spread
 
 RULE_COL = "__rule__"
 # Only present with rules that split for themselves: the reason such a rule gave.
@@ -35,12 +35,16 @@ def label_rows(
     *,
     order_by: Sequence[str] = (),
     hot_rows: int | None = DEFAULT_HOT_ROWS,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """df plus ``__rule__``: the place in rules of the first rule the row fails, null if none.
 
-    order_by says which row of a duplicated key is the first. hot_rows is the size from which a
-    key's rows are split in a unique-key rule; each such rule first counts its keys in a small job
-    of its own, unless hot_rows is None, which is for keys known to be evenly spread.
+    order_by says which row of a duplicated key is the first.
+
+    Unique-key and foreign-key rules first look at the keys of df, each in a small job run at
+    once, to choose a plan: broadcast_bytes is how large a list of repeated or missing keys may be
+    broadcast, hot_rows from which size a repeated key is ranked in two rounds. With hot_rows None
+    they do not look, and shuffle all rows by key. The labels are the same whatever the plan.
     """
     columns = df.columns
     frame = df
@@ -57,7 +61,7 @@ def label_rows(
         if isinstance(rule, PredicateRule):
             label = F.coalesce(label, F.when(rule.fails(df.schema), F.lit(place)))
             continue
-        frame = frame.select(*_named(carried), label.alias(RULE_COL))
+        frame = frame.select(*quoted(carried), label.alias(RULE_COL))
         label = F.col(RULE_COL)
         if isinstance(rule, StatefulRule):
             frame, fails = rule.mark(
@@ -69,6 +73,7 @@ def label_rows(
                     prefix=f"__mark{place}",
                     order_by=order_by,
                     hot_rows=hot_rows,
+                    broadcast_bytes=broadcast_bytes,
                 ),
             )
             label = F.coalesce(label, F.when(fails, F.lit(place)))
@@ -76,11 +81,7 @@ def label_rows(
             frame = _split_with(frame, rule, place)
     if _SPREAD_COL in carried:
         carried.remove(_SPREAD_COL)
-    return frame.select(*_named(carried), label.alias(RULE_COL))
-
-
-def _named(columns: Sequence[str]) -> list[Column]:
-    return [F.col(f"`{name}`") for name in columns]
+    return frame.select(*quoted(carried), label.alias(RULE_COL))
 
 
 def _split_with(frame: DataFrame, rule: ValidationRule, place: int) -> DataFrame:

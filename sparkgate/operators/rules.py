@@ -20,10 +20,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import types as T
 
 from sparkgate.operators.skew import (
+    BROADCAST_BYTES,
     SPREAD_WIDTH,
     comparable_columns,
     hot_buckets,
     key_bucket,
+    key_bytes,
+    missing_keys,
+    quoted,
+    repeated_keys,
+    tag_keys,
 )
 
 ERROR_COL = "__error_reason__"
@@ -48,7 +54,8 @@ class MarkContext:
     spread: Column  # subgroup number, see operators.skew
     prefix: str  # for helper columns, unique per rule
     order_by: Sequence[str]
-    hot_rows: int | None
+    hot_rows: int | None  # None: do not look at the keys first
+    broadcast_bytes: int = BROADCAST_BYTES
 
 
 class ValidationRule(ABC):
@@ -178,6 +185,9 @@ class UniqueKeyRule(StatefulRule):
 
     First means first by order_by, then by all other columns, so that the choice does not depend
     on how the input is split into files.
+
+    Repeated keys are looked for first. With none, no row can fail. If they can be broadcast, only
+    their rows are ranked and all others stay where they are. Else all rows are shuffled by key.
     """
 
     def __init__(self, key_columns: list[str], order_by: Sequence[str] = ()) -> None:
@@ -193,46 +203,58 @@ class UniqueKeyRule(StatefulRule):
         return DUPLICATE_REASON.format(keys=self.keys)
 
     def mark(self, df: DataFrame, context: MarkContext) -> tuple[DataFrame, Column]:
+        first = f"{context.prefix}_first"
+        fails = context.alive & ~F.col(first)
+        if context.hot_rows is None:
+            return self._rank(df, context, [], first), fails
+
+        repeated = repeated_keys(df.filter(context.alive), self.keys)
+        size = key_bytes(repeated, self.keys)
+        if size == 0:
+            return df, F.lit(False)
+        hot = hot_buckets(repeated, self.keys, context.hot_rows)
+        if size > context.broadcast_bytes:
+            return self._rank(df, context, hot, first), fails
+
+        contested = f"{context.prefix}_contested"
+        tagged = tag_keys(df, self.keys, repeated, context.prefix, contested)
+        contest = F.col(contested) & context.alive
+        ranked = self._rank(tagged.filter(contest), context, hot, first)
+        return tagged.filter(~contest).withColumn(first, F.lit(True)).unionByName(ranked), fails
+
+    def _rank(
+        self, df: DataFrame, context: MarkContext, hot: list[int], first: str
+    ) -> DataFrame:
+        """df plus a boolean: the row is the first of its key among the rows alive."""
         leading = [*(self.order_by or context.order_by)]
-        usable = [c for c in comparable_columns(df) if c in context.columns]
-        order = [
-            F.col(f"`{c}`")
-            for c in leading + [c for c in usable if c not in leading and c not in self.keys]
-        ] or [F.lit(1)]
-        alive, spread = context.alive, context.spread
-        keys = [F.col(f"`{k}`") for k in self.keys]
-        rank, first = f"{context.prefix}_rank", f"{context.prefix}_first"
-
-        hot = (
-            hot_buckets(df.filter(alive), self.keys, context.hot_rows)
-            if context.hot_rows is not None
-            else []
-        )
+        rest = [c for c in comparable_columns(df) if c in context.columns]
+        order = quoted(leading + [c for c in rest if c not in leading and c not in self.keys])
+        keys = quoted(self.keys)
+
+        def leads(group: Column) -> Column:
+            window = Window.partitionBy(*keys, group).orderBy(*(order or [F.lit(1)]))
+            return F.row_number().over(window) == 1
+
         # Rows already failed only ride along: they must not gather under one key.
-        apart = F.lit(SPREAD_WIDTH) + spread
+        apart = context.spread + SPREAD_WIDTH
         if not hot:
-            group = F.when(alive, F.lit(0)).otherwise(apart)
-            window = Window.partitionBy(*keys, group).orderBy(*order)
-            df = df.withColumn(rank, F.row_number().over(window))
-            return df, alive & (F.col(rank) > 1)
+            return df.withColumn(first, leads(F.when(context.alive, F.lit(0)).otherwise(apart)))
 
         # Two rounds for hot keys: first within subgroups, then among their winners.
         is_hot = key_bucket(self.keys).isin(hot)
-        group = F.when(alive & ~is_hot, F.lit(-1)).when(alive, spread).otherwise(apart)
-        window = Window.partitionBy(*keys, group).orderBy(*order)
-        df = df.withColumn(first, alive & (F.row_number().over(window) == 1))
+        subgroup = F.when(~context.alive, apart).when(is_hot, context.spread).otherwise(F.lit(-1))
+        df = df.withColumn(first, context.alive & leads(subgroup))
         final = F.when(F.col(first), F.lit(-1)).otherwise(apart)
-        window = Window.partitionBy(*keys, final).orderBy(*order)
-        df = df.withColumn(rank, F.row_number().over(window))
-        return df, alive & ~(F.col(first) & (F.col(rank) == 1))
+        return df.withColumn(first, F.col(first) & leads(final))
 
 
 class ReferentialIntegrityRule(StatefulRule):
     """The foreign key must occur in the reference column; null fails.
 
-    One left join against the distinct reference keys. Rows with nothing to look up get a padded
-    key, which matches nothing and hashes apart. Hot foreign keys are split by adaptive execution:
-    the reference side has one row per key, so giving it to each piece costs nothing.
+    Keys missing from the reference are looked for first, among the distinct foreign keys. With
+    none, only nulls fail; if they can be broadcast, rows stay where they are. Else the rows are
+    joined with the distinct reference keys: rows with nothing to look up get a padded key, which
+    matches nothing and hashes apart, and hot foreign keys are split by adaptive execution.
     """
 
     def __init__(self, fk_column: str, reference_df: DataFrame, ref_column: str) -> None:
@@ -249,6 +271,23 @@ class ReferentialIntegrityRule(StatefulRule):
         return ORPHAN_REASON.format(column=self.fk, ref_column=self.ref_column)
 
     def mark(self, df: DataFrame, context: MarkContext) -> tuple[DataFrame, Column]:
+        foreign = F.col(f"`{self.fk}`")
+        if context.hot_rows is None:
+            return self._look_up(df, context)
+
+        missing = missing_keys(
+            df.filter(context.alive), self.fk, self.reference_df, self.ref_column
+        )
+        size = key_bytes(missing, [self.fk])
+        if size == 0:
+            return df, context.alive & foreign.isNull()
+        if size > context.broadcast_bytes:
+            return self._look_up(df, context)
+        orphan = f"{context.prefix}_orphan"
+        df = tag_keys(df, [self.fk], missing, context.prefix, orphan)
+        return df, context.alive & (foreign.isNull() | F.col(orphan))
+
+    def _look_up(self, df: DataFrame, context: MarkContext) -> tuple[DataFrame, Column]:
         key, pad, found = (f"{context.prefix}_{part}" for part in ("key", "pad", "found"))
         ref_key = F.col(f"`{self.ref_column}`")
         # Padded after the distinct, so that the join shuffles it anew: adaptive execution splits
@@ -264,4 +303,3 @@ class ReferentialIntegrityRule(StatefulRule):
         wanted_pad = F.when(wanted.isNotNull(), F.lit(0)).otherwise(context.spread + 1)
         df = df.join(reference, (wanted == F.col(key)) & (wanted_pad == F.col(pad)), "left")
         return df, context.alive & F.col(found).isNull()
-

@@ -1,28 +1,49 @@
-"""Finding and spreading hot key groups.
+"""Keeping rows where they are, and groups bounded.
 
-A window or a null join key sends every row of its group to one task, and adaptive execution does
-not split windows. Two small integers, both computed from the row, keep groups bounded.
+Rules over keys look at the keys first: a narrow aggregate, combined map-side, finds the few that
+can matter. If these are few enough to broadcast, whole rows need not be shuffled at all. If not,
+rows are shuffled by key, with hot keys split and failed rows spread.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 import pyspark.sql.functions as F
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import types as T
 
+from sparkgate.sources.staging import staging_root
+
 # Rows of one group that need not stay together are dealt into this many subgroups.
 SPREAD_WIDTH = 1024
-# Keys are counted per hash bucket, so the histogram has a fixed size whatever the data.
+# Hot keys are remembered by hash bucket, so that their list has a bounded size.
 KEY_BUCKETS = 65536
-# A bucket below this many rows is never worth splitting.
+# A key with no more rows than this is not worth splitting.
 DEFAULT_HOT_ROWS = 1_000_000
+# Keys are broadcast up to this size, as text plus some room per row.
+BROADCAST_BYTES = 8 << 20
+_ROW_BYTES = 32
+
+
+def _comparable(data_type: T.DataType) -> bool:
+    if isinstance(data_type, (T.MapType, T.VariantType)):
+        return False
+    if isinstance(data_type, T.ArrayType):
+        return _comparable(data_type.elementType)
+    if isinstance(data_type, T.StructType):
+        return all(_comparable(f.dataType) for f in data_type.fields)
+    return True
 
 
 def comparable_columns(df: DataFrame) -> list[str]:
-    """Columns that can be ordered and hashed: all but maps and variants."""
-    return [
-        f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))
-    ]
+    """Columns that can be ordered and hashed: all without maps and variants."""
+    return [f.name for f in df.schema.fields if _comparable(f.dataType)]
+
+
+def quoted(names: Sequence[str]) -> list[Column]:
+    return [F.col(f"`{name}`") for name in names]
 
 
 def spread(df: DataFrame) -> Column:
@@ -31,26 +52,67 @@ def spread(df: DataFrame) -> Column:
     It mixes in the input partition, so that identical copies part too. Unlike a row counter, the
     partition of a row is the same when a lost task runs again after a shuffle.
     """
-    columns = [F.col(f"`{c}`") for c in comparable_columns(df)]
+    columns = quoted(comparable_columns(df))
     return F.pmod(F.xxhash64(F.spark_partition_id(), *columns), F.lit(SPREAD_WIDTH)).cast("int")
 
 
-def key_bucket(keys: list[str]) -> Column:
+def key_bucket(keys: Sequence[str]) -> Column:
     """Hash bucket of a key."""
-    return F.pmod(F.xxhash64(*[F.col(f"`{k}`") for k in keys]), F.lit(KEY_BUCKETS)).cast("int")
+    return F.pmod(F.xxhash64(*quoted(keys)), F.lit(KEY_BUCKETS)).cast("int")
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """df computed once and kept in the checkpoint folder."""
+    spark = df.sparkSession
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(staging_root(spark))
+    return df.checkpoint()
+
 
+def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Keys with more than one row, and their row count n. Null keys count as equal."""
+    counted = df.groupBy(*quoted(keys)).agg(F.count(F.lit(1)).alias("n"))
+    return settle(counted.filter(F.col("n") > 1))
 
-def hot_buckets(df: DataFrame, keys: list[str], hot_rows: int) -> list[int]:
-    """Buckets holding far more rows than their share.
 
-    One pass over the key columns with map-side counts; at most KEY_BUCKETS rows reach the driver,
-    and none when no bucket passes hot_rows.
+def missing_keys(df: DataFrame, key: str, reference: DataFrame, ref_key: str) -> DataFrame:
+    """Distinct keys of df, null aside, that the reference column does not hold."""
+    wanted = df.filter(F.col(f"`{key}`").isNotNull()).select(key).distinct()
+    known = reference.select(F.col(f"`{ref_key}`").alias(key))
+    return settle(wanted.join(known, key, "left_anti"))
+
+
+def key_bytes(settled: DataFrame, keys: Sequence[str]) -> int:
+    """About how much a broadcast of a settled frame's keys would take; 0 if it has no rows."""
+    width = reduce(
+        lambda total, key: total + F.coalesce(F.octet_length(key.cast("string")), F.lit(0)),
+        quoted(keys),
+        F.lit(_ROW_BYTES),
+    )
+    return settled.agg(F.sum(width)).first()[0] or 0
+
+
+def hot_buckets(repeated: DataFrame, keys: Sequence[str], hot_rows: int) -> list[int]:
+    """Buckets of the keys with more than hot_rows rows; KEY_BUCKETS numbers at most."""
+    hot = repeated.filter(F.col("n") > hot_rows)
+    return [row[0] for row in hot.select(key_bucket(keys)).distinct().collect()]
+
+
+def tag_keys(
+    df: DataFrame, keys: Sequence[str], listed: DataFrame, prefix: str, flag: str
+) -> DataFrame:
+    """df plus a boolean: its key is among the listed ones, which are broadcast.
+
+    Only for keys whose size has been checked, see key_bytes.
     """
-    rows = (
-        df.groupBy(key_bucket(keys).alias("bucket"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .filter(F.col("n") > hot_rows)
-        .collect()
+    names = [f"{prefix}_key{n}" for n in range(len(keys))]
+    small = listed.select(
+        *[key.alias(name) for key, name in zip(quoted(keys), names)], F.lit(True).alias(flag)
+    )
+    same = reduce(
+        lambda found, pair: found & pair[0].eqNullSafe(F.col(pair[1])),
+        zip(quoted(keys), names),
+        F.lit(True),
     )
-    share = sum(row.n for row in rows) / KEY_BUCKETS
-    return [row.bucket for row in rows if row.n > 4 * share]
+    tagged = df.join(F.broadcast(small), same, "left")
+    return tagged.withColumn(flag, F.col(flag).isNotNull()).drop(*names)

@@ -377,6 +377,11 @@ def build() -> dict[str, str]:
         "SELECT * REPLACE (CAST(date_trunc('month', date) AS DATE) AS date) "
         f"FROM ({sql['orders_validate_valid']})"
     )
+    loaded = f"EXISTS (SELECT 1 FROM ({sql['orders_validate_valid']}) o WHERE o.order_id = t.order_id)"
+    steps = [(n, r, f"NOT {loaded}" if f == FK_FAILS else f) for n, r, f in ITEM_STEPS]
+    sql["jobs_order_items_table"] = (
+        _chain(SPOILED_ORDER_ITEMS, steps, ITEM_COLUMNS) + f"SELECT * FROM alive{len(steps)}"
+    )
     sql["quarantine_rows"] = (
         "SELECT *, 'orders' AS table_name, DATE '2025-01-31' AS run_date, "
         f"'arn_run_2025_01' AS execution_id FROM ({sql['orders_validate_rejects']})"
@@ -430,11 +435,11 @@ def build() -> dict[str, str]:
     sql["errors_5m"] = errors
     sql["alarm_errors_5m"] = f"SELECT * FROM ({errors}) WHERE errors >= 1"
     sql["rejects_5m"] = rejects
-    sql["alarm_rejects_5m"] = f"SELECT * FROM ({rejects}) WHERE records_rejected > 100"
+    sql["alarm_value_spike_5m"] = f"SELECT * FROM ({rejects}) WHERE records_rejected > 100"
     sql["completions_5m"] = _windows("event = 'JOB_COMPLETE'", "count(*)", "completions")
     # A window is closed once any event has been seen ten minutes past its end.
-    sql["stream_errors_5m"] = (
-        f"SELECT * FROM ({errors}) WHERE window_end <= "
-        "(SELECT max(ts) FROM events) - INTERVAL 10 MINUTE"
-    )
+    closed = "window_end <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE"
+    for name in ("errors_5m", "value_spike_5m", "completions_5m"):
+        batch = sql[name if name in sql else f"alarm_{name}"]
+        sql[f"stream_{name}"] = f"SELECT * FROM ({batch}) WHERE {closed}"
     return sql

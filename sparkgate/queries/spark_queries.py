@@ -391,6 +391,20 @@ def jobs_orders_table(spark, sf_dir):
     return read_table(spark, _settings(base).storage.table_path("orders"))
 
 
+@query
+def jobs_order_items_table(spark, sf_dir):
+    """The order items table after both jobs: items are checked against the loaded orders."""
+    base = StagingArea(spark, "query").path
+    _run_orders(spark, sf_dir, base)
+    storage = _settings(base).storage
+    orders = read_table(spark, storage.table_path("orders"))
+    rows = mapped.spoiled_order_items(spark, sf_dir)
+    rules = order_items_rules(orders, MIN_TS, MAX_TS)
+    job = _job("order_items", rows.schema, ["id"], [], rules)
+    run_table_job(spark, job, _settings(base), lambda _: rows)
+    return read_table(spark, storage.table_path("order_items"))
+
+
 @query
 def quarantine_rows(spark, sf_dir):
     """Rejected orders as read back from quarantine."""
@@ -538,7 +552,7 @@ def _register_alarm(name: str, metric: Callable[[DataFrame], DataFrame]) -> None
 _register_alarm("errors_5m", alarms.error_counts)
 _register_alarm("alarm_errors_5m", alarms.error_alarms)
 _register_alarm("rejects_5m", alarms.reject_sums)
-_register_alarm("alarm_rejects_5m", alarms.reject_alarms)
+_register_alarm("alarm_value_spike_5m", alarms.reject_alarms)
 _register_alarm("completions_5m", alarms.completions)
 
 LATE = "10 minutes"
@@ -552,32 +566,38 @@ def _stream_session(spark: SparkSession) -> SparkSession:
     return session
 
 
-@query
-def stream_errors_5m(spark, sf_dir):
-    """The error windows as a stream has closed them once it has read all events."""
-    session = _stream_session(spark)
-    base = StagingArea(spark, "query").path
-    stored = table(session, sf_dir, "events")
-    events = (
-        session.readStream.schema(stored.schema)
-        .option("pathGlobFilter", "events.parquet")
-        .parquet(sf_dir)
-        .withColumn("ts", F.col("ts").cast("timestamp"))
-    )
-    windows = alarms.error_counts(mapped.run_events(events), late=LATE)
-    (
-        windows.writeStream.format("parquet")
-        .option("checkpointLocation", f"{base}/checkpoint")
-        .trigger(availableNow=True)
-        .start(f"{base}/windows")
-        .awaitTermination()
-    )
-    return (
-        spark.read.schema(windows.schema)
-        .parquet(f"{base}/windows")
-        .withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
-        .withColumn("window_end", F.col("window_end").cast("timestamp_ntz"))
-    )
+def _register_stream(name: str, metric: Callable[..., DataFrame]) -> None:
+    def run(spark, sf_dir):
+        """The windows a stream has closed once it has read all events."""
+        session = _stream_session(spark)
+        base = StagingArea(spark, "query").path
+        events = (
+            session.readStream.schema(table(session, sf_dir, "events").schema)
+            .option("pathGlobFilter", "events.parquet")
+            .parquet(sf_dir)
+            .withColumn("ts", F.col("ts").cast("timestamp"))
+        )
+        windows = metric(mapped.run_events(events), late=LATE)
+        (
+            windows.writeStream.format("parquet")
+            .option("checkpointLocation", f"{base}/checkpoint")
+            .trigger(availableNow=True)
+            .start(f"{base}/windows")
+            .awaitTermination()
+        )
+        return (
+            spark.read.schema(windows.schema)
+            .parquet(f"{base}/windows")
+            .withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+            .withColumn("window_end", F.col("window_end").cast("timestamp_ntz"))
+        )
+
+    QUERIES[name] = run
+
+
+_register_stream("stream_errors_5m", alarms.error_counts)
+_register_stream("stream_value_spike_5m", alarms.reject_alarms)
+_register_stream("stream_completions_5m", alarms.completions)
 
 
 @query

@@ -42,7 +42,9 @@ def move(spark: SparkSession, source: str, destination: str) -> bool:
 
 def write_text(spark: SparkSession, location: str, text: str) -> None:
     """Write a small text file that appears whole or not at all; refuse to replace one."""
-    draft = f"{location}.{uuid.uuid4().hex}.draft"
+    folder, _, name = location.rpartition("/")
+    # Readers of the folder skip names with a leading dot.
+    draft = f"{folder}/.{name}.{uuid.uuid4().hex}"
     fs, draft_path = file_system(spark, draft)
     stream = fs.create(draft_path)
     stream.write(bytearray(text, "utf-8"))

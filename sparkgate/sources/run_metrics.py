@@ -1,12 +1,16 @@
-"""Run metrics and run events: one appended row per finished run."""
+"""Run metrics and run events: one appended JSON row per run."""
 
 from __future__ import annotations
 
+import json
+import uuid
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from sparkgate.sources import hadoop
+
 METRICS_SCHEMA = T.StructType(
     [
         T.StructField("job_name", T.StringType()),
@@ -50,17 +54,18 @@ def emit_job_metrics(
     duration_ms: int,
 ) -> None:
     """Append one row to the metrics table at metrics_path."""
-    row = (
-        job_name,
-        environment,
-        records_in,
-        records_valid,
-        records_rejected,
-        rows_inserted,
-        rows_updated,
-        duration_ms,
+    _append(
+        spark,
+        metrics_path,
+        job_name=job_name,
+        environment=environment,
+        records_in=records_in,
+        records_valid=records_valid,
+        records_rejected=records_rejected,
+        rows_inserted=rows_inserted,
+        rows_updated=rows_updated,
+        duration_ms=duration_ms,
     )
-    _append(spark, metrics_path, row, METRICS_SCHEMA)
 
 
 def emit_run_event(
@@ -78,24 +83,25 @@ def emit_run_event(
     records_rejected: int | None = None,
 ) -> None:
     """Append one log event, the input of the alarm windows in streaming.alarms."""
-    row = (
-        datetime.now(timezone.utc),
-        level,
-        event,
-        job_name,
-        environment,
-        execution_id,
-        table,
-        message,
-        records_in,
-        records_rejected,
+    _append(
+        spark,
+        events_path,
+        ts=datetime.now(timezone.utc).isoformat(),
+        level=level,
+        event=event,
+        job_name=job_name,
+        environment=environment,
+        execution_id=execution_id,
+        table=table,
+        message=message,
+        records_in=records_in,
+        records_rejected=records_rejected,
     )
-    _append(spark, events_path, row, EVENTS_SCHEMA)
 
 
-def _append(spark: SparkSession, path: str, row: tuple, schema: T.StructType) -> None:
-    frame = spark.createDataFrame([row], schema).coalesce(1)
-    frame.write.mode("append").option("ignoreNullFields", "false").json(path)
+def _append(spark: SparkSession, path: str, **row: object) -> None:
+    """One row is one small file, which appears whole: a stream may be reading the folder."""
+    hadoop.write_text(spark, f"{path.rstrip('/')}/{uuid.uuid4().hex}.json", json.dumps(row) + "\n")
 
 
 def read_metrics(spark: SparkSession, metrics_path: str) -> DataFrame:

@@ -112,14 +112,23 @@ def rule_lists(spark):
     }
 
 
-@pytest.mark.parametrize("hot_rows", [None, 1_000_000, 20], ids=["unsplit", "default", "split"])
+PLANS = {
+    "default": {},
+    "not looking": {"hot_rows": None},
+    "shuffled": {"broadcast_bytes": 0},
+    "hot shuffled": {"broadcast_bytes": 0, "hot_rows": 20},
+    "hot broadcast": {"hot_rows": 20},
+}
+
+
+@pytest.mark.parametrize("plan", PLANS)
 @pytest.mark.parametrize("name", ["usual", "unique first", "two unique", "key before unique",
                                   "own rule", "stateless", "none"])
-def test_ladder_equals_the_chain(spark, name, hot_rows):
+def test_ladder_equals_the_chain(spark, name, plan):
     rules = rule_lists(spark)[name]
     rows = make_rows(seed=len(name))
     df = spark.createDataFrame(rows, SCHEMA).repartition(5)
-    labelled = label_rows(df, rules, hot_rows=hot_rows)
+    labelled = label_rows(df, rules, **PLANS[plan])
     assert labelled.drop(REASON_COL).columns == [*SCHEMA_NAMES, RULE_COL]
     labelled = labelled.drop(REASON_COL)
     found = sorted(((r[-1], *r[:-1]) for r in labelled.collect()), key=RANKED)
@@ -142,7 +151,8 @@ def test_large_reference_takes_the_shuffle_join_with_the_same_result(spark):
     df = spark.createDataFrame(rows, SCHEMA)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        found = sorted(((r[-1], *r[:-1]) for r in label_rows(df, rules).collect()), key=RANKED)
+        labelled = label_rows(df, rules, broadcast_bytes=0)
+        found = sorted(((r[-1], *r[:-1]) for r in labelled.collect()), key=RANKED)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert found == sorted(chain_of(rules, rows), key=RANKED)
@@ -211,11 +221,3 @@ def test_gate_is_strict(spark):
     with pytest.raises(ValidationError) as caught:
         check_threshold(result, 0.49)
     assert caught.value.failure_ratio == 0.5
-
-
-def test_one_window_shuffle_without_hot_keys_and_two_with(spark):
-    df = spark.createDataFrame(make_rows(seed=4), SCHEMA)
-    plan = lambda hot: label_rows(df, [UniqueKeyRule(["id"])], hot_rows=hot)._jdf.queryExecution()
-    count = lambda hot: plan(hot).optimizedPlan().toString().count("Window [")
-    assert count(1_000_000) == 1
-    assert count(20) == 2

@@ -21,7 +21,14 @@ from sparkgate.operators.rules import (
     StatefulRule,
     ValidationRule,
 )
-from sparkgate.operators.skew import BROADCAST_BYTES, DEFAULT_HOT_ROWS, quoted, spread
+from sparkgate.operators.skew import (
+    BROADCAST_BYTES,
+    DEFAULT_HOT_ROWS,
+    LOOK_AHEAD_BYTES,
+    estimated_bytes,
+    quoted,
+    spread,
+)
 
 RULE_COL = "__rule__"
 # Only present with rules that split for themselves: the reason such a rule gave.
@@ -34,17 +41,19 @@ def label_rows(
     rules: Sequence[ValidationRule],
     *,
     order_by: Sequence[str] = (),
-    hot_rows: int | None = DEFAULT_HOT_ROWS,
+    look_ahead: bool | None = None,
+    hot_rows: int = DEFAULT_HOT_ROWS,
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """df plus ``__rule__``: the place in rules of the first rule the row fails, null if none.
 
     order_by says which row of a duplicated key is the first.
 
-    Unique-key and foreign-key rules first look at the keys of df, each in a small job run at
-    once, to choose a plan: broadcast_bytes is how large a list of repeated or missing keys may be
-    broadcast, hot_rows from which size a repeated key is ranked in two rounds. With hot_rows None
-    they do not look, and shuffle all rows by key. The labels are the same whatever the plan.
+    With look_ahead, unique-key and foreign-key rules first look at the keys of df, each in a
+    narrow job run at once, to choose a plan that shuffles few rows or none: broadcast_bytes is how
+    large a list of repeated or missing keys may be broadcast, hot_rows from which size a repeated
+    key is ranked in two rounds. Without, nothing runs until the result is used, and such rules
+    shuffle all rows by key. By default the size of df decides. The labels are always the same.
     """
     columns = df.columns
     frame = df
@@ -56,10 +65,17 @@ def label_rows(
         frame = frame.withColumn(REASON_COL, F.lit(None).cast("string"))
         carried.append(REASON_COL)
 
+    if look_ahead is None:
+        look_ahead = not 0 <= estimated_bytes(df) < LOOK_AHEAD_BYTES
+    preview = df if look_ahead else None
+
     label: Column = F.lit(None).cast("int")
     for place, rule in enumerate(rules):
         if isinstance(rule, PredicateRule):
-            label = F.coalesce(label, F.when(rule.fails(df.schema), F.lit(place)))
+            fails = rule.fails(df.schema)
+            label = F.coalesce(label, F.when(fails, F.lit(place)))
+            if preview is not None:
+                preview = preview.filter(~fails)
             continue
         frame = frame.select(*quoted(carried), label.alias(RULE_COL))
         label = F.col(RULE_COL)
@@ -72,6 +88,7 @@ def label_rows(
                     spread=F.col(_SPREAD_COL),
                     prefix=f"__mark{place}",
                     order_by=order_by,
+                    preview=preview,
                     hot_rows=hot_rows,
                     broadcast_bytes=broadcast_bytes,
                 ),

@@ -20,12 +20,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import types as T
 
 from sparkgate.operators.skew import (
-    BROADCAST_BYTES,
     SPREAD_WIDTH,
     comparable_columns,
     hot_buckets,
     key_bucket,
-    key_bytes,
+    key_width,
     missing_keys,
     quoted,
     repeated_keys,
@@ -54,8 +53,10 @@ class MarkContext:
     spread: Column  # subgroup number, see operators.skew
     prefix: str  # for helper columns, unique per rule
     order_by: Sequence[str]
-    hot_rows: int | None  # None: do not look at the keys first
-    broadcast_bytes: int = BROADCAST_BYTES
+    # Input rows to look at before choosing a plan, all those alive among them; None to not look.
+    preview: DataFrame | None
+    hot_rows: int
+    broadcast_bytes: int
 
 
 class ValidationRule(ABC):
@@ -205,14 +206,16 @@ class UniqueKeyRule(StatefulRule):
     def mark(self, df: DataFrame, context: MarkContext) -> tuple[DataFrame, Column]:
         first = f"{context.prefix}_first"
         fails = context.alive & ~F.col(first)
-        if context.hot_rows is None:
+        if context.preview is None:
             return self._rank(df, context, [], first), fails
 
-        repeated = repeated_keys(df.filter(context.alive), self.keys)
-        size = key_bytes(repeated, self.keys)
-        if size == 0:
+        repeated = repeated_keys(context.preview, self.keys)
+        size, most = repeated.agg(F.sum(key_width(self.keys)), F.max("n")).first()
+        if size is None:
             return df, F.lit(False)
-        hot = hot_buckets(repeated, self.keys, context.hot_rows)
+        hot = []
+        if most > context.hot_rows:
+            hot = hot_buckets(repeated, self.keys, context.hot_rows)
         if size > context.broadcast_bytes:
             return self._rank(df, context, hot, first), fails
 
@@ -272,14 +275,12 @@ class ReferentialIntegrityRule(StatefulRule):
 
     def mark(self, df: DataFrame, context: MarkContext) -> tuple[DataFrame, Column]:
         foreign = F.col(f"`{self.fk}`")
-        if context.hot_rows is None:
+        if context.preview is None:
             return self._look_up(df, context)
 
-        missing = missing_keys(
-            df.filter(context.alive), self.fk, self.reference_df, self.ref_column
-        )
-        size = key_bytes(missing, [self.fk])
-        if size == 0:
+        missing = missing_keys(context.preview, self.fk, self.reference_df, self.ref_column)
+        size = missing.agg(F.sum(key_width([self.fk]))).first()[0]
+        if size is None:
             return df, context.alive & foreign.isNull()
         if size > context.broadcast_bytes:
             return self._look_up(df, context)

@@ -22,6 +22,8 @@ SPREAD_WIDTH = 1024
 KEY_BUCKETS = 65536
 # A key with no more rows than this is not worth splitting.
 DEFAULT_HOT_ROWS = 1_000_000
+# Below this input size, shuffling all rows costs less than looking at their keys first.
+LOOK_AHEAD_BYTES = 1 << 30
 # Keys are broadcast up to this size, as text plus some room per row.
 BROADCAST_BYTES = 8 << 20
 _ROW_BYTES = 32
@@ -69,6 +71,14 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def estimated_bytes(df: DataFrame) -> int:
+    """Catalyst's estimate of a frame's size: file sizes for plain scans, far too much if unsure.
+
+    Products of many large joins may overflow, and then come out negative.
+    """
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys with more than one row, and their row count n. Null keys count as equal."""
     counted = df.groupBy(*quoted(keys)).agg(F.count(F.lit(1)).alias("n"))
@@ -77,19 +87,18 @@ def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def missing_keys(df: DataFrame, key: str, reference: DataFrame, ref_key: str) -> DataFrame:
     """Distinct keys of df, null aside, that the reference column does not hold."""
-    wanted = df.filter(F.col(f"`{key}`").isNotNull()).select(key).distinct()
+    wanted = df.select(F.col(f"`{key}`").alias(key)).filter(F.col(f"`{key}`").isNotNull())
     known = reference.select(F.col(f"`{ref_key}`").alias(key))
-    return settle(wanted.join(known, key, "left_anti"))
+    return settle(wanted.distinct().join(known, key, "left_anti"))
 
 
-def key_bytes(settled: DataFrame, keys: Sequence[str]) -> int:
-    """About how much a broadcast of a settled frame's keys would take; 0 if it has no rows."""
-    width = reduce(
+def key_width(keys: Sequence[str]) -> Column:
+    """About how much one key takes in a broadcast."""
+    return reduce(
         lambda total, key: total + F.coalesce(F.octet_length(key.cast("string")), F.lit(0)),
         quoted(keys),
         F.lit(_ROW_BYTES),
     )
-    return settled.agg(F.sum(width)).first()[0] or 0
 
 
 def hot_buckets(repeated: DataFrame, keys: Sequence[str], hot_rows: int) -> list[int]:
@@ -103,7 +112,7 @@ def tag_keys(
 ) -> DataFrame:
     """df plus a boolean: its key is among the listed ones, which are broadcast.
 
-    Only for keys whose size has been checked, see key_bytes.
+    Only for keys whose size has been checked, see key_width.
     """
     names = [f"{prefix}_key{n}" for n in range(len(keys))]
     small = listed.select(

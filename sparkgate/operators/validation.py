@@ -17,7 +17,6 @@ from sparkgate.operators.ladder import (
     surviving_rows,
 )
 from sparkgate.operators.rules import ValidationRule
-from sparkgate.operators.skew import DEFAULT_HOT_ROWS
 from sparkgate.sources.staging import StagingArea
 
 REJECTED_COL = "__rejected__"
@@ -79,17 +78,19 @@ class DataQualityValidator:
         job_logger: logging.Logger | None = None,
         *,
         order_by: Sequence[str] = (),
-        hot_rows: int | None = DEFAULT_HOT_ROWS,
+        look_ahead: bool | None = None,
         staging: StagingArea | None = None,
     ) -> None:
         self._rules = list(rules)
         self._log = job_logger or logging.getLogger(__name__)
         self._order_by = order_by
-        self._hot_rows = hot_rows
+        self._look_ahead = look_ahead
         self._staging = staging
 
     def validate(self, df: DataFrame) -> ValidationResult:
-        labelled = label_rows(df, self._rules, order_by=self._order_by, hot_rows=self._hot_rows)
+        labelled = label_rows(
+            df, self._rules, order_by=self._order_by, look_ahead=self._look_ahead
+        )
         if self._staging is None:
             valid, invalid = surviving_rows(labelled), rejected_rows(labelled, self._rules)
         else:

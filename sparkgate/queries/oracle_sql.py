@@ -332,6 +332,8 @@ def build() -> dict[str, str]:
             f"SELECT '{name}' AS table_name, failure_ratio, failure_ratio > 0.05 AS over_limit "
             f"FROM ({chain + _summary(steps)})"
         )
+    sql["rule_unique_look_ahead_valid"] = sql["rule_unique_valid"]
+    sql["order_items_look_ahead_rejects"] = sql["order_items_validate_rejects"]
     sql["threshold_gate_report"] = "\nUNION ALL\n".join(gates)
 
     known = f"EXISTS (SELECT 1 FROM ({ORDERS}) o WHERE o.order_id = t.order_id)"

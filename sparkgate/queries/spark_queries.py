@@ -152,7 +152,8 @@ _rule_pair("flag", lambda *_: BooleanFlagRule("reordered"), mapped.spoiled_order
 
 def _label_by_flag(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[ValidationRule]]:
     rules = [UniqueKeyRule(["reordered"])]
-    return label_rows(mapped.order_items(spark, sf_dir), rules, hot_rows=100), rules
+    items = mapped.order_items(spark, sf_dir)
+    return label_rows(items, rules, look_ahead=True, hot_rows=100), rules
 
 
 @query
@@ -166,6 +167,21 @@ def rule_unique_hot_key_invalid(spark, sf_dir):
     return rejected_rows(*_label_by_flag(spark, sf_dir))
 
 
+@query
+def rule_unique_look_ahead_valid(spark, sf_dir):
+    """The plan for large inputs: only rows of repeated keys are ranked."""
+    items = mapped.order_items(spark, sf_dir)
+    return surviving_rows(label_rows(items, [UniqueKeyRule(["id"])], look_ahead=True))
+
+
+@query
+def order_items_look_ahead_rejects(spark, sf_dir):
+    """The whole chain of order items, by the plans for large inputs."""
+    rules = order_items_rules(mapped.orders(spark, sf_dir), MIN_TS, MAX_TS)
+    items = mapped.spoiled_order_items(spark, sf_dir)
+    return rejected_rows(label_rows(items, rules, look_ahead=True), rules)
+
+
 class PriceCeilingRule(ValidationRule):
     """A user's own rule, written as a plain split."""
 

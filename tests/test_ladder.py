@@ -114,10 +114,11 @@ def rule_lists(spark):
 
 PLANS = {
     "default": {},
-    "not looking": {"hot_rows": None},
-    "shuffled": {"broadcast_bytes": 0},
-    "hot shuffled": {"broadcast_bytes": 0, "hot_rows": 20},
-    "hot broadcast": {"hot_rows": 20},
+    "not looking": {"look_ahead": False},
+    "broadcast": {"look_ahead": True},
+    "shuffled": {"look_ahead": True, "broadcast_bytes": 0},
+    "hot shuffled": {"look_ahead": True, "broadcast_bytes": 0, "hot_rows": 20},
+    "hot broadcast": {"look_ahead": True, "hot_rows": 20},
 }
 
 
@@ -151,7 +152,7 @@ def test_large_reference_takes_the_shuffle_join_with_the_same_result(spark):
     df = spark.createDataFrame(rows, SCHEMA)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        labelled = label_rows(df, rules, broadcast_bytes=0)
+        labelled = label_rows(df, rules, look_ahead=False)
         found = sorted(((r[-1], *r[:-1]) for r in labelled.collect()), key=RANKED)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

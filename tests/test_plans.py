@@ -63,7 +63,7 @@ def test_a_hot_foreign_key_is_split_and_null_keys_are_spread(spark, items, tmp_p
         spark__sql__adaptive__advisoryPartitionSizeInBytes="20KB",
         spark__sql__adaptive__coalescePartitions__enabled="false",
     ):
-        labelled = label_rows(items, rules, broadcast_bytes=0)
+        labelled = label_rows(items, rules, look_ahead=False)
         assert "SortMergeJoin(skew=true)" in final_plan_of(labelled)
         # Rows without an order do not gather in one partition of the join.
         per_partition = (
@@ -88,13 +88,13 @@ def test_rows_with_sound_keys_stay_where_they_are(spark, items):
     orders = spark.range(70_000).withColumnRenamed("id", "order_id")
     rules = [NotNullRule("order_id"), UniqueKeyRule(["id"]),
              ReferentialIntegrityRule("order_id", orders, "order_id")]
-    plan = plan_of(label_rows(items, rules))
+    plan = plan_of(label_rows(items, rules, look_ahead=True))
     assert "Exchange" not in plan and "Window" not in plan and "Join" not in plan
 
 
 def test_only_rows_of_repeated_keys_are_shuffled(spark, items):
     rows = items.unionByName(items.filter("id % 1000 = 0"))
-    labelled = label_rows(rows, [UniqueKeyRule(["id"])])
+    labelled = label_rows(rows, [UniqueKeyRule(["id"])], look_ahead=True)
     calm, contested = plan_of(labelled).split("\n   +- ", 1)
     assert "Exchange hashpartitioning" not in calm and "Window" not in calm
     # The few rows left of the join with the repeated keys are what the window shuffles.
@@ -105,25 +105,33 @@ def test_only_rows_of_repeated_keys_are_shuffled(spark, items):
 
 def test_unique_rule_that_cannot_broadcast_shuffles_once(items):
     rows = items.unionByName(items)
-    once = label_rows(rows, [UniqueKeyRule(["id"])], broadcast_bytes=0)
+    rules = [UniqueKeyRule(["id"])]
+    once = label_rows(rows, rules, look_ahead=True, broadcast_bytes=0)
     assert plan_of(once).count("Exchange hashpartitioning") == 1
-    twice = label_rows(rows, [UniqueKeyRule(["id"])], broadcast_bytes=0, hot_rows=1)
+    twice = label_rows(rows, rules, look_ahead=True, broadcast_bytes=0, hot_rows=1)
     assert plan_of(twice).count("Exchange hashpartitioning") == 2
 
 
 def test_orphans_are_found_without_shuffling_rows(spark, items):
     orders = spark.range(59_000).withColumnRenamed("id", "order_id")
     rules = [NotNullRule("order_id"), ReferentialIntegrityRule("order_id", orders, "order_id")]
-    labelled = label_rows(items, rules)
+    labelled = label_rows(items, rules, look_ahead=True)
     plan = plan_of(labelled)
     assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
     assert labelled.filter("__rule__ = 1").count() == items.filter("order_id >= 59000").count()
 
 
+def test_small_inputs_run_nothing_ahead(spark, items):
+    tracker = spark.sparkContext._jsc.sc().dagScheduler()
+    before = tracker.nextJobId()
+    label_rows(items, [UniqueKeyRule(["id"])])
+    assert tracker.nextJobId() == before
+
+
 def test_failed_rows_do_not_gather_in_the_window(spark, items):
     rules = [NotNullRule("order_id"), UniqueKeyRule(["order_id"])]
     with settings(spark, spark__sql__adaptive__coalescePartitions__enabled="false"):
-        labelled = label_rows(items, rules, hot_rows=None)
+        labelled = label_rows(items, rules, look_ahead=False)
         sizes = labelled.filter("order_id is null").groupBy(F.spark_partition_id()).count()
         assert sizes.count() > 4
 

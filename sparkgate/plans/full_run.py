@@ -61,6 +61,10 @@ def archive_file(spark: SparkSession, file: str, archive_path: str) -> str:
     """Move one processed file under the archive's folder for today (UTC); its new location."""
     folder = archive_folder(datetime.now(timezone.utc).date())
     destination = f"{archive_path.rstrip('/')}/{folder}/{file.rpartition('/')[2]}"
-    if not hadoop.move(spark, file, destination):
+    try:
+        moved = hadoop.move(spark, file, destination)
+    except Exception as error:
+        raise StorageWriteError(f"cannot archive {file}: {error}", location=file) from error
+    if not moved:
         raise StorageWriteError(f"cannot archive {file} as {destination}", location=file)
     return destination

@@ -33,11 +33,13 @@ def remove(spark: SparkSession, location: str) -> None:
 
 
 def move(spark: SparkSession, source: str, destination: str) -> bool:
-    """Move one file, creating the destination's folder. False when the rename was refused."""
-    fs, source_path = file_system(spark, source)
-    _, destination_path = file_system(spark, destination)
-    fs.mkdirs(destination_path.getParent())
-    return fs.rename(source_path, destination_path)
+    """Copy one file, to another file system if need be, then delete it. False when refused."""
+    source_fs, source_path = file_system(spark, source)
+    target_fs, target_path = file_system(spark, destination)
+    target_fs.mkdirs(target_path.getParent())
+    return spark._jvm.org.apache.hadoop.fs.FileUtil.copy(
+        source_fs, source_path, target_fs, target_path, True, spark._jsc.hadoopConfiguration()
+    )
 
 
 def write_text(spark: SparkSession, location: str, text: str) -> None:

@@ -9,8 +9,8 @@ from datetime import date, datetime
 import pyspark.sql.functions as F
 import pytest
 
-from sparkgate.errors import SchemaError, ValidationError
-from sparkgate.plans.full_run import run_all
+from sparkgate.errors import SchemaError, StorageWriteError, ValidationError
+from sparkgate.plans.full_run import archive_file, run_all
 from sparkgate.plans.jobs import EMPTY_SUMMARY, run_order_items, run_orders, run_products
 from sparkgate.queries.workbook_copies import workbook_bytes
 from sparkgate.schemas import ORDER_ITEMS_SCHEMA, ORDERS_SCHEMA, PRODUCTS_SCHEMA, raw_schema
@@ -180,3 +180,5 @@ def test_full_run_over_a_landing_folder(spark, settings):
     assert not os.path.exists(trigger)
     archived = [f for _, _, files in os.walk(settings.storage.archive_path) for f in files]
     assert "products.csv" in archived
+    with pytest.raises(StorageWriteError):
+        archive_file(spark, trigger, settings.storage.archive_path)

@@ -10,7 +10,7 @@ import __spark_entry__
 from oracle import connect, differences
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-SQL = __spark_entry__.oracle_sql()
+SQL = __spark_entry__._oracle.build()
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test tables not at hand")
 
@@ -21,7 +21,7 @@ def duck():
 
 
 def test_every_query_has_its_sql():
-    assert set(SQL) == set(__spark_entry__.queries())
+    assert set(SQL) == set(__spark_entry__.QUERIES)
 
 
 def test_entry(spark):

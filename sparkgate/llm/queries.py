@@ -4,21 +4,31 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sparkgate.llm import exact, packing
-from sparkgate.llm.tables import table
+from sparkgate.llm import bpe, exact, packing, warc
+from sparkgate.llm.tables import private_folder, table
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(table(spark, sf_dir, "documents"))
+
+
+def op7_warc_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived_pages(table(spark, sf_dir, "pages"), private_folder(spark, "archives"))
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
     "op2_exact_dedup": op2_exact_dedup,
+    "op6_word_bpe": op6_word_bpe,
+    "op7_warc_zstd": op7_warc_zstd,
     "op9_best_fit_packing": op9_best_fit_packing,
 }
 
-ORACLE_SQL = {"op2_exact_dedup": exact.ORACLE_SQL}
+ORACLE_SQL = {"op2_exact_dedup": exact.ORACLE_SQL, "op7_warc_zstd": warc.ORACLE_SQL}

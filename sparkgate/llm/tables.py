@@ -31,6 +31,11 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return StagingArea(df.sparkSession, "llm").write(df, name)
 
 
+def private_folder(spark: SparkSession, name: str) -> str:
+    """A path under the shared checkpoint folder that nothing else uses."""
+    return f"{StagingArea(spark, 'llm').path}/{name}"
+
+
 def salt(*columns: str, salts: int = SALTS) -> Column:
     """A number below salts taken from the row's content."""
     return F.pmod(F.xxhash64(*columns), F.lit(salts)).cast("int")

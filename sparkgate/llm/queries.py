@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sparkgate.llm import bpe, exact, packing, warc
+from sparkgate.llm import bpe, exact, packing, secrets, warc
 from sparkgate.llm.tables import private_folder, table
 
 
@@ -20,6 +20,10 @@ def op7_warc_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archived_pages(table(spark, sf_dir, "pages"), private_folder(spark, "archives"))
 
 
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scanned(table(spark, sf_dir, "documents"))
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(table(spark, sf_dir, "documents"))
 
@@ -28,7 +32,8 @@ QUERIES = {
     "op2_exact_dedup": op2_exact_dedup,
     "op6_word_bpe": op6_word_bpe,
     "op7_warc_zstd": op7_warc_zstd,
+    "op8_secret_scan": op8_secret_scan,
     "op9_best_fit_packing": op9_best_fit_packing,
 }
 
-ORACLE_SQL = {"op2_exact_dedup": exact.ORACLE_SQL, "op7_warc_zstd": warc.ORACLE_SQL}
+ORACLE_SQL = {"op2_exact_dedup": exact.ORACLE_SQL, "op7_warc_zstd": warc.ORACLE_SQL, "op8_secret_scan": secrets.ORACLE_SQL}

@@ -4,14 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sparkgate.llm import bpe, exact, packing, secrets, warc
+from sparkgate.llm import bpe, counts, exact, langid, packing, quality, secrets, warc
 from sparkgate.llm.tables import private_folder, table
 
 
+def op1_quality_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.languages(table(spark, sf_dir, "documents"))
+
+
 def op6_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"))
 
@@ -28,12 +36,19 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(table(spark, sf_dir, "documents"))
 
 
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return counts.token_counts(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op1_quality_forest": op1_quality_forest,
     "op2_exact_dedup": op2_exact_dedup,
+    "op5_language_id": op5_language_id,
     "op6_word_bpe": op6_word_bpe,
     "op7_warc_zstd": op7_warc_zstd,
     "op8_secret_scan": op8_secret_scan,
     "op9_best_fit_packing": op9_best_fit_packing,
+    "op10_token_counts": op10_token_counts,
 }
 
 ORACLE_SQL = {"op2_exact_dedup": exact.ORACLE_SQL, "op7_warc_zstd": warc.ORACLE_SQL, "op8_secret_scan": secrets.ORACLE_SQL}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sparkgate.llm import bpe, counts, exact, langid, packing, quality, secrets, warc
+from sparkgate.llm import bpe, counts, exact, langid, near, packing, quality, secrets, warc
 from sparkgate.llm.tables import private_folder, table
 
 
@@ -16,6 +16,10 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.languages(table(spark, sf_dir, "documents"))
 
@@ -43,6 +47,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_quality_forest": op1_quality_forest,
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_near_dedup": op3_near_dedup,
     "op5_language_id": op5_language_id,
     "op6_word_bpe": op6_word_bpe,
     "op7_warc_zstd": op7_warc_zstd,

@@ -1,33 +1,73 @@
-"""Documents to packed training sequences: stages over the operators of sparkgate.llm."""
+"""Documents to packed training sequences: stages over the operators of sparkgate.llm.
+
+A stage takes (spark, docs, sf_dir) and returns what it keeps, with the columns of documents; the
+last returns token pieces in their places. Results are written and read again between stages. A
+stage works on any docs with those columns, null values, repeated rows and no rows included, as
+its operator's docstring tells.
+"""
 
 from __future__ import annotations
 
+import pyspark.sql.functions as F
 from pyspark.sql import DataFrame, SparkSession
 
-from sparkgate.llm import exact, packing
-from sparkgate.llm.tables import stage, table
+from sparkgate.llm import exact, langid, near, packing, secrets
+from sparkgate.llm.tables import narrow_enough, stage, table
+
+# Languages less sure than this are rejected: the chance of a coin toss at each of two choices.
+LEAST_SURE = 0.25
+
+
+def _kept(docs: DataFrame, verdicts: DataFrame) -> DataFrame:
+    """docs without the rows whose id is dropped; rows without an id stay.
+
+    The dropped ids are stored and, if their list is small enough, sent to all tasks.
+    """
+    dropped = stage(verdicts.filter("NOT kept AND doc_id IS NOT NULL").select("doc_id").distinct(), "dropped")
+    return docs.join(narrow_enough(dropped, 16), "doc_id", "left_anti").select(*docs.columns)
+
+
+def identify_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a language: texts without a letter go, and those of no sure language."""
+    found = langid.languages(docs)
+    sure = (F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= LEAST_SURE)
+    return _kept(docs, found.select("doc_id", sure.alias("kept")))
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    kept = exact.exact_duplicates(docs).filter("kept").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi")
+    """Of documents with equal texts, that with the smallest id."""
+    return _kept(docs, exact.exact_duplicates(docs))
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each class of near duplicates, the document with the smallest id."""
+    return _kept(docs, near.near_duplicates(docs))
+
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with each secret in their texts replaced by a mark of its kind."""
+    return secrets.redacted(docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces of all documents, packed into sequences."""
     return packing.packed_documents(docs)
 
 
 STAGES = [
+    ("language_id", identify_languages),
     ("exact_dedup", drop_exact_copies),
+    ("near_dedup", drop_near_copies),
+    ("secret_scan", redact_secrets),
     ("best_fit_packing", pack_sequences),
 ]
 
-# Language models, hashing darts and packing are not expressible in SQL.
+# Models, hashed darts and packing are not expressible in SQL; tests/llm has a brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents; each result is stored before the next stage reads it."""
+    """All stages over documents."""
     docs = table(spark, sf_dir, "documents")
     for name, step in STAGES[:-1]:
         docs = stage(step(spark, docs, sf_dir), name)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sparkgate.llm import bpe, counts, exact, langid, near, packing, quality, secrets, warc
+from sparkgate.llm import bpe, counts, exact, langid, licences, near, packing, quality, secrets, warc
 from sparkgate.llm.tables import private_folder, table
 
 
@@ -20,6 +20,10 @@ def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.licences(table(spark, sf_dir, "documents"), path=licences.document_path())
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.languages(table(spark, sf_dir, "documents"))
 
@@ -48,6 +52,7 @@ QUERIES = {
     "op1_quality_forest": op1_quality_forest,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_near_dedup": op3_near_dedup,
+    "op4_licence_scan": op4_licence_scan,
     "op5_language_id": op5_language_id,
     "op6_word_bpe": op6_word_bpe,
     "op7_warc_zstd": op7_warc_zstd,
@@ -56,4 +61,10 @@ QUERIES = {
     "op10_token_counts": op10_token_counts,
 }
 
-ORACLE_SQL = {"op2_exact_dedup": exact.ORACLE_SQL, "op7_warc_zstd": warc.ORACLE_SQL, "op8_secret_scan": secrets.ORACLE_SQL}
+# The others learn, hash or pack: tests/llm holds them against brute force and held-out rows.
+ORACLE_SQL = {
+    "op2_exact_dedup": exact.ORACLE_SQL,
+    "op4_licence_scan": licences.ORACLE_SQL,
+    "op7_warc_zstd": warc.ORACLE_SQL,
+    "op8_secret_scan": secrets.ORACLE_SQL,
+}

@@ -11,7 +11,7 @@ import pyspark.sql.functions as F
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 
 from sparkgate.llm import trigrams
-from sparkgate.llm.tables import narrow_enough, stage
+from sparkgate.llm.tables import BROADCAST_BYTES, narrow_enough, stage
 
 
 @dataclass(frozen=True)
@@ -138,9 +138,7 @@ def scanned(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     spans, as have null and empty texts. Ids may be null or repeat. Other columns are not read.
     """
     spans = stage(find_secrets(documents, id_col, text_col, rules=rules), "spans")
-    listed = spans.groupBy("doc_id", "h").agg(
-        F.sort_array(F.collect_list(F.struct("start", "rule", "stop"))).alias("found")
-    )
+    listed = _listed(spans)
     kinds = F.array(*[F.lit(rule.kind) for rule in rules])
     n_base = len(BASE_RULES)
 
@@ -165,6 +163,52 @@ def scanned(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     )
 
 
+def _listed(spans: DataFrame) -> DataFrame:
+    """Each text's spans in one sorted array, found."""
+    ordered = F.sort_array(F.collect_list(F.struct("start", "rule", "stop")))
+    return spans.groupBy("doc_id", "h").agg(ordered.alias("found"))
+
+
+def redacted(
+    documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str = "n_chars",
+    *, rules: tuple[Rule, ...] = RULES,
+) -> DataFrame:
+    """documents with every span of every rule replaced by its kind in brackets.
+
+    Spans that overlap are replaced as one, under the kind of the first. length_col, if there is
+    one, becomes the length of a text that changed. All other rows and columns stay as they are.
+    """
+    spans = stage(find_secrets(documents, id_col, text_col, rules=rules), "spans")
+    listed = _listed(spans)
+    if spans.count() * 64 <= BROADCAST_BYTES:
+        listed = F.broadcast(listed)
+    named = listed.select(F.col("doc_id").alias("_own_id"), F.col("h").alias("_own_h"), F.col("found").alias("_found"))
+    marks = F.array(*[F.lit(f"[{rule.kind}]") for rule in rules])
+    text = F.col(f"`{text_col}`")
+    whole = F.coalesce(text.cast("string"), F.lit(""))
+    start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
+
+    def step(done: Column, span: Column) -> Column:
+        between = F.substring(whole, (done["at"] + 1).cast("int"), F.greatest(span["start"] - done["at"], F.lit(0)).cast("int"))
+        mark = F.when(span["start"] >= done["at"], F.element_at(marks, span["rule"] + 1)).otherwise("")
+        return F.struct(
+            F.greatest(done["at"], span["stop"]).alias("at"), F.concat(done["out"], between, mark).alias("out")
+        )
+
+    clean = F.aggregate(
+        F.col("_found"), start, step,
+        lambda done: F.concat(done["out"], F.substring(whole, (done["at"] + 1).cast("int"), F.length(whole))),
+    )
+    joined = documents.join(
+        named, F.col(f"`{id_col}`").eqNullSafe(F.col("_own_id")) & (F.xxhash64(whole) == F.col("_own_h")), "left"
+    ).withColumn("_clean", F.when(F.col("_found").isNotNull(), clean).otherwise(text))
+    changed = {text_col: F.col("_clean").alias(text_col)}
+    if length_col in documents.columns:
+        length = F.when(F.col("_found").isNotNull(), F.length("_clean")).otherwise(F.col(f"`{length_col}`"))
+        changed[length_col] = length.cast(documents.schema[length_col].dataType).alias(length_col)
+    return joined.select(*[changed.get(name, F.col(f"`{name}`")) for name in documents.columns])
+
+
 def _oracle_sql() -> str:
     parts = []
     for n, rule in enumerate(RULES):

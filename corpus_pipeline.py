@@ -24,7 +24,8 @@ def _kept(docs: DataFrame, verdicts: DataFrame) -> DataFrame:
     The dropped ids are stored and, if their list is small enough, sent to all tasks.
     """
     dropped = stage(verdicts.filter("NOT kept AND doc_id IS NOT NULL").select("doc_id").distinct(), "dropped")
-    return docs.join(narrow_enough(dropped, 16), "doc_id", "left_anti").select(*docs.columns)
+    left = docs.join(narrow_enough(dropped, 16), "doc_id", "left_anti")
+    return left.select(*[F.col(f"`{name}`") for name in docs.columns])
 
 
 def identify_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -182,31 +182,39 @@ def redacted(
     listed = _listed(spans)
     if spans.count() * 64 <= BROADCAST_BYTES:
         listed = F.broadcast(listed)
-    named = listed.select(F.col("doc_id").alias("_own_id"), F.col("h").alias("_own_h"), F.col("found").alias("_found"))
-    marks = F.array(*[F.lit(f"[{rule.kind}]") for rule in rules])
-    text = F.col(f"`{text_col}`")
+    # Rows travel whole, so that no name of theirs can clash with one used here.
+    rows = documents.select(F.struct(*[F.col(f"`{name}`") for name in documents.columns]).alias("row"))
+    text = F.col("row").getField(text_col)
     whole = F.coalesce(text.cast("string"), F.lit(""))
+    marks = F.array(*[F.lit(f"[{rule.kind}]") for rule in rules])
     start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
 
     def step(done: Column, span: Column) -> Column:
-        between = F.substring(whole, (done["at"] + 1).cast("int"), F.greatest(span["start"] - done["at"], F.lit(0)).cast("int"))
+        size = F.greatest(span["start"] - done["at"], F.lit(0)).cast("int")
+        between = F.substring(whole, (done["at"] + 1).cast("int"), size)
         mark = F.when(span["start"] >= done["at"], F.element_at(marks, span["rule"] + 1)).otherwise("")
         return F.struct(
             F.greatest(done["at"], span["stop"]).alias("at"), F.concat(done["out"], between, mark).alias("out")
         )
 
     clean = F.aggregate(
-        F.col("_found"), start, step,
+        "found", start, step,
         lambda done: F.concat(done["out"], F.substring(whole, (done["at"] + 1).cast("int"), F.length(whole))),
     )
-    joined = documents.join(
-        named, F.col(f"`{id_col}`").eqNullSafe(F.col("_own_id")) & (F.xxhash64(whole) == F.col("_own_h")), "left"
-    ).withColumn("_clean", F.when(F.col("_found").isNotNull(), clean).otherwise(text))
-    changed = {text_col: F.col("_clean").alias(text_col)}
-    if length_col in documents.columns:
-        length = F.when(F.col("_found").isNotNull(), F.length("_clean")).otherwise(F.col(f"`{length_col}`"))
-        changed[length_col] = length.cast(documents.schema[length_col].dataType).alias(length_col)
-    return joined.select(*[changed.get(name, F.col(f"`{name}`")) for name in documents.columns])
+    hit = F.col("found").isNotNull()
+    joined = rows.join(
+        listed, F.col("row").getField(id_col).eqNullSafe(F.col("doc_id")) & (F.xxhash64(whole) == F.col("h")), "left"
+    ).withColumn("clean", F.when(hit, clean).otherwise(text))
+
+    def column(name: str) -> Column:
+        value = F.col("row").getField(name)
+        if name == text_col:
+            value = F.col("clean")
+        elif name == length_col:
+            value = F.when(hit, F.length("clean").cast(documents.schema[name].dataType)).otherwise(value)
+        return value.alias(name)
+
+    return joined.select(*[column(name) for name in documents.columns])
 
 
 def _oracle_sql() -> str:

@@ -1,0 +1,57 @@
+import pyspark.sql.functions as F
+
+from llm_frames import documents
+from sparkgate.llm import licences
+
+WORDS = "plain words about nothing much at all in several lines"
+
+
+def scan(spark, rows):
+    """rows: (id, path, text)."""
+    docs = documents(spark, [(i, t, "en") for i, _, t in rows])
+    paths = spark.createDataFrame([(i, p) for i, p, _ in rows], "doc_id long, path string")
+    found = licences.licences(docs.join(paths, "doc_id"), path=F.col("path"))
+    return {r.doc_id: (r.licence, r.found_in) for r in found.collect()}
+
+
+def test_lines_files_and_folders(spark):
+    rows = [
+        (1, "a/LICENSE", "Released under the MIT License."),
+        (2, "a/b/c/code.txt", WORDS),
+        (3, "a/b/LICENSE", "Licensed under the Apache License, Version 2.0."),
+        (4, "a/x/code.txt", f"{WORDS}\nLicensed under CC BY-NC 4.0.\n{WORDS}\n{WORDS}\n{WORDS}"),
+        (5, "a/x/more.txt", WORDS),
+        (6, "other/code.txt", WORDS),
+        (7, "a/b/near.txt", f"{WORDS}\nThis work is licensed under the GNU General Public License (version 3).\n" + f"{WORDS}\n" * 5),
+        (8, None, WORDS),
+        (9, "top.txt", None),
+    ]
+    rows += [(100 + n, f"bulk/{n}.txt", f"{WORDS} number {n} of the rest under this or any version") for n in range(60)]
+    found = scan(spark, rows)
+    assert found[1] == ("MIT", "file") and found[3] == ("Apache-2.0", "file")
+    assert found[2] == ("Apache-2.0", "folder") and found[5] == ("MIT", "folder")
+    assert found[4] == ("CC-BY-NC-4.0", "line") and found[7] == ("GPL-3.0", "line")
+    assert {found[i] for i in (6, 8, 9, *range(100, 160))} == {(None, None)}
+
+
+def test_odd_rows(odd, none):
+    rows = licences.licences(odd, path=licences.document_path()).collect()
+    assert len(rows) == odd.count() and all(r.licence is None for r in rows)
+    assert licences.licences(none).count() == 0
+
+
+def test_the_filter_spares_no_near_passage():
+    idf = {term: 1.0 + n % 3 for n, term in enumerate(licences.VOCABULARY)}
+    vectors = licences._vectors(idf)
+    telling = set(licences._telling(vectors, 0.6))
+    for vector in vectors:
+        rest = sum(w * w for term, w in vector.items() if term not in telling)
+        assert rest < 0.36
+
+
+def test_ancestors(spark):
+    row = spark.sql("SELECT 'a/b/c' AS f, '' AS e").select(
+        licences.ancestors(F.col("f")), licences.ancestors(F.col("e"))
+    ).first()
+    assert row[0] == ["a/b/c", "a/b", "a", ""]
+    assert set(row[1]) == {""}

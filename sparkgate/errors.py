@@ -31,10 +31,6 @@ class DuplicateKeyError(ValidationError):
     """A key occurs more than once where it must be unique."""
 
 
-class ReferentialIntegrityError(ValidationError):
-    """A foreign key points at no row of its reference table."""
-
-
 class StorageError(SparkgateError):
     """A read or write on a file system failed."""
 
@@ -55,9 +51,5 @@ class JobError(SparkgateError):
     """A job step failed."""
 
 
-class ProgressError(JobError):
-    """A run could not record its progress."""
-
-
 class TableMergeError(JobError):
     """An upsert into a table failed; the table keeps its earlier version."""

@@ -24,11 +24,10 @@ from sparkgate.operators.rules import (
 from sparkgate.operators.skew import (
     BROADCAST_BYTES,
     DEFAULT_HOT_ROWS,
-    LOOK_AHEAD_BYTES,
-    estimated_bytes,
     quoted,
     spread,
 )
+from sparkgate.sources.staging import StagingArea
 
 RULE_COL = "__rule__"
 # Only present with rules that split for themselves: the reason such a rule gave.
@@ -41,7 +40,8 @@ def label_rows(
     rules: Sequence[ValidationRule],
     *,
     order_by: Sequence[str] = (),
-    look_ahead: bool | None = None,
+    look_ahead: bool = False,
+    staging: StagingArea | None = None,
     hot_rows: int = DEFAULT_HOT_ROWS,
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
@@ -49,11 +49,17 @@ def label_rows(
 
     order_by says which row of a duplicated key is the first.
 
-    With look_ahead, unique-key and foreign-key rules first look at the keys of df, each in a
-    narrow job run at once, to choose a plan that shuffles few rows or none: broadcast_bytes is how
-    large a list of repeated or missing keys may be broadcast, hot_rows from which size a repeated
-    key is ranked in two rounds. Without, nothing runs until the result is used, and such rules
-    shuffle all rows by key. By default the size of df decides. The labels are always the same.
+    By default nothing runs until the result is used, df is evaluated once, and rules over keys
+    shuffle all rows by key, hot keys split.
+
+    look_ahead is for a df that reads stored rows, which are the same each time. Unique-key and
+    foreign-key rules then look at its keys first, each in a narrow job run at once, and shuffle
+    few rows or none: broadcast_bytes is how large a list of repeated or missing keys may be
+    broadcast, hot_rows from which counted size on a repeated key is ranked in two rounds. The
+    plan follows from these counts alone, at every size of df.
+
+    What is stored on the way goes to staging, by default a folder of its own in the checkpoint
+    folder. It must stay until the result has been used.
     """
     columns = df.columns
     frame = df
@@ -65,9 +71,10 @@ def label_rows(
         frame = frame.withColumn(REASON_COL, F.lit(None).cast("string"))
         carried.append(REASON_COL)
 
-    if look_ahead is None:
-        look_ahead = not 0 <= estimated_bytes(df) < LOOK_AHEAD_BYTES
     preview = df if look_ahead else None
+    splits = any(not isinstance(rule, MarkingRule) for rule in rules)
+    if staging is None and (look_ahead or splits):
+        staging = StagingArea(df.sparkSession, "ladder")
 
     label: Column = F.lit(None).cast("int")
     for place, rule in enumerate(rules):
@@ -89,13 +96,15 @@ def label_rows(
                     prefix=f"__mark{place}",
                     order_by=order_by,
                     preview=preview,
+                    staging=staging,
                     hot_rows=hot_rows,
                     broadcast_bytes=broadcast_bytes,
                 ),
             )
             label = F.coalesce(label, F.when(fails, F.lit(place)))
         else:
-            frame = _split_with(frame, rule, place)
+            # Stored first: three branches read it, which would each run all that came before.
+            frame = _split_with(staging.write(frame, f"before_rule_{place}"), rule, place)
     if _SPREAD_COL in carried:
         carried.remove(_SPREAD_COL)
     return frame.select(*quoted(carried), label.alias(RULE_COL))

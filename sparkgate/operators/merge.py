@@ -14,6 +14,7 @@ import pyspark.sql.functions as F
 from pyspark.sql import DataFrame
 
 from sparkgate.errors import DuplicateKeyError
+from sparkgate.operators.skew import quoted
 
 ACTION_COL = "__action__"
 INSERT, UPDATE, UNCHANGED = "insert", "update", "unchanged"
@@ -21,22 +22,22 @@ INSERT, UPDATE, UNCHANGED = "insert", "update", "unchanged"
 
 def unmatched_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Target rows no source row has the keys of; a null key matches nothing."""
-    return target.join(source.select(*keys), list(keys), "left_anti").select(*target.columns)
+    return target.join(source.select(*quoted(keys)), list(keys), "left_anti").select(*quoted(target.columns))
 
 
 def merge_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The target after the merge. Source keys must be unique, and columns as in the target."""
-    return unmatched_rows(target, source, keys).unionByName(source.select(*target.columns))
+    return unmatched_rows(target, source, keys).unionByName(source.select(*quoted(target.columns)))
 
 
 def merge_actions(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """As merge_rows, with ``__action__`` telling what the merge did to each row."""
-    known = target.select(*keys).withColumn("__known__", F.lit(True))
+    known = target.select(*quoted(keys)).withColumn("__known__", F.lit(True))
     written = (
-        source.select(*target.columns)
+        source.select(*quoted(target.columns))
         .join(known, list(keys), "left")
         .withColumn(ACTION_COL, F.when(F.col("__known__"), UPDATE).otherwise(INSERT))
-        .select(*target.columns, ACTION_COL)
+        .select(*quoted(target.columns), ACTION_COL)
     )
     kept = unmatched_rows(target, source, keys).withColumn(ACTION_COL, F.lit(UNCHANGED))
     return kept.unionByName(written)
@@ -45,9 +46,9 @@ def merge_actions(target: DataFrame, source: DataFrame, keys: Sequence[str]) ->
 def merge_counts(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row: rows_inserted, rows_updated, rows_unchanged. Only keys are read."""
     matched = (
-        target.select(*keys).withColumn("__side__", F.lit(1))
-        .unionAll(source.select(*keys).withColumn("__side__", F.lit(2)))
-        .groupBy(*keys)
+        target.select(*quoted(keys)).withColumn("__side__", F.lit(1))
+        .unionAll(source.select(*quoted(keys)).withColumn("__side__", F.lit(2)))
+        .groupBy(*quoted(keys))
         .agg(
             F.count_if(F.col("__side__") == 1).alias("old"),
             F.count_if(F.col("__side__") == 2).alias("new"),
@@ -55,7 +56,7 @@ def merge_counts(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> D
     )
     null_key = F.lit(False)
     for key in keys:
-        null_key = null_key | F.col(key).isNull()
+        null_key = null_key | F.col(f"`{key}`").isNull()
     both = ~null_key & (F.col("old") > 0) & (F.col("new") > 0)
     return matched.agg(
         F.coalesce(F.sum(F.when(~both, F.col("new"))), F.lit(0)).alias("rows_inserted"),
@@ -72,18 +73,18 @@ def touched_partitions(
     Keys decide, not partitions: a row whose partition column changed is found where it was.
     """
     return (
-        target.select(*dict.fromkeys([*keys, *partition_cols]))
-        .join(source.select(*keys), list(keys), "left_semi")
-        .select(*partition_cols)
+        target.select(*quoted(dict.fromkeys([*keys, *partition_cols])))
+        .join(source.select(*quoted(keys)), list(keys), "left_semi")
+        .select(*quoted(partition_cols))
         .distinct()
     )
 
 
 def require_unique(source: DataFrame, keys: Sequence[str]) -> None:
     """Raise when a key occurs twice. Counts are combined map-side, so hot keys are harmless."""
-    twice = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
+    twice = source.groupBy(*quoted(keys)).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
     for key in keys:
-        twice = twice.filter(F.col(key).isNotNull())
+        twice = twice.filter(F.col(f"`{key}`").isNotNull())
     example = twice.first()
     if example is not None:
         found = ", ".join(f"{key}={example[key]!r}" for key in keys)

@@ -22,14 +22,13 @@ from pyspark.sql import types as T
 from sparkgate.operators.skew import (
     SPREAD_WIDTH,
     comparable_columns,
-    hot_buckets,
-    key_bucket,
     key_width,
     missing_keys,
     quoted,
     repeated_keys,
     tag_keys,
 )
+from sparkgate.sources.staging import StagingArea
 
 ERROR_COL = "__error_reason__"
 
@@ -53,8 +52,10 @@ class MarkContext:
     spread: Column  # subgroup number, see operators.skew
     prefix: str  # for helper columns, unique per rule
     order_by: Sequence[str]
-    # Input rows to look at before choosing a plan, all those alive among them; None to not look.
+    # Stored input rows to look at before choosing a plan, all those alive among them, and where
+    # to keep what is found; None to not look.
     preview: DataFrame | None
+    staging: StagingArea | None
     hot_rows: int
     broadcast_bytes: int
 
@@ -117,6 +118,10 @@ class ColumnRule(PredicateRule):
     def __init__(self, column: str) -> None:
         self.column = column
 
+    @property
+    def value(self) -> Column:
+        return quoted([self.column])[0]
+
     @property
     def rule_name(self) -> str:
         return f"{self.kind}:{self.column}"
@@ -133,7 +138,7 @@ class NotNullRule(ColumnRule):
     reason_format = NULL_REASON
 
     def fails(self, schema: T.StructType) -> Column:
-        return F.col(self.column).isNull()
+        return self.value.isNull()
 
 
 class PositiveAmountRule(ColumnRule):
@@ -143,7 +148,7 @@ class PositiveAmountRule(ColumnRule):
     reason_format = AMOUNT_REASON
 
     def fails(self, schema: T.StructType) -> Column:
-        return ~_holds(F.col(self.column) > 0)
+        return ~_holds(self.value > 0)
 
 
 class BooleanFlagRule(ColumnRule):
@@ -153,7 +158,7 @@ class BooleanFlagRule(ColumnRule):
     reason_format = FLAG_REASON
 
     def fails(self, schema: T.StructType) -> Column:
-        return ~_holds(F.col(self.column).isin(0, 1))
+        return ~_holds(self.value.isin(0, 1))
 
 
 class TimestampRangeRule(ColumnRule):
@@ -178,7 +183,7 @@ class TimestampRangeRule(ColumnRule):
         zoneless = isinstance(schema[self.column].dataType, T.TimestampNTZType)
         bound_type = "timestamp_ntz" if zoneless else "timestamp"
         low, high = (F.lit(bound.isoformat(sep=" ")).cast(bound_type) for bound in self.bounds)
-        return ~_holds(F.col(self.column).between(low, high))
+        return ~_holds(self.value.between(low, high))
 
 
 class UniqueKeyRule(StatefulRule):
@@ -187,8 +192,11 @@ class UniqueKeyRule(StatefulRule):
     First means first by order_by, then by all other columns, so that the choice does not depend
     on how the input is split into files.
 
-    Repeated keys are looked for first. With none, no row can fail. If they can be broadcast, only
-    their rows are ranked and all others stay where they are. Else all rows are shuffled by key.
+    Rows are ranked in two rounds, first in subgroups of their key, then among the subgroups'
+    winners, so that no key's rows meet in one task, however many they are. When the ladder looks
+    ahead, repeated keys are counted first: with none, no row can fail; if they can be broadcast,
+    only their rows are ranked and all others stay where they are; and one round is enough when
+    none of them is hot.
     """
 
     def __init__(self, key_columns: list[str], order_by: Sequence[str] = ()) -> None:
@@ -207,26 +215,26 @@ class UniqueKeyRule(StatefulRule):
         first = f"{context.prefix}_first"
         fails = context.alive & ~F.col(first)
         if context.preview is None:
-            return self._rank(df, context, [], first), fails
+            return self._rank(df, context, True, first), fails
 
-        repeated = repeated_keys(context.preview, self.keys)
+        repeated = repeated_keys(
+            context.preview, self.keys, context.staging, f"{context.prefix}_repeated"
+        )
         size, most = repeated.agg(F.sum(key_width(self.keys)), F.max("n")).first()
         if size is None:
             return df, F.lit(False)
-        hot = []
-        if most > context.hot_rows:
-            hot = hot_buckets(repeated, self.keys, context.hot_rows)
+        split = most > context.hot_rows
         if size > context.broadcast_bytes:
-            return self._rank(df, context, hot, first), fails
+            return self._rank(df, context, split, first), fails
 
         contested = f"{context.prefix}_contested"
         tagged = tag_keys(df, self.keys, repeated, context.prefix, contested)
         contest = F.col(contested) & context.alive
-        ranked = self._rank(tagged.filter(contest), context, hot, first)
+        ranked = self._rank(tagged.filter(contest), context, split, first)
         return tagged.filter(~contest).withColumn(first, F.lit(True)).unionByName(ranked), fails
 
     def _rank(
-        self, df: DataFrame, context: MarkContext, hot: list[int], first: str
+        self, df: DataFrame, context: MarkContext, split: bool, first: str
     ) -> DataFrame:
         """df plus a boolean: the row is the first of its key among the rows alive."""
         leading = [*(self.order_by or context.order_by)]
@@ -240,12 +248,9 @@ class UniqueKeyRule(StatefulRule):
 
         # Rows already failed only ride along: they must not gather under one key.
         apart = context.spread + SPREAD_WIDTH
-        if not hot:
+        if not split:
             return df.withColumn(first, leads(F.when(context.alive, F.lit(0)).otherwise(apart)))
-
-        # Two rounds for hot keys: first within subgroups, then among their winners.
-        is_hot = key_bucket(self.keys).isin(hot)
-        subgroup = F.when(~context.alive, apart).when(is_hot, context.spread).otherwise(F.lit(-1))
+        subgroup = F.when(context.alive, context.spread).otherwise(apart)
         df = df.withColumn(first, context.alive & leads(subgroup))
         final = F.when(F.col(first), F.lit(-1)).otherwise(apart)
         return df.withColumn(first, F.col(first) & leads(final))
@@ -254,10 +259,11 @@ class UniqueKeyRule(StatefulRule):
 class ReferentialIntegrityRule(StatefulRule):
     """The foreign key must occur in the reference column; null fails.
 
-    Keys missing from the reference are looked for first, among the distinct foreign keys. With
-    none, only nulls fail; if they can be broadcast, rows stay where they are. Else the rows are
-    joined with the distinct reference keys: rows with nothing to look up get a padded key, which
-    matches nothing and hashes apart, and hot foreign keys are split by adaptive execution.
+    Rows are joined with the distinct reference keys: rows with nothing to look up get a padded
+    key, which matches nothing and hashes apart, and hot foreign keys are split by adaptive
+    execution. When the ladder looks ahead, keys missing from the reference are looked for first,
+    among the distinct foreign keys: with none, only nulls fail; if they can be broadcast, rows
+    stay where they are.
     """
 
     def __init__(self, fk_column: str, reference_df: DataFrame, ref_column: str) -> None:
@@ -278,7 +284,10 @@ class ReferentialIntegrityRule(StatefulRule):
         if context.preview is None:
             return self._look_up(df, context)
 
-        missing = missing_keys(context.preview, self.fk, self.reference_df, self.ref_column)
+        missing = missing_keys(
+            context.preview, self.fk, self.reference_df, self.ref_column,
+            context.staging, f"{context.prefix}_missing",
+        )
         size = missing.agg(F.sum(key_width([self.fk]))).first()[0]
         if size is None:
             return df, context.alive & foreign.isNull()

@@ -1,8 +1,8 @@
 """Keeping rows where they are, and groups bounded.
 
-Rules over keys look at the keys first: a narrow aggregate, combined map-side, finds the few that
-can matter. If these are few enough to broadcast, whole rows need not be shuffled at all. If not,
-rows are shuffled by key, with hot keys split and failed rows spread.
+Over stored rows, rules over keys can look at the keys first: a narrow aggregate, combined
+map-side, finds the few that can matter. If these are few enough to broadcast, whole rows need not
+be shuffled at all. If not, rows are shuffled by key, with hot keys split and failed rows spread.
 """
 
 from __future__ import annotations
@@ -14,16 +14,12 @@ import pyspark.sql.functions as F
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import types as T
 
-from sparkgate.sources.staging import staging_root
+from sparkgate.sources.staging import StagingArea
 
 # Rows of one group that need not stay together are dealt into this many subgroups.
 SPREAD_WIDTH = 1024
-# Hot keys are remembered by hash bucket, so that their list has a bounded size.
-KEY_BUCKETS = 65536
-# A key with no more rows than this is not worth splitting.
+# A key counted to have no more rows than this is not worth splitting.
 DEFAULT_HOT_ROWS = 1_000_000
-# Below this input size, shuffling all rows costs less than looking at their keys first.
-LOOK_AHEAD_BYTES = 1 << 30
 # Keys are broadcast up to this size, as text plus some room per row.
 BROADCAST_BYTES = 8 << 20
 _ROW_BYTES = 32
@@ -58,38 +54,19 @@ def spread(df: DataFrame) -> Column:
     return F.pmod(F.xxhash64(F.spark_partition_id(), *columns), F.lit(SPREAD_WIDTH)).cast("int")
 
 
-def key_bucket(keys: Sequence[str]) -> Column:
-    """Hash bucket of a key."""
-    return F.pmod(F.xxhash64(*quoted(keys)), F.lit(KEY_BUCKETS)).cast("int")
-
-
-def settle(df: DataFrame) -> DataFrame:
-    """df computed once and kept in the checkpoint folder."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(staging_root(spark))
-    return df.checkpoint()
-
-
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's estimate of a frame's size: file sizes for plain scans, far too much if unsure.
-
-    Products of many large joins may overflow, and then come out negative.
-    """
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+def repeated_keys(df: DataFrame, keys: Sequence[str], staging: StagingArea, name: str) -> DataFrame:
     """Keys with more than one row, and their row count n. Null keys count as equal."""
     counted = df.groupBy(*quoted(keys)).agg(F.count(F.lit(1)).alias("n"))
-    return settle(counted.filter(F.col("n") > 1))
+    return staging.write(counted.filter(F.col("n") > 1), name)
 
 
-def missing_keys(df: DataFrame, key: str, reference: DataFrame, ref_key: str) -> DataFrame:
+def missing_keys(
+    df: DataFrame, key: str, reference: DataFrame, ref_key: str, staging: StagingArea, name: str
+) -> DataFrame:
     """Distinct keys of df, null aside, that the reference column does not hold."""
     wanted = df.select(F.col(f"`{key}`").alias(key)).filter(F.col(f"`{key}`").isNotNull())
     known = reference.select(F.col(f"`{ref_key}`").alias(key))
-    return settle(wanted.distinct().join(known, key, "left_anti"))
+    return staging.write(wanted.distinct().join(known, key, "left_anti"), name)
 
 
 def key_width(keys: Sequence[str]) -> Column:
@@ -101,12 +78,6 @@ def key_width(keys: Sequence[str]) -> Column:
     )
 
 
-def hot_buckets(repeated: DataFrame, keys: Sequence[str], hot_rows: int) -> list[int]:
-    """Buckets of the keys with more than hot_rows rows; KEY_BUCKETS numbers at most."""
-    hot = repeated.filter(F.col("n") > hot_rows)
-    return [row[0] for row in hot.select(key_bucket(keys)).distinct().collect()]
-
-
 def tag_keys(
     df: DataFrame, keys: Sequence[str], listed: DataFrame, prefix: str, flag: str
 ) -> DataFrame:

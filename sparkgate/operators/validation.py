@@ -67,7 +67,8 @@ def _rule_result(rule: ValidationRule, failed: int) -> RuleResult:
 class DataQualityValidator:
     """Applies rules in order; each judges only what the earlier ones passed.
 
-    With a staging area the labelled frame is written there once, and counts, valid and invalid
+    look_ahead is for frames that read stored rows, see label_rows. With a staging area the
+    labelled frame is written there once, and counts, valid and invalid
     rows are all read back from it. Without one the two frames stay lazy, and each action on them
     evaluates the rules again.
     """
@@ -78,7 +79,7 @@ class DataQualityValidator:
         job_logger: logging.Logger | None = None,
         *,
         order_by: Sequence[str] = (),
-        look_ahead: bool | None = None,
+        look_ahead: bool = False,
         staging: StagingArea | None = None,
     ) -> None:
         self._rules = list(rules)
@@ -89,7 +90,11 @@ class DataQualityValidator:
 
     def validate(self, df: DataFrame) -> ValidationResult:
         labelled = label_rows(
-            df, self._rules, order_by=self._order_by, look_ahead=self._look_ahead
+            df,
+            self._rules,
+            order_by=self._order_by,
+            look_ahead=self._look_ahead,
+            staging=self._staging,
         )
         if self._staging is None:
             valid, invalid = surviving_rows(labelled), rejected_rows(labelled, self._rules)

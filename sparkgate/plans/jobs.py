@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from sparkgate.functions.names import is_items_workbook, is_orders_workbook
-from sparkgate.operators.rules import NotNullRule, UniqueKeyRule, ValidationRule
+from sparkgate.operators.rules import ValidationRule
 from sparkgate.operators.validation import DataQualityValidator, check_threshold
 from sparkgate.plans.rule_sets import order_items_rules, orders_rules, products_rules
 from sparkgate.schemas import ORDERS_SCHEMA, PARTITION_COLS, PRIMARY_KEYS, SCHEMA_REGISTRY
@@ -41,15 +41,6 @@ class TableJob:
     rules: Sequence[ValidationRule]
     order_by: Sequence[str] = field(default=())
 
-    @property
-    def rules_make_keys_unique(self) -> bool:
-        """The rules leave every merge key present and once."""
-        required = {r.column for r in self.rules if isinstance(r, NotNullRule)}
-        unique = any(
-            isinstance(r, UniqueKeyRule) and set(r.keys) == set(self.keys) for r in self.rules
-        )
-        return unique and required >= set(self.keys)
-
 
 def table_job(table: str, rules: Sequence[ValidationRule]) -> TableJob:
     """Job description of a registered table."""
@@ -66,7 +57,7 @@ def run_table_job(
     spark: SparkSession,
     job: TableJob,
     settings: RunSettings,
-    read_source: Callable[[StagingArea], DataFrame],
+    read_source: Callable[[], DataFrame],
     *,
     table_path: str | None = None,
     quarantine_base_path: str | None = None,
@@ -78,8 +69,8 @@ def run_table_job(
     """Run one table's job and return its counts.
 
     Rejects are quarantined before the gate is checked, so they can be inspected when it fails;
-    the target changes only after it. Rules are evaluated once: the labelled rows are staged, and
-    counting, quarantining and merging read them from there.
+    the target changes only after it. The source is read once, into staging, and so are the rules
+    evaluated: counting, quarantining and merging read the stored labelled rows.
     """
     started = time.monotonic()
     storage = settings.storage
@@ -97,9 +88,11 @@ def run_table_job(
 
     try:
         with StagingArea(spark, job.table) as staging:
+            # Stored once, so that all that looks at it sees the same rows.
+            source = staging.write(read_source(), "source")
             result = DataQualityValidator(
-                job.rules, logger, order_by=job.order_by, staging=staging
-            ).validate(read_source(staging))
+                job.rules, logger, order_by=job.order_by, look_ahead=True, staging=staging
+            ).validate(source)
             if result.total_records == 0:
                 logger.warning("%s: no records in source, nothing done", job.table)
                 return dict(EMPTY_SUMMARY)
@@ -112,20 +105,17 @@ def run_table_job(
                     settings.execution_id,
                     run_date,
                     replace=replace_quarantine,
+                    rows=result.records_failed,
                 )
             check_threshold(result, settings.max_quarantine_ratio)
 
             create_table_if_not_exists(spark, job.schema, table_path, job.partition_cols)
             merged = write_table_merge(
-                spark,
-                result.valid_df,
-                table_path,
-                job.keys,
-                prepared=job.rules_make_keys_unique,
+                spark, result.valid_df, table_path, job.keys, stored=True
             )
     except Exception as error:
         emit_run_event(
-            spark, events_path, level="ERROR", event="JOB_FAILED", message=str(error)[:1000], **about
+            spark, events_path, level="ERROR", event="JOB_FAILED", message=str(error), **about
         )
         raise
 
@@ -170,7 +160,7 @@ def run_products(
     """Products job over CSV files, or over source_df. Options are those of run_table_job."""
     job = table_job("products", products_rules())
 
-    def read_source(_: StagingArea) -> DataFrame:
+    def read_source() -> DataFrame:
         if source_df is not None:
             return source_df
         return read_csv(spark, source_path or settings.storage.incoming_path, job.schema)
@@ -189,13 +179,12 @@ def run_orders(
     """Orders job over workbooks, or over source_df. Options are those of run_table_job."""
     job = table_job("orders", orders_rules())
 
-    def read_source(staging: StagingArea) -> DataFrame:
+    def read_source() -> DataFrame:
         if source_df is not None:
             return source_df
         path = source_path or settings.storage.incoming_path
         wanted = is_orders_workbook(F.col("file_name"))
-        # Workbooks are parsed once; the rules read them more often.
-        return staging.write(read_workbooks(spark, path, job.schema, wanted=wanted), "source")
+        return read_workbooks(spark, path, job.schema, wanted=wanted)
 
     return run_table_job(spark, job, settings, read_source, **options)
 
@@ -221,11 +210,11 @@ def run_order_items(
         orders_df = read_table(spark, orders_path)
     job = table_job("order_items", order_items_rules(orders_df))
 
-    def read_source(staging: StagingArea) -> DataFrame:
+    def read_source() -> DataFrame:
         if source_df is not None:
             return source_df
         path = source_path or settings.storage.incoming_path
         wanted = is_items_workbook(F.col("file_name"))
-        return staging.write(read_workbooks(spark, path, job.schema, wanted=wanted), "source")
+        return read_workbooks(spark, path, job.schema, wanted=wanted)
 
     return run_table_job(spark, job, settings, read_source, **options)

@@ -321,6 +321,15 @@ def build() -> dict[str, str]:
         custom
     )
 
+    own_rules = [
+        ("", "duplicate key on columns: ['p_name', 'p_brand']", ["p_name", "p_brand"]),
+        ("", "costs over 1500", "NOT COALESCE(p_retailprice <= 1500, FALSE)"),
+        ("", "larger than 40", "NOT COALESCE(p_size <= 40, FALSE)"),
+    ]
+    sql["custom_rules_chain"] = _chain("SELECT * FROM part", own_rules, part_columns) + _rejects(
+        own_rules
+    )
+
     gates = []
     for name, (rows, steps, columns) in CHAINS.items():
         chain = _chain(rows, steps, columns)
@@ -332,6 +341,8 @@ def build() -> dict[str, str]:
             f"SELECT '{name}' AS table_name, failure_ratio, failure_ratio > 0.05 AS over_limit "
             f"FROM ({chain + _summary(steps)})"
         )
+    for side in ("valid", "invalid"):
+        sql[f"rule_unique_default_hot_{side}"] = sql[f"rule_unique_hot_key_{side}"]
     sql["rule_unique_look_ahead_valid"] = sql["rule_unique_valid"]
     sql["order_items_look_ahead_rejects"] = sql["order_items_validate_rejects"]
     sql["threshold_gate_report"] = "\nUNION ALL\n".join(gates)
@@ -375,15 +386,29 @@ def build() -> dict[str, str]:
                CAST(0 AS BIGINT) AS rows_updated
         FROM ({_JOB_COUNTS})"""
     sql["stream_products_load"] = sql["products_validate_valid"]
-    sql["jobs_orders_table"] = (
-        "SELECT * REPLACE (CAST(date_trunc('month', date) AS DATE) AS date) "
-        f"FROM ({sql['orders_validate_valid']})"
-    )
+    sql["jobs_orders_table"] = sql["orders_validate_valid"]
     loaded = f"EXISTS (SELECT 1 FROM ({sql['orders_validate_valid']}) o WHERE o.order_id = t.order_id)"
     steps = [(n, r, f"NOT {loaded}" if f == FK_FAILS else f) for n, r, f in ITEM_STEPS]
-    sql["jobs_order_items_table"] = (
-        _chain(SPOILED_ORDER_ITEMS, steps, ITEM_COLUMNS) + f"SELECT * FROM alive{len(steps)}"
-    )
+
+    def items_of(rows):
+        return _chain(rows, steps, ITEM_COLUMNS) + f"SELECT * FROM alive{len(steps)}"
+
+    def orders_of(rows):
+        return _chain(rows, ORDER_STEPS, ORDER_COLUMNS) + f"SELECT * FROM alive{len(ORDER_STEPS)}"
+
+    def rerun(build_valid, rows, key):
+        moved = build_valid(
+            "SELECT * REPLACE (CAST(date + INTERVAL 1 DAY AS DATE) AS date) "
+            f"FROM ({rows}) WHERE order_id % 10 = 0"
+        )
+        return (
+            f"SELECT * FROM ({build_valid(rows)}) WHERE {key} NOT IN (SELECT {key} FROM ({moved})) "
+            f"UNION ALL SELECT * FROM ({moved})"
+        )
+
+    sql["jobs_order_items_table"] = items_of(SPOILED_ORDER_ITEMS)
+    sql["jobs_orders_rerun"] = rerun(orders_of, SPOILED_ORDERS, "order_id")
+    sql["jobs_order_items_rerun"] = rerun(items_of, SPOILED_ORDER_ITEMS, "id")
     sql["quarantine_rows"] = (
         "SELECT *, 'orders' AS table_name, DATE '2025-01-31' AS run_date, "
         f"'arn_run_2025_01' AS execution_id FROM ({sql['orders_validate_rejects']})"
@@ -439,9 +464,6 @@ def build() -> dict[str, str]:
     sql["rejects_5m"] = rejects
     sql["alarm_value_spike_5m"] = f"SELECT * FROM ({rejects}) WHERE records_rejected > 100"
     sql["completions_5m"] = _windows("event = 'JOB_COMPLETE'", "count(*)", "completions")
-    # A window is closed once any event has been seen ten minutes past its end.
-    closed = "window_end <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE"
     for name in ("errors_5m", "value_spike_5m", "completions_5m"):
-        batch = sql[name if name in sql else f"alarm_{name}"]
-        sql[f"stream_{name}"] = f"SELECT * FROM ({batch}) WHERE {closed}"
+        sql[f"stream_{name}"] = sql[name if name in sql else f"alarm_{name}"]
     return sql

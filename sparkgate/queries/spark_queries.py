@@ -167,16 +167,32 @@ def rule_unique_hot_key_invalid(spark, sf_dir):
     return rejected_rows(*_label_by_flag(spark, sf_dir))
 
 
+def _label_by_flag_unseen(spark, sf_dir):
+    rules = [UniqueKeyRule(["reordered"])]
+    return label_rows(mapped.order_items(spark, sf_dir), rules), rules
+
+
+@query
+def rule_unique_default_hot_valid(spark, sf_dir):
+    """The same two keys, without looking at them first."""
+    return surviving_rows(_label_by_flag_unseen(spark, sf_dir)[0])
+
+
+@query
+def rule_unique_default_hot_invalid(spark, sf_dir):
+    return rejected_rows(*_label_by_flag_unseen(spark, sf_dir))
+
+
 @query
 def rule_unique_look_ahead_valid(spark, sf_dir):
-    """The plan for large inputs: only rows of repeated keys are ranked."""
+    """Looking at the keys first: only rows of repeated keys are ranked."""
     items = mapped.order_items(spark, sf_dir)
     return surviving_rows(label_rows(items, [UniqueKeyRule(["id"])], look_ahead=True))
 
 
 @query
 def order_items_look_ahead_rejects(spark, sf_dir):
-    """The whole chain of order items, by the plans for large inputs."""
+    """The whole chain of order items, looking at keys first."""
     rules = order_items_rules(mapped.orders(spark, sf_dir), MIN_TS, MAX_TS)
     items = mapped.spoiled_order_items(spark, sf_dir)
     return rejected_rows(label_rows(items, rules, look_ahead=True), rules)
@@ -299,6 +315,23 @@ def merge_touched_partitions(spark, sf_dir):
     return touched_partitions(*_merge_sides(spark, sf_dir), ["date"])
 
 
+class SmallSizeRule(ValidationRule):
+    """Another split of a user's own."""
+
+    rule_name = "small_size:p_size"
+
+    def validate(self, df):
+        small = F.coalesce(F.col("p_size") <= 40, F.lit(False))
+        return df.filter(small), df.filter(~small).withColumn(ERROR_COL, F.lit("larger than 40"))
+
+
+@query
+def custom_rules_chain(spark, sf_dir):
+    """Two splitting rules after a unique rule."""
+    rules = [UniqueKeyRule(["p_name", "p_brand"]), PriceCeilingRule(), SmallSizeRule()]
+    return rejected_rows(label_rows(table(spark, sf_dir, "part"), rules), rules)
+
+
 # --- Versioned tables ---------------------------------------------------------------------------
 
 
@@ -370,14 +403,26 @@ def _job(name: str, schema: T.StructType, keys, partition_cols, rules) -> TableJ
 def _run_products(spark, sf_dir, base):
     rows = mapped.spoiled_products(spark, sf_dir)
     job = _job("products", rows.schema, ["product_id"], [], products_rules())
-    return run_table_job(spark, job, _settings(base), lambda _: rows)
+    return run_table_job(spark, job, _settings(base), lambda: rows)
 
 
-def _run_orders(spark, sf_dir, base):
-    # Days of one month share a partition: these tables have few rows per day.
-    rows = mapped.spoiled_orders(spark, sf_dir).withColumn("date", F.trunc("date", "month"))
+def _run_orders(spark, sf_dir, base, rows=None):
+    rows = mapped.spoiled_orders(spark, sf_dir) if rows is None else rows
     job = _job("orders", rows.schema, ["order_id"], ["date"], orders_rules(MIN_TS, MAX_TS))
-    return run_table_job(spark, job, _settings(base), lambda _: rows)
+    return run_table_job(spark, job, _settings(base), lambda: rows)
+
+
+def _run_items(spark, sf_dir, base, rows=None):
+    rows = mapped.spoiled_order_items(spark, sf_dir) if rows is None else rows
+    orders = read_table(spark, _settings(base).storage.table_path("orders"))
+    rules = order_items_rules(orders, MIN_TS, MAX_TS)
+    job = _job("order_items", rows.schema, ["id"], ["date"], rules)
+    return run_table_job(spark, job, _settings(base), lambda: rows)
+
+
+def _moved_a_day(rows: DataFrame) -> DataFrame:
+    """The rows of every tenth order, a day later than before."""
+    return rows.filter(F.col("order_id") % 10 == 0).withColumn("date", F.date_add("date", 1))
 
 
 @query
@@ -412,13 +457,27 @@ def jobs_order_items_table(spark, sf_dir):
     """The order items table after both jobs: items are checked against the loaded orders."""
     base = StagingArea(spark, "query").path
     _run_orders(spark, sf_dir, base)
-    storage = _settings(base).storage
-    orders = read_table(spark, storage.table_path("orders"))
-    rows = mapped.spoiled_order_items(spark, sf_dir)
-    rules = order_items_rules(orders, MIN_TS, MAX_TS)
-    job = _job("order_items", rows.schema, ["id"], [], rules)
-    run_table_job(spark, job, _settings(base), lambda _: rows)
-    return read_table(spark, storage.table_path("order_items"))
+    _run_items(spark, sf_dir, base)
+    return read_table(spark, _settings(base).storage.table_path("order_items"))
+
+
+@query
+def jobs_orders_rerun(spark, sf_dir):
+    """The orders table after a second run that moves every tenth order to the next day."""
+    base = StagingArea(spark, "query").path
+    _run_orders(spark, sf_dir, base)
+    _run_orders(spark, sf_dir, base, _moved_a_day(mapped.spoiled_orders(spark, sf_dir)))
+    return read_table(spark, _settings(base).storage.table_path("orders"))
+
+
+@query
+def jobs_order_items_rerun(spark, sf_dir):
+    """The order items table after a second run that moves the items of every tenth order to the next day."""
+    base = StagingArea(spark, "query").path
+    _run_orders(spark, sf_dir, base)
+    _run_items(spark, sf_dir, base)
+    _run_items(spark, sf_dir, base, _moved_a_day(mapped.spoiled_order_items(spark, sf_dir)))
+    return read_table(spark, _settings(base).storage.table_path("order_items"))
 
 
 @query
@@ -584,7 +643,7 @@ def _stream_session(spark: SparkSession) -> SparkSession:
 
 def _register_stream(name: str, metric: Callable[..., DataFrame]) -> None:
     def run(spark, sf_dir):
-        """The windows a stream has closed once it has read all events."""
+        """All windows, as a stream keeps them that has read all events."""
         session = _stream_session(spark)
         base = StagingArea(spark, "query").path
         events = (
@@ -594,16 +653,9 @@ def _register_stream(name: str, metric: Callable[..., DataFrame]) -> None:
             .withColumn("ts", F.col("ts").cast("timestamp"))
         )
         windows = metric(mapped.run_events(events), late=LATE)
-        (
-            windows.writeStream.format("parquet")
-            .option("checkpointLocation", f"{base}/checkpoint")
-            .trigger(availableNow=True)
-            .start(f"{base}/windows")
-            .awaitTermination()
-        )
+        alarms.start_alarm_table(windows, f"{base}/windows", f"{base}/checkpoint").awaitTermination()
         return (
-            spark.read.schema(windows.schema)
-            .parquet(f"{base}/windows")
+            alarms.read_alarm_table(spark, f"{base}/windows", windows.schema)
             .withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
             .withColumn("window_end", F.col("window_end").cast("timestamp_ntz"))
         )

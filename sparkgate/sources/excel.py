@@ -44,13 +44,16 @@ def read_workbooks(
     *,
     wanted: Column | None = None,
 ) -> DataFrame:
-    """Rows of all workbooks under path, conformed to schema; none when there are no workbooks.
+    """Rows of all workbooks under path and its subfolders, conformed to schema; none when there are no workbooks.
 
     wanted is a predicate on the column file_name; files it refuses are not opened.
     """
     try:
         files = (
-            spark.read.format("binaryFile").option("pathGlobFilter", WORKBOOK_GLOB).load(path)
+            spark.read.format("binaryFile")
+            .option("pathGlobFilter", WORKBOOK_GLOB)
+            .option("recursiveFileLookup", "true")
+            .load(path)
         )
     except Exception as error:
         raise StorageReadError(f"cannot read {path}: {error}", location=path) from error

@@ -27,6 +27,16 @@ def child_names(spark: SparkSession, location: str) -> list[str]:
     return sorted(status.getPath().getName() for status in fs.listStatus(path))
 
 
+def files_below(spark: SparkSession, location: str) -> list[tuple[str, int, int]]:
+    """(path, bytes, milliseconds of the last change) of all files under a folder, however deep."""
+    fs, path = file_system(spark, location)
+    found, left = [], fs.listFiles(path, True)
+    while left.hasNext():
+        status = left.next()
+        found.append((status.getPath().toString(), status.getLen(), status.getModificationTime()))
+    return found
+
+
 def remove(spark: SparkSession, location: str) -> None:
     fs, path = file_system(spark, location)
     fs.delete(path, True)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from sparkgate.functions.names import safe_execution_id
 from sparkgate.sources import hadoop
@@ -28,29 +29,37 @@ def write_to_quarantine(
     partition_date: str,
     *,
     replace: bool = False,
+    rows: int | None = None,
 ) -> int:
     """Append df to its run's folder and return the row count; with no rows, write nothing.
 
-    With replace, what the same run wrote before, on whatever day, goes first: a retried run then
+    rows is their number, if known. Otherwise it is that by which the stored rows have grown. With
+    replace, what the same run wrote before, on whatever day, goes first: a retried run then
     does not leave its rejects twice.
     """
-    count = df.count()
     spark = df.sparkSession
     path = quarantine_path(quarantine_base_path, table_name, execution_id, partition_date)
     if replace:
         table_folder, _, run = path.rsplit("/", 2)
         for earlier_day in hadoop.child_names(spark, table_folder):
             hadoop.remove(spark, f"{table_folder}/{earlier_day}/{run}")
-    if count:
+    if rows == 0 or rows is None and df.isEmpty():
+        return 0
+    if rows is None:
+        before = spark.read.parquet(path).count() if hadoop.exists(spark, path) else 0
         df.write.mode("append").parquet(path)
-    return count
+        return spark.read.parquet(path).count() - before
+    df.write.mode("append").parquet(path)
+    return rows
 
 
 def read_quarantine(spark: SparkSession, base_path: str, table_name: str) -> DataFrame:
-    """All rejects of a table, with run_date and execution_id from the folders."""
+    """All rejects of a table, with run_date and execution_id from the folders, ids as text."""
     base = base_path.rstrip("/")
-    return (
-        spark.read.option("basePath", base)
-        .option("mergeSchema", "true")
-        .parquet(f"{base}/table={table_name}")
-    )
+    reader = spark.read.option("basePath", base).option("mergeSchema", "true")
+    path = f"{base}/table={table_name}"
+    # Spark guesses the types of folder values, and an id may look like a number.
+    typed = {"table": T.StringType(), "execution_id": T.StringType(), "run_date": T.DateType()}
+    found = reader.parquet(path).schema
+    fields = [T.StructField(f.name, typed.get(f.name, f.dataType)) for f in found.fields]
+    return reader.schema(T.StructType(fields)).parquet(path)

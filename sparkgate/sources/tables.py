@@ -3,18 +3,20 @@
 Layout under a table's path::
 
     meta.json             schema and partition columns
-    data/<version>/…      files written by a version, in partition folders if there are any
+    data/<attempt>/<version>/…  files of one attempt at a version, in partition folders if any
     log/<version>.json    row count of a version, and the data folders live in it
 
 A merge writes new folders only, then publishes them by adding its log file; readers pin the
 folders of one version, so they see a merge wholly or not at all. Only folders with overwritten
 rows are rewritten; rows with new keys are added beside what is there. Like the jobs it serves,
-it allows one writer at a time: a second writer of the same version fails on the log.
+it allows one writer at a time: a second writer of the same version fails on the log, and leaves
+only files of its own, which no version names.
 """
 
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Sequence
 from dataclasses import asdict, dataclass
 from urllib.parse import unquote
@@ -26,11 +28,13 @@ from pyspark.sql import types as T
 from sparkgate.errors import NullKeyError, SchemaError, SparkgateError, TableMergeError
 from sparkgate.functions.conform import conform, empty_frame
 from sparkgate.operators.merge import require_unique, unmatched_rows
+from sparkgate.operators.skew import quoted
 from sparkgate.schemas import raw_schema, required_columns
 from sparkgate.sources import hadoop
 from sparkgate.sources.staging import StagingArea
 
 VERSION_COL = "__version__"
+ATTEMPT_COL = "__attempt__"
 _NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
@@ -169,18 +173,19 @@ def write_table_merge(
     path: str,
     merge_keys: Sequence[str],
     *,
-    prepared: bool = False,
+    stored: bool = False,
 ) -> MergeResult:
     """Upsert df into the table at path and publish the next version.
 
     Rows match on merge_keys alone: a row whose partition column changed leaves its old partition.
-    prepared says that df reads from stored files and holds each key once, as the jobs guarantee;
-    otherwise df is written to staging first and its keys are checked.
+    stored says that df reads from stored files; otherwise it is written to staging first. That it
+    holds each key once is checked either way, by counts combined map-side.
     """
     try:
         snapshot = load_snapshot(spark, path)
         source = conform(df, snapshot.schema)
-        if prepared:
+        if stored:
+            require_unique(source, merge_keys)
             return _merge(spark, snapshot, source, list(merge_keys))
         with StagingArea(spark, "merge") as staging:
             source = staging.write(source, "source")
@@ -210,10 +215,11 @@ def _merge(
     if snapshot.partition_cols:
         # Gives each partition few files, and splits a partition that is far too large for one.
         merged = merged.hint("rebalance", *snapshot.partition_cols)
-    root = LiveFolder(_version_name(version), version, ())
-    merged.write.mode("overwrite").partitionBy(*snapshot.partition_cols).parquet(
-        f"{snapshot.path}/data/{root.dir}"
-    )
+    # A folder no other attempt uses: a writer that loses the race for the version, or a job that
+    # runs again, must not touch what another has written.
+    attempt = f"{ATTEMPT_COL}=a{uuid.uuid4().hex}"
+    root = LiveFolder(f"{attempt}/{_version_name(version)}", version, ())
+    merged.write.partitionBy(*snapshot.partition_cols).parquet(f"{snapshot.path}/data/{root.dir}")
 
     updated = 0
     if rewritten:
@@ -233,7 +239,7 @@ def _checked_count(source: DataFrame, schema: T.StructType, keys: Sequence[str])
     required = required_columns(schema)
     row = source.agg(
         F.count(F.lit(1)).alias("__rows__"),
-        *[F.count_if(F.col(name).isNull()).alias(name) for name in required],
+        *[F.count_if(F.col(f"`{name}`").isNull()).alias(name) for name in required],
     ).first()
     for name in required:
         if row[name] and name in keys:
@@ -252,8 +258,8 @@ def _folders_to_rewrite(
     place = [F.col(c).cast("string") for c in (VERSION_COL, *snapshot.partition_cols)]
     hits = (
         snapshot.read(spark)
-        .select(*keys, F.array(*place).alias("__folder__"))
-        .join(source.select(*keys), keys, "left_semi")
+        .select(*quoted(keys), F.array(*place).alias("__folder__"))
+        .join(source.select(*quoted(keys)), keys, "left_semi")
         .select("__folder__")
         .distinct()
         .collect()

@@ -9,7 +9,9 @@ absent: missing data raises no alarm.
 from __future__ import annotations
 
 import pyspark.sql.functions as F
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 # Metric period and alarm thresholds.
 PERIOD = "5 minutes"
@@ -69,3 +71,36 @@ def reject_alarms(
 def completions(events: DataFrame, late: str | None = None) -> DataFrame:
     """Finished jobs per period, job and environment."""
     return _per_period(events, F.col("event") == "JOB_COMPLETE", F.lit(1), "completions", late)
+
+
+WINDOW_KEYS = ["window_start", "window_end", "job_name", "environment"]
+_BATCH_COL = "batch_id"
+
+
+def start_alarm_table(windows: DataFrame, path: str, checkpoint_path: str) -> StreamingQuery:
+    """Keep the windows of a stream at path, each as soon as an event has changed it.
+
+    An alarm so does not wait for later events to close its window, and the last windows come out
+    as well. Every batch writes a folder of its own, which a replay of the batch replaces; readers
+    take a window from the last batch that has it, see read_alarm_table.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/{_BATCH_COL}={batch_id}")
+
+    return (
+        windows.writeStream.outputMode("update")
+        .foreachBatch(write)
+        .option("checkpointLocation", checkpoint_path)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
+def read_alarm_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The latest state of each window, job and environment; sums combine map-side."""
+    numbered = T.StructType([*schema.fields, T.StructField(_BATCH_COL, T.LongType())])
+    values = [name for name in schema.fieldNames() if name not in WINDOW_KEYS]
+    latest = F.max_by(F.struct(*values), F.col(_BATCH_COL)).alias("latest")
+    found = spark.read.schema(numbered).option("basePath", path).parquet(path)
+    return found.groupBy(*WINDOW_KEYS).agg(latest).select(*WINDOW_KEYS, "latest.*")

@@ -47,8 +47,9 @@ def stream_workbooks(
     archive_dir: str | None = None,
     files_per_batch: int = 1000,
 ) -> DataFrame:
-    """Workbooks as they arrive under path; wanted is a predicate on file_name."""
+    """Workbooks as they arrive under path and its subfolders; wanted is a predicate on file_name."""
     reader = spark.readStream.format("binaryFile").schema(_FILE_SCHEMA)
+    reader = reader.option("recursiveFileLookup", "true")
     files = _files(reader, WORKBOOK_GLOB, archive_dir, files_per_batch).load(path)
     files = files.select("content", F.substring_index("path", "/", -1).alias("file_name"))
     return parse_workbooks(files if wanted is None else files.filter(wanted), schema)
@@ -87,7 +88,7 @@ def start_table_load(
             spark,
             current,
             batch_settings,
-            lambda staging: staging.write(batch, "source"),
+            lambda: batch,
             replace_quarantine=True,
             **options,
         )

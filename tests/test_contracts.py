@@ -77,12 +77,11 @@ def test_paths():
 def test_error_families():
     kinds = [e for e in vars(errors).values() if isinstance(e, type) and issubclass(e, Exception)]
     assert all(issubclass(e, SparkgateError) for e in kinds)
-    for kind in (errors.NullKeyError, errors.DuplicateKeyError, errors.ReferentialIntegrityError):
+    for kind in (errors.NullKeyError, errors.DuplicateKeyError):
         assert issubclass(kind, ValidationError)
     for kind in (errors.StorageReadError, errors.StorageWriteError):
         assert kind("x", location="here").location == "here"
         assert kind("x").location == ""
     assert issubclass(errors.TableMergeError, errors.JobError)
-    assert issubclass(errors.ProgressError, errors.JobError)
     assert ValidationError("x", failure_ratio=0.12).failure_ratio == 0.12
     assert ValidationError("x").failure_ratio == 0.0

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from sparkgate.errors import DuplicateKeyError, NullKeyError, SchemaError, TableMergeError
 from sparkgate.operators.merge import merge_actions, merge_counts, merge_rows, touched_partitions
 from sparkgate.sources.catalog import register_table
+from sparkgate.sources import tables
 from sparkgate.sources.tables import (
     MergeResult,
     create_table_if_not_exists,
@@ -146,13 +147,28 @@ def test_merge_refusals_leave_the_table_alone(spark, tmp_path):
     assert get_table_version(spark, path) == 0
 
 
-def test_an_unpublished_write_is_invisible_and_overwritten(spark, tmp_path):
+def test_an_unpublished_write_is_invisible_and_left_alone(spark, tmp_path):
     path = str(tmp_path / "t")
     create_table_if_not_exists(spark, SCHEMA, path, [])
-    frame(spark, [(9, "left over", None)]).write.parquet(f"{path}/data/__version__=0000000001")
+    left = f"{path}/data/__attempt__=a0/__version__=0000000001"
+    frame(spark, [(9, "left over", None)]).write.parquet(left)
     assert read_table(spark, path).count() == 0
     write_table_merge(spark, frame(spark, [(1, "a", None)]), path, ["k"])
     assert rows_of(read_table(spark, path)) == {1: ("a", "None")}
+    assert spark.read.parquet(left).count() == 1
+
+
+def test_the_loser_of_a_race_leaves_the_winners_rows(spark, tmp_path):
+    path = str(tmp_path / "t")
+    create_table_if_not_exists(spark, SCHEMA, path, ["day"])
+    seen = tables.load_snapshot(spark, path)
+    write_table_merge(spark, frame(spark, [(1, "a", "2025-01-01"), (2, "b", None)]), path, ["k"])
+    late = frame(spark, [(3, "c", "2025-01-01")])
+    with pytest.raises(FileExistsError):
+        tables._merge(spark, seen, late, ["k"])
+    assert sorted(rows_of(read_table(spark, path))) == [1, 2]
+    write_table_merge(spark, late, path, ["k"])
+    assert sorted(rows_of(read_table(spark, path))) == [1, 2, 3]
 
 
 @pytest.mark.parametrize("partition_cols", [[], ["day"]])

@@ -10,7 +10,12 @@ import pytest
 
 from sparkgate.operators.ladder import label_rows, rejected_rows
 from sparkgate.operators.merge import merge_rows
-from sparkgate.operators.rules import NotNullRule, ReferentialIntegrityRule, UniqueKeyRule
+from sparkgate.operators.rules import (
+    NotNullRule,
+    ReferentialIntegrityRule,
+    UniqueKeyRule,
+    ValidationRule,
+)
 from sparkgate.plans import audits
 from sparkgate.streaming import alarms
 
@@ -121,7 +126,7 @@ def test_orphans_are_found_without_shuffling_rows(spark, items):
     assert labelled.filter("__rule__ = 1").count() == items.filter("order_id >= 59000").count()
 
 
-def test_small_inputs_run_nothing_ahead(spark, items):
+def test_by_default_nothing_runs_ahead(spark, items):
     tracker = spark.sparkContext._jsc.sc().dagScheduler()
     before = tracker.nextJobId()
     label_rows(items, [UniqueKeyRule(["id"])])
@@ -156,3 +161,42 @@ def test_alarm_filters_reach_the_scan(spark, tmp_path):
 def test_orphan_audit_reads_keys_only(items):
     plan = plan_of(audits.orphaned_order_items(items, items.select(F.col("id").alias("order_id"))))
     assert "note" not in plan
+
+
+def test_a_hot_key_is_ranked_in_many_tasks_by_default(spark):
+    rows = spark.range(0, 3_000_000, 1, 8).select(F.lit(1).alias("key"), "id")
+    with settings(spark, spark__sql__adaptive__coalescePartitions__enabled="false"):
+        labelled = label_rows(rows, [UniqueKeyRule(["key"])])
+        first_window = F.spark_partition_id().alias("task")
+        counts = [r["count"] for r in labelled.filter("__rule__ = 0").groupBy(first_window).count().collect()]
+    assert sum(counts) == 2_999_999 and max(counts) < 1_500_000
+
+
+def test_survivors_are_unique_though_the_source_differs_each_time(spark):
+    @F.udf("int")
+    def drawn(n):
+        import random
+
+        return random.randrange(2000)
+
+    rows = spark.range(0, 2000, 1, 4).select(drawn.asNondeterministic()("id").alias("key"))
+    left = label_rows(rows, [UniqueKeyRule(["key"])]).filter("__rule__ IS NULL").select("key").collect()
+    assert len(left) == len(set(left)) > 500
+
+
+def test_splitting_rules_do_not_repeat_what_came_before(spark):
+    class Under(ValidationRule):
+        def __init__(self, limit):
+            self.limit = limit
+
+        rule_name = "under:id"
+
+        def validate(self, df):
+            good = F.col("id") < self.limit
+            return df.filter(good), df.filter(~good).withColumn("__error_reason__", F.lit("over"))
+
+    rules = [UniqueKeyRule(["id"]), *[Under(n) for n in (90, 80, 70, 60)]]
+    labelled = label_rows(spark.range(100).union(spark.range(10)), rules)
+    assert "Window" not in plan_of(labelled)
+    counts = {r["__rule__"]: r["count"] for r in labelled.groupBy("__rule__").count().collect()}
+    assert counts == {None: 60, 0: 10, 1: 10, 2: 10, 3: 10, 4: 10}

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import SparkSession
 
 from sparkgate.sources.tables import VERSION_COL, LiveFolder, Snapshot, load_snapshot
 
 FILES_SUFFIX = "__files"
+# Folders added to the catalog by one statement.
+FOLDERS_PER_STATEMENT = 500
 
 
 def register_table(spark: SparkSession, name: str, path: str) -> None:
@@ -14,29 +18,36 @@ def register_table(spark: SparkSession, name: str, path: str) -> None:
 
     Beneath the view lies an external table with one catalog partition per live data folder, so a
     filter on a partition column is pruned in the catalog. Registering again picks up a new
-    version and changed columns; only catalog entries are replaced, data is never deleted.
+    version and changed columns: a table of a new name is filled, the view is pointed at it in one
+    step, and only then the earlier tables leave the catalog. Readers in between see the earlier
+    version or the new one, and a run that breaks off leaves the view as it was. Data is never
+    deleted.
     """
     database, _, table = name.rpartition(".")
     if database:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
     snapshot = load_snapshot(spark, path)
     view = _quoted(database, table)
-    files = _quoted(database, table + FILES_SUFFIX)
+    prefix = f"{table}{FILES_SUFFIX}_".lower()
+    current = f"{prefix}{uuid.uuid4().hex}"
+    files = _quoted(database, current)
     folder_columns = [VERSION_COL, *snapshot.partition_cols]
 
-    spark.sql(f"DROP VIEW IF EXISTS {view}")
-    spark.sql(f"DROP TABLE IF EXISTS {files}")
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in snapshot.schema.fields)
     spark.sql(
         f"CREATE TABLE {files} ({columns}, `{VERSION_COL}` bigint) USING parquet "
         f"PARTITIONED BY ({', '.join(f'`{c}`' for c in folder_columns)}) "
         f"LOCATION {_text(f'{snapshot.path}/data')}"
     )
-    if snapshot.folders:
-        clauses = " ".join(_partition_clause(snapshot, folder) for folder in snapshot.folders)
+    for start in range(0, len(snapshot.folders), FOLDERS_PER_STATEMENT):
+        some = snapshot.folders[start : start + FOLDERS_PER_STATEMENT]
+        clauses = " ".join(_partition_clause(snapshot, folder) for folder in some)
         spark.sql(f"ALTER TABLE {files} ADD IF NOT EXISTS {clauses}")
     shown = ", ".join(f"`{f.name}`" for f in snapshot.schema.fields)
-    spark.sql(f"CREATE VIEW {view} AS SELECT {shown} FROM {files}")
+    spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT {shown} FROM {files}")
+    for found in spark.catalog.listTables(database or None):
+        if found.name.lower().startswith(prefix) and found.name.lower() != current:
+            spark.sql(f"DROP TABLE IF EXISTS {_quoted(database, found.name)}")
 
 
 def _quoted(*parts: str) -> str:

@@ -385,6 +385,10 @@ def build() -> dict[str, str]:
                valid AS records_valid, rejected AS records_rejected, valid AS rows_inserted,
                CAST(0 AS BIGINT) AS rows_updated
         FROM ({_JOB_COUNTS})"""
+    sql["gate_keeps_table"] = sql["products_validate_valid"]
+    sql["gate_keeps_rejects"] = (
+        f"SELECT * REPLACE (upper(product_name) AS product_name) FROM ({sql['products_validate_rejects']})"
+    )
     sql["stream_products_load"] = sql["products_validate_valid"]
     sql["jobs_orders_table"] = sql["orders_validate_valid"]
     loaded = f"EXISTS (SELECT 1 FROM ({sql['orders_validate_valid']}) o WHERE o.order_id = t.order_id)"
@@ -441,6 +445,10 @@ def build() -> dict[str, str]:
         SELECT page_id, 'YYYY=2025/MM=01/DD=31/' ||
                split_part(url_decode(replace(url, '+', ' ')), '/', -1) AS archive_key
         FROM pages"""
+    sql["archive_keys_encoded"] = """
+        SELECT page_id, 'incoming/page+' || page_id || '+%C3%A9.html' AS key,
+               'YYYY=2025/MM=01/DD=31/page ' || page_id || ' é.html' AS archive_key
+        FROM pages"""
     sql["file_routing"] = """
         SELECT file_name, ends_with(lower(file_name), '.xlsx') AS is_workbook,
                ends_with(lower(file_name), '.xlsx') AND NOT lower(file_name) LIKE '%order\\_item%'

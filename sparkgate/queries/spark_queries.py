@@ -9,6 +9,7 @@ import pyspark.sql.functions as F
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from sparkgate.errors import ValidationError
 from sparkgate.functions.conform import conform, union_frames
 from sparkgate.functions.names import (
     archive_key,
@@ -391,19 +392,32 @@ def table_registered_sql(spark, sf_dir):
 # --- Whole jobs ---------------------------------------------------------------------------------
 
 
-def _settings(base: str) -> RunSettings:
+def _settings(base: str, limit: float = 1.0) -> RunSettings:
     storage = StorageSettings(f"{base}/raw", f"{base}/processed", f"{base}/rejects", f"{base}/old")
-    return RunSettings("query-job", "test", storage, execution_id=EXECUTION_ID)
+    return RunSettings(
+        "query-job", "test", storage, execution_id=EXECUTION_ID, max_quarantine_ratio=limit
+    )
 
 
 def _job(name: str, schema: T.StructType, keys, partition_cols, rules) -> TableJob:
     return TableJob(name, schema, keys, partition_cols, rules)
 
 
-def _run_products(spark, sf_dir, base):
-    rows = mapped.spoiled_products(spark, sf_dir)
+def _run_products(spark, sf_dir, base, rows=None, limit=1.0):
+    rows = mapped.spoiled_products(spark, sf_dir) if rows is None else rows
     job = _job("products", rows.schema, ["product_id"], [], products_rules())
-    return run_table_job(spark, job, _settings(base), lambda: rows)
+    return run_table_job(spark, job, _settings(base, limit), lambda: rows)
+
+
+def _refused_run(spark, sf_dir, base):
+    """A products run over other names, which its gate must refuse."""
+    rows = mapped.spoiled_products(spark, sf_dir)
+    changed = rows.withColumn("product_name", F.upper("product_name"))
+    try:
+        _run_products(spark, sf_dir, base, changed, limit=0.0)
+    except ValidationError:
+        return
+    raise AssertionError("the gate let the run pass")
 
 
 def _run_orders(spark, sf_dir, base, rows=None):
@@ -436,6 +450,24 @@ def jobs_summary(spark, sf_dir):
     )
 
 
+@query
+def gate_keeps_table(spark, sf_dir):
+    """The products table after a run that passed its gate and one that did not."""
+    base = StagingArea(spark, "query").path
+    _run_products(spark, sf_dir, base)
+    _refused_run(spark, sf_dir, base)
+    return read_table(spark, _settings(base).storage.table_path("products"))
+
+
+@query
+def gate_keeps_rejects(spark, sf_dir):
+    """What a refused run leaves in quarantine."""
+    base = StagingArea(spark, "query").path
+    _refused_run(spark, sf_dir, base)
+    kept = read_quarantine(spark, _settings(base).storage.quarantine_base_path, "products")
+    return kept.drop("table", "run_date", "execution_id")
+
+
 @query
 def jobs_metrics(spark, sf_dir):
     """The metrics row a job leaves, without its duration."""
@@ -581,6 +613,16 @@ def archive_keys(spark, sf_dir):
     )
 
 
+@query
+def archive_keys_encoded(spark, sf_dir):
+    """Keys that hold spaces and letters outside ASCII, encoded as object stores report them."""
+    name = F.concat(F.lit("page "), F.col("page_id").cast("string"), F.lit(" é.html"))
+    key = F.concat(F.lit("incoming/"), F.url_encode(name))
+    return table(spark, sf_dir, "pages").select(
+        "page_id", key.alias("key"), archive_key(key, F.lit(RUN_DATE)).alias("archive_key")
+    )
+
+
 @query
 def file_routing(spark, sf_dir):
     """Which reader takes a file of a given name."""

@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import pyspark.sql.functions as F
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql.pandas.types import from_arrow_schema
 
 from sparkgate.llm.components import components
@@ -22,10 +24,14 @@ SHINGLE_WORDS, SIMILARITY = 5, 0.8
 BANDS, BAND_ROWS = 42, 6
 # Rounds in which a bucket's rows are compared with one of them, before all that are still apart.
 STAR_ROUNDS = 2
+# Some bits of every coordinate, in words of 63, tell most pairs that are not alike apart. A pair
+# whose agreeing coordinates are this many standard deviations below what is expected at the least
+# similarity is not compared in full: 3 in a million links of just that similarity.
+PLANES, SKETCH_WORDS, SKETCH_BITS, DEVIATIONS = 4, 4, 63, 4.5
 # Words a worker remembers the hashes of.
 KNOWN_WORDS = 300_000
 # Texts are signed in groups of about so many characters.
-GROUP_CHARS = 2_000_000
+GROUP_CHARS = 1_000_000
 
 _WORD = re.compile("[^ \t-\r]+")
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -74,28 +80,34 @@ def similarity(first: str, second: str, by_count: bool = False) -> float:
 
 
 _SIGNED = pa.schema(
-    [("doc_id", pa.int64()), ("h", pa.binary()), ("size", pa.float64()), ("bands", pa.list_(pa.int64()))]
+    [("doc_id", pa.int64()), ("h", pa.binary()), ("size", pa.float64())]
+    + [("bands", pa.list_(pa.int64())), ("sketch", pa.list_(pa.int64()))]
 )
 
 
 def _signed(texts: DataFrame, by_count: bool) -> DataFrame:
-    """Per text: doc_id, h (digest of its words), size (total weight) and its band hashes."""
+    """Per text: doc_id, h (digest of its words), size (total weight), band hashes and sketch."""
 
     def sign(rows: list[tuple[int | None, str]]) -> pa.RecordBatch:
         split = [_WORD.findall(text) for _, text in rows]
         sets = [weighted(words, by_count) for words in split]
         full = [n for n, (elements, _) in enumerate(sets) if len(elements)]
         hashes: list[list[int]] = [[] for _ in rows]
+        sketches: list[list[int]] = [[] for _ in rows]
         if full:
             owners = np.repeat(np.arange(len(full)), [len(sets[n][0]) for n in full])
             signature = signatures(
                 np.concatenate([sets[n][0] for n in full]), owners,
                 np.concatenate([sets[n][1] for n in full]), len(full), BANDS * BAND_ROWS,
             )
-            for n, codes in zip(full, bands(signature, BAND_ROWS).view(np.int64).tolist()):
-                hashes[n] = codes
+            planes = signature[:, None, :] >> np.arange(PLANES, dtype=np.uint64)[:, None] & np.uint64(1)
+            bits = planes.astype(np.int64).reshape(len(full), PLANES * SKETCH_WORDS, SKETCH_BITS)
+            words = (bits << np.arange(SKETCH_BITS)).sum(axis=2)
+            codes = bands(signature, BAND_ROWS).view(np.int64)
+            for n, code, sketch in zip(full, codes.tolist(), words.tolist()):
+                hashes[n], sketches[n] = code, sketch
         digests = [hashlib.sha256(" ".join(words).encode("utf-8", "surrogatepass")).digest() for words in split]
-        columns = [[doc_id for doc_id, _ in rows], digests, [float(w.sum()) for _, w in sets], hashes]
+        columns = [[doc_id for doc_id, _ in rows], digests, [float(w.sum()) for _, w in sets], hashes, sketches]
         return pa.record_batch([pa.array(c, f.type) for c, f in zip(columns, _SIGNED)], schema=_SIGNED)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -134,9 +146,24 @@ def _alike(pairs: DataFrame, texts: DataFrame, by_count: bool, least: float) ->
     return rows.select("a", "b", "text_a", "text_b").mapInArrow(check, from_arrow_schema(schema))
 
 
-def _fits(least: float) -> F.Column:
-    """Whether sizes allow that similarity at all."""
-    return F.least("size_a", "size_b") >= F.greatest("size_a", "size_b") * (least - 1e-9)
+def _may_be_alike(least: float) -> Column:
+    """Whether sizes allow that similarity, and enough bits of the sketches agree."""
+    sizes = F.least("size_a", "size_b") >= F.greatest("size_a", "size_b") * (least - 1e-9)
+    n, share = SKETCH_WORDS * SKETCH_BITS, least + (1 - least) / (1 << PLANES)
+    most = n - math.floor(n * share - DEVIATIONS * math.sqrt(n * share * (1 - share)))
+    unequal = [
+        reduce(
+            lambda x, y: x.bitwiseOR(y),
+            [
+                F.col("sketch_a")[plane * SKETCH_WORDS + word].bitwiseXOR(
+                    F.col("sketch_b")[plane * SKETCH_WORDS + word]
+                )
+                for plane in range(PLANES)
+            ],
+        )
+        for word in range(SKETCH_WORDS)
+    ]
+    return sizes & (sum([F.bit_count(x) for x in unequal[1:]], F.bit_count(unequal[0])) <= most)
 
 
 def near_duplicates(
@@ -153,10 +180,11 @@ def near_duplicates(
     are what links connect. Weights are 1 per distinct shingle, or with by_count how often it
     occurs. Rows with the same words form one class at once, and only one of them goes on.
 
-    Rows that share a band's bucket are candidates. In star rounds each row of a bucket is compared
-    with one of them; rows that links have joined since need no further comparison. What is still
-    apart in a bucket afterwards is compared in full, so no candidate link between classes is
-    passed over, and a large group of copies costs as many comparisons as it has rows.
+    Rows that share a band's bucket are candidates, if sizes and sketches do not rule a link out.
+    In star rounds each row of a bucket is compared with one of them; rows that links have joined
+    since need no further comparison. What is still apart in a bucket afterwards is compared pair
+    by pair, so no candidate link between classes is passed over, and a large group of copies
+    costs about as many comparisons of texts as it has rows.
 
     Texts without words, null ones among them, are alone, as are rows with a null id. Texts of
     fewer than five words have one shingle. Rows that repeat an id are one document, whose texts
@@ -169,10 +197,12 @@ def near_duplicates(
     named = signed.filter("doc_id IS NOT NULL AND size > 0")
     groups = stage(repeated_groups(named.select("doc_id", "h", "salt"), ["h"], "doc_id"), "copies")
     firsts = named.join(groups, ["h", "salt"], "left").filter("keep_id IS NULL OR keep_id = doc_id")
-    placed = firsts.select("doc_id", "size", F.explode("bands").alias("bucket"))
-    placed = placed.withColumn("salt", salt("doc_id", salts=16))
-    shared = repeated_groups(placed, ["bucket"], "doc_id").select("bucket", "salt")
-    members = stage(placed.join(shared, ["bucket", "salt"]).select("bucket", "doc_id", "size").distinct(), "members")
+    placed = firsts.select("doc_id", F.explode("bands").alias("bucket"))
+    shared = stage(placed.groupBy("bucket").count().filter("count > 1").select("bucket"), "shared")
+    # Both sides read from a shuffle, so that adaptive execution can split a hot bucket.
+    together = stage(placed.join(narrow_enough(shared, 16), "bucket").distinct(), "together")
+    known = firsts.select("doc_id", "size", "sketch", "bands").dropDuplicates(["doc_id"])
+    members = stage(together.join(known, "doc_id"), "members")
     links = _links(members, texts.filter("doc_id IS NOT NULL"), by_count, least)
     classes = stage(components(links), "classes")
     own = classes.select(F.col("node").alias("doc_id"), F.col("class_id").alias("own_class"))
@@ -191,24 +221,31 @@ def near_duplicates(
 def _links(members: DataFrame, texts: DataFrame, by_count: bool, least: float) -> DataFrame:
     """Verified links a, b that connect all candidates that are alike."""
     apart = members.withColumn("class_id", F.col("doc_id"))
+    told = ["size", "sketch", "bands", "class_id"]
     links = None
     for turn in range(STAR_ROUNDS + 1):
         if turn < STAR_ROUNDS:
-            order = F.struct(F.xxhash64("doc_id", F.lit(turn)), "doc_id", "size", "class_id")
-            heart = apart.groupBy("bucket").agg(F.min(order).alias("heart"))
-            pairs = apart.join(heart, "bucket").select(
-                F.col("heart.doc_id").alias("x"), F.col("doc_id").alias("y"),
-                F.col("heart.size").alias("size_a"), F.col("size").alias("size_b"),
-                F.col("heart.class_id").alias("class_a"), F.col("class_id").alias("class_b"),
+            order = F.struct(F.xxhash64("doc_id", F.lit(turn)), "doc_id", *told)
+            hearts = stage(apart.groupBy("bucket").agg(F.min(order).alias("heart")), f"hearts_{turn}")
+            first = hearts.select(
+                F.col("bucket").alias("bucket_a"), F.col("heart.doc_id").alias("x"),
+                *[F.col(f"heart.{name}").alias(f"{name}_a") for name in told],
             )
+            due = F.col("class_id_a") != F.col("class_id_b")
         else:
-            other = apart.select(
-                "bucket", F.col("doc_id").alias("y"), F.col("size").alias("size_b"), F.col("class_id").alias("class_b")
+            first = apart.select(
+                F.col("bucket").alias("bucket_a"), F.col("doc_id").alias("x"),
+                *[F.col(name).alias(f"{name}_a") for name in told],
+            )
+            # Each pair once, in the least of the buckets it shares.
+            due = (F.col("class_id_a") < F.col("class_id_b")) & (
+                F.array_min(F.array_intersect("bands_a", "bands_b")) == F.col("bucket_a")
             )
-            pairs = apart.select(
-                "bucket", F.col("doc_id").alias("x"), F.col("size").alias("size_a"), F.col("class_id").alias("class_a")
-            ).join(other, "bucket").filter("class_a < class_b")
-        pairs = pairs.filter(F.col("class_a") != F.col("class_b")).filter(_fits(least))
+        second = apart.select(
+            F.col("bucket").alias("bucket_b"), F.col("doc_id").alias("y"),
+            *[F.col(name).alias(f"{name}_b") for name in told],
+        )
+        pairs = second.join(first, (F.col("bucket_a") == F.col("bucket_b")) & _may_be_alike(least) & due)
         pairs = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
         found = stage(_alike(stage(pairs, f"pairs_{turn}"), texts, by_count, least), f"links_{turn}")
         links = found if links is None else links.union(found)

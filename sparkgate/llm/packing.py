@@ -22,7 +22,7 @@ OPEN_BINS = 16_384
 # Pieces arrive in windows of about so many, larger ones first within a window.
 WINDOW_PIECES = 8_192
 # Pieces one task packs.
-TASK_PIECES = 500_000
+TASK_PIECES = 100_000
 # Sequence ids are the task's number times this, plus a counter.
 TASK_STRIDE = 1 << 40
 

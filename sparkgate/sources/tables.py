@@ -85,10 +85,29 @@ class Snapshot:
         return (
             spark.read.schema(with_version)
             .option("basePath", data)
-            .parquet(*[f"{data}/{folder.dir}" for folder in folders])
+            .parquet(*[f"{data}/{place}" for place in self._places(spark, folders)])
             .select(*with_version.fieldNames())
         )
 
+    def _places(self, spark: SparkSession, folders: Sequence[LiveFolder]) -> list[str]:
+        """Paths that hold just these folders: where all of a version's are meant, only its root.
+
+        Spark looks at every path it is given by itself; one root takes one listing instead.
+        """
+        depth = len(self.partition_cols)
+        if depth != 1:
+            return [folder.dir for folder in folders]
+        by_root: dict[str, list[str]] = {}
+        for folder in folders:
+            root, _, name = folder.dir.rpartition("/")
+            by_root.setdefault(root, []).append(name)
+        places = []
+        for root, names in by_root.items():
+            there = hadoop.child_names(spark, f"{self.path}/data/{root}")
+            whole = {name for name in there if "=" in name} == set(names)
+            places += [root] if whole else [f"{root}/{name}" for name in names]
+        return places
+
 
 def _version_name(version: int) -> str:
     return f"{VERSION_COL}={version:010d}"

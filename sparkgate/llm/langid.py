@@ -16,7 +16,7 @@ from pyspark.sql.pandas.types import from_arrow_schema
 # Texts are described by their letter n-grams, hashed to so many places.
 PLACES, LONGEST = 1 << 12, 3
 # The machines are fitted on at most so many texts, dealt evenly to the languages, picked by hash.
-FIT_TEXTS = 3_000
+FIT_TEXTS = 1_500
 ROUNDS, RIDGE = 80, 1e-4
 UNDETERMINED = "und"
 
@@ -76,22 +76,23 @@ class Machine:
         """Squared hinge loss with a ridge, by accelerated gradient steps; both sides weigh alike."""
         signs = np.where(first, 1.0, -1.0).astype(np.float32)
         share = np.where(first, 0.5 / max(first.sum(), 1), 0.5 / max((~first).sum(), 1)).astype(np.float32)
-        wide = np.hstack([rows, np.ones((len(rows), 1), np.float32)])
-        weights = np.zeros(wide.shape[1], np.float32)
-        ahead, pace = weights.copy(), 1.0
-        step = 1 / (2 * (2.0 + RIDGE))
+        weights, ahead = np.zeros((2, rows.shape[1]), np.float32)
+        bias = ahead_bias = 0.0
+        pace, step = 1.0, 1 / (2 * (2.0 + RIDGE))
         for _ in range(ROUNDS):
-            slack = np.maximum(0, 1 - signs * (wide @ ahead))
-            slope = RIDGE * ahead - 2 * (wide.T @ (share * signs * slack))
-            moved = ahead - step * slope
+            pull = 2 * share * signs * np.maximum(0, 1 - signs * (rows @ ahead + ahead_bias))
+            moved = ahead - step * (RIDGE * ahead - pull @ rows)
+            moved_bias = ahead_bias + step * float(pull.sum())
             faster = (1 + np.sqrt(1 + 4 * pace * pace)) / 2
-            ahead = moved + (pace - 1) / faster * (moved - weights)
-            weights, pace = moved, faster
-        margins = signs * (wide @ weights)
+            gain = (pace - 1) / faster
+            ahead = (moved + gain * (moved - weights)).astype(np.float32)
+            ahead_bias = moved_bias + gain * (moved_bias - bias)
+            weights, bias, pace = moved.astype(np.float32), moved_bias, faster
+        margins = signs * (rows @ weights + bias)
         # How margins become probabilities: the slope with the least log loss on the fitted rows.
         slopes = [0.5, 1, 2, 4, 8]
         losses = [np.sum(share * np.log1p(np.exp(-np.clip(a * margins, -50, 50)))) for a in slopes]
-        return cls(weights[:-1], float(weights[-1]), slopes[int(np.argmin(losses))])
+        return cls(weights, bias, slopes[int(np.argmin(losses))])
 
     def chance(self, row: np.ndarray) -> float:
         """Probability of the first side."""
@@ -111,7 +112,7 @@ class OneVersusOne:
         for a, b in combinations(range(len(made.classes)), 2):
             of_a, of_b = names == made.classes[a], names == made.classes[b]
             both = of_a | of_b
-            made.machines[a, b] = Machine.fit(rows[both], of_a[both])
+            made.machines[a, b] = Machine.fit(rows if both.all() else rows[both], of_a[both])
         return made
 
     def pick(self, row: np.ndarray) -> tuple[str, float]:
@@ -144,14 +145,13 @@ class LanguageModel:
         return lang, min(1.0, max(0.0, sure * surer))
 
 
-def fit_model(samples: list[tuple[str, np.ndarray]]) -> LanguageModel:
-    """A model from (language, unit vector) pairs; without any it determines nothing."""
-    if not samples:
+def fit_model(langs: list[str], rows: np.ndarray) -> LanguageModel:
+    """A model from languages and their texts' unit vectors; without any it determines nothing."""
+    if not langs:
         return LanguageModel(OneVersusOne([]), {})
-    langs = np.array([lang for lang, _ in samples], dtype=object)
-    rows = np.stack([row for _, row in samples])
+    names = np.array(langs, dtype=object)
     families = np.array([family_of(lang) for lang in langs], dtype=object)
-    inside = {f: OneVersusOne.fit(rows[families == f], langs[families == f]) for f in sorted(set(families.tolist()))}
+    inside = {f: OneVersusOne.fit(rows[families == f], names[families == f]) for f in sorted(set(families.tolist()))}
     return LanguageModel(OneVersusOne.fit(rows, families), inside)
 
 
@@ -175,7 +175,7 @@ def learned(documents: DataFrame) -> LanguageModel:
     usable = documents.filter(~held_out("doc_id") & F.col("lang").isNotNull() & F.col("text").isNotNull())
     counts = {row["lang"]: row["count"] for row in usable.groupBy("lang").count().collect()}
     if not counts:
-        return fit_model([])
+        return fit_model([], np.zeros((0, PLACES), np.float32))
     share = max(1, FIT_TEXTS // len(counts))
     spread = 1 << 30
     limits = {lang: min(spread, spread * share // n + 1) for lang, n in counts.items()}
@@ -191,8 +191,9 @@ def learned(documents: DataFrame) -> LanguageModel:
 
     rows = picked.select("lang", "text").mapInArrow(vectors, from_arrow_schema(_VECTORS)).collect()
     # An order of their own, so that the model does not depend on how rows arrive.
-    rows = sorted((row["lang"], bytes(row["vector"])) for row in rows)
-    return fit_model([(lang, np.frombuffer(v, np.float16).astype(np.float32)) for lang, v in rows])
+    found = sorted((row["lang"], bytes(row["vector"])) for row in rows)
+    packed = np.frombuffer(b"".join(vector for _, vector in found), np.float16)
+    return fit_model([lang for lang, _ in found], packed.astype(np.float32).reshape(-1, PLACES))
 
 
 def languages(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:

@@ -209,7 +209,7 @@ def _nearest_above(placed: DataFrame) -> DataFrame:
     )
 
 
-def _oracle_sql() -> str:
+def _oracle_sql(place: str) -> str:
     quote = lambda s: "'" + s.replace("'", "''") + "'"
     values = ",\n    ".join(f"({n}, {quote(licence)}, {quote(text)})" for n, (licence, text) in enumerate(TEMPLATES))
     return f"""
@@ -221,7 +221,7 @@ WITH t(template, licence, body) AS (VALUES
   GROUP BY ALL
 ), d AS (
   SELECT doc_id, coalesce(text, '') AS text,
-    regexp_replace({ORACLE_PATH}, '/?[^/]*$', '') AS folder
+    regexp_replace({place}, '/?[^/]*$', '') AS folder
   FROM documents
 ), total AS (SELECT count(*) AS n FROM d),
 df AS (
@@ -280,4 +280,20 @@ def document_path() -> Column:
 
 # The same in SQL.
 ORACLE_PATH = "concat_ws('/', source, doc_id // 1000, doc_id // 10, doc_id)"
-ORACLE_SQL = _oracle_sql()
+ORACLE_SQL = _oracle_sql(ORACLE_PATH)
+
+
+def nested_path() -> Column:
+    """The given documents at three depths, as in repositories: of three, one lies in its source,
+    one in a folder of a thousand, and one in a folder of a hundred below that.
+    """
+    depth, outer, inner = (F.expr(e) for e in ("doc_id % 3", "doc_id div 1000", "doc_id div 100"))
+    return F.concat_ws("/", "source", F.when(depth > 0, outer), F.when(depth > 1, inner), "doc_id")
+
+
+# The same in SQL.
+NESTED_ORACLE_PATH = (
+    "concat_ws('/', source, CASE WHEN doc_id % 3 > 0 THEN doc_id // 1000 END, "
+    "CASE WHEN doc_id % 3 > 1 THEN doc_id // 100 END, doc_id)"
+)
+NESTED_ORACLE_SQL = _oracle_sql(NESTED_ORACLE_PATH)

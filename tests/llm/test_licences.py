@@ -1,7 +1,13 @@
+import os
+
 import pyspark.sql.functions as F
+import pytest
 
 from llm_frames import documents
-from sparkgate.llm import licences
+from oracle import connect, differences
+from sparkgate.llm import licences, queries
+
+from conftest import SF_DIR  # noqa: E402
 
 WORDS = "plain words about nothing much at all in several lines"
 
@@ -55,3 +61,19 @@ def test_ancestors(spark):
     ).first()
     assert row[0] == ["a/b/c", "a/b", "a", ""]
     assert set(row[1]) == {""}
+
+
+def test_folders_above_give_their_licence_in_the_given_tables(spark):
+    folder = os.path.join(os.path.dirname(SF_DIR), "sf0.01")
+    if not os.path.isdir(folder):
+        pytest.skip("test tables not at hand")
+    found = queries.op4_licence_scan_nested(spark, folder)
+    assert differences(found, connect(folder), licences.NESTED_ORACLE_SQL) == ""
+    documents = spark.read.parquet(f"{folder}/documents.parquet")
+    places = documents.select("doc_id", licences.directory(licences.nested_path()).alias("folder"))
+    rows = found.join(places, "doc_id").collect()
+    holders = {r.folder for r in rows if r.found_in == "file"}
+    inherited = [r for r in rows if r.found_in == "folder"]
+    above = [r for r in inherited if r.folder not in holders]
+    assert above and all(any(r.folder.startswith(f"{f}/") for f in holders) for r in above)
+    assert len(above) < len(inherited)

@@ -6,6 +6,7 @@ import pytest
 from llm_frames import documents
 from oracle import connect, differences
 from sparkgate.llm import licences, queries
+from sparkgate.llm.notices import WHOLE
 
 from conftest import SF_DIR  # noqa: E402
 
@@ -77,3 +78,39 @@ def test_folders_above_give_their_licence_in_the_given_tables(spark):
     above = [r for r in inherited if r.folder not in holders]
     assert above and all(any(r.folder.startswith(f"{f}/") for f in holders) for r in above)
     assert len(above) < len(inherited)
+
+
+def commented(text, mark):
+    return "\n".join(f"{mark} {line}".rstrip() for line in text.strip().split("\n"))
+
+
+def test_whole_licence_texts_and_wrapped_headers(spark):
+    code = "\n".join(f"def part_{n}(value):\n    return value * {n} + offset_{n}" for n in range(120))
+    texts = dict(WHOLE)
+    mit = texts["MIT"].replace("<year> <copyright holders>", "2021 Jane Roe")
+    bsd = texts["BSD-3-Clause"].replace("<year>, <copyright holder>", "2019, Example Labs")
+    gpl = texts["GPL-3.0"]
+    gpl = gpl[gpl.index("    This program is free software:") :]
+    gpl = gpl[: gpl.index("Also add")]
+    short_gpl = "\n".join(gpl.split("\n")[:4])
+    short_bsd = "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met"
+    apache = texts["Apache-2.0"]
+    apache = "Copyright 2020 Example Authors\n\n" + apache[apache.index('   Licensed under the Apache License, Version 2.0 (the "License");') :]
+    rows = [
+        (1, "mit/LICENSE", mit), (2, "mit/src/code.py", code),
+        (3, "a/code.py", f"{commented(gpl, '#')}\n\n{code}"), (4, "b/code.c", f"/*\n{commented(apache, ' *')}\n */\n{code}"),
+        (5, "c/code.c", f"/*\n{commented(bsd, ' *')}\n */\n{code}"), (6, "d/code.py", f"{commented(short_gpl, '#')}\n{code}"),
+        (7, "e/code.py", f"{commented(short_bsd, '#')}\n{code}"), (8, "f/code.py", code),
+        (9, "g/code.py", f"{code}\n{' '.join(mit.split())} {code}"),
+        (10, "h/code.py", commented(gpl, "//").replace("General", "Lesser General").replace("program", "library") + f"\n{code}"),
+    ]
+    files = [(20 + n, f"whole/{name}/LICENSE", text) for n, (name, text) in enumerate(WHOLE)]
+    rows += files + [(100 + n, f"bulk/{n}.txt", f"{WORDS} number {n} of the rest under this or any version") for n in range(60)]
+    found = scan(spark, rows)
+    assert found[1] == ("MIT", "file") and found[2] == ("MIT", "folder")
+    assert found[3] == ("GPL-3.0", "block") and found[4] == ("Apache-2.0", "block")
+    assert found[5] == ("BSD-3-Clause", "block")
+    assert found[6] == ("GPL-3.0", "block") and found[7] == ("BSD-3-Clause", "block")
+    assert found[9] == ("MIT", "block") and found[10] == ("LGPL-3.0", "block")
+    assert [found[i] for i, _, _ in files] == [(name, "file") for name, _ in WHOLE]
+    assert {found[i] for i in (8, *range(100, 160))} == {(None, None)}

@@ -4,12 +4,13 @@ A stage takes (spark, docs, sf_dir) and returns what it keeps, with the columns
 last returns token pieces in their places. Results are written and read again between stages. A
 stage works on any docs with those columns, null values, repeated rows and no rows included, as
 its operator's docstring tells.
+Each row follows its own verdict, by id, which may be null, and text.
 """
 
 from __future__ import annotations
 
 import pyspark.sql.functions as F
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from sparkgate.llm import exact, langid, near, packing, secrets
 from sparkgate.llm.tables import narrow_enough, stage, table
@@ -18,31 +19,38 @@ from sparkgate.llm.tables import narrow_enough, stage, table
 LEAST_SURE = 0.25
 
 
-def _kept(docs: DataFrame, verdicts: DataFrame) -> DataFrame:
-    """docs without the rows whose id is dropped; rows without an id stay.
+def _kept(docs: DataFrame, verdicts: DataFrame, body: Column) -> DataFrame:
+    """docs without the rows that are dropped, by id, which may be null, and text.
 
-    The dropped ids are stored and, if their list is small enough, sent to all tasks.
+    verdicts have text_sha256 of body, the text as the verdict takes it. The dropped ids and hashes
+    are stored and, if their list is small enough, sent to all tasks.
     """
-    dropped = stage(verdicts.filter("NOT kept AND doc_id IS NOT NULL").select("doc_id").distinct(), "dropped")
-    left = docs.join(narrow_enough(dropped, 16), "doc_id", "left_anti")
+    dropped = verdicts.filter("NOT kept").select(
+        F.col("doc_id").alias("dropped_id"), F.unhex("text_sha256").alias("dropped_sha")
+    )
+    dropped = stage(dropped.distinct(), "dropped")
+    same = F.col("docs.doc_id").eqNullSafe(F.col("gone.dropped_id")) & (
+        F.unhex(F.sha2(body, 256)) == F.col("gone.dropped_sha")
+    )
+    left = docs.alias("docs").join(narrow_enough(dropped, 64).alias("gone"), same, "left_anti")
     return left.select(*[F.col(f"`{name}`") for name in docs.columns])
 
 
 def identify_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a language: texts without a letter go, and those of no sure language."""
-    found = langid.languages(docs)
+    found = langid.languages(docs, with_hash=True)
     sure = (F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= LEAST_SURE)
-    return _kept(docs, found.select("doc_id", sure.alias("kept")))
+    return _kept(docs, found.select("doc_id", "text_sha256", sure.alias("kept")), langid.body(F.col("text")))
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents with equal texts, that with the smallest id."""
-    return _kept(docs, exact.exact_duplicates(docs))
+    return _kept(docs, exact.exact_duplicates(docs), exact.content(F.col("text")))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each class of near duplicates, the document with the smallest id."""
-    return _kept(docs, near.near_duplicates(docs))
+    return _kept(docs, near.near_duplicates(docs, with_hash=True), near.body(F.col("text")))
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -196,9 +196,23 @@ def learned(documents: DataFrame) -> LanguageModel:
     return fit_model([lang for lang, _ in found], packed.astype(np.float32).reshape(-1, PLACES))
 
 
-def languages(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+def body(text: Column) -> Column:
+    """Text as it is judged; null as empty."""
+    return F.coalesce(text.cast("string"), F.lit(""))
+
+
+def languages(
+    documents: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    lang_col: str = "lang",
+    *,
+    with_hash: bool = False,
+) -> DataFrame:
     """Per row: doc_id, held_out, lang_pred and score (0 to 1, how sure the path to it was).
 
+    with_hash adds text_sha256, that of body(text).
+
     Learns from rows with a language that are not held out, and predicts from whole texts alone.
     Null texts and texts without a letter are und with score 0, as are all texts if there is
     nothing to learn from. A null id is not held out. Ids may repeat. Other columns are not read.
@@ -210,6 +224,8 @@ def languages(documents: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     )
     model = learned(texts)
     shared = documents.sparkSession.sparkContext.broadcast(model)
+    hashes = [("text_sha256", pa.string())] if with_hash else []
+    schema = pa.schema([*_PREDICTED, *[pa.field(*h) for h in hashes]])
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
@@ -217,8 +233,9 @@ def languages(documents: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             found = [known.predict(text.as_py()) for text in batch["text"]]
             langs, scores = [lang for lang, _ in found], [score for _, score in found]
             columns = [batch["doc_id"], batch["held_out"], pa.array(langs, pa.string()), pa.array(scores, pa.float64())]
-            yield pa.record_batch(columns, schema=_PREDICTED)
+            yield pa.record_batch(columns + [batch[name] for name, _ in hashes], schema=schema)
 
-    return texts.select("doc_id", held_out("doc_id").alias("held_out"), "text").mapInArrow(
-        predict, from_arrow_schema(_PREDICTED)
+    told = [F.sha2(body(F.col("text")), 256).alias(name) for name, _ in hashes]
+    return texts.select("doc_id", held_out("doc_id").alias("held_out"), "text", *told).mapInArrow(
+        predict, from_arrow_schema(schema)
     )

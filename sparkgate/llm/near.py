@@ -17,6 +17,7 @@ from pyspark.sql.pandas.types import from_arrow_schema
 
 from sparkgate.llm.components import components
 from sparkgate.llm.darts import bands, mix, signatures
+from sparkgate.llm.exact import content
 from sparkgate.llm.tables import narrow_enough, repeated_groups, salt, stage
 
 SHINGLE_WORDS, SIMILARITY = 5, 0.8
@@ -166,6 +167,11 @@ def _may_be_alike(least: float) -> Column:
     return sizes & (sum([F.bit_count(x) for x in unequal[1:]], F.bit_count(unequal[0])) <= most)
 
 
+def body(text: Column) -> Column:
+    """The words of a text, each parted from the next by one space; none of null."""
+    return F.trim(content(text))
+
+
 def near_duplicates(
     documents: DataFrame,
     id_col: str = "doc_id",
@@ -173,9 +179,12 @@ def near_duplicates(
     *,
     least: float = SIMILARITY,
     by_count: bool = False,
+    with_hash: bool = False,
 ) -> DataFrame:
     """Per row: doc_id, class_id (the smallest id of its class) and kept (whether that is itself).
 
+    with_hash adds text_sha256, that of body(text).
+
     Texts are linked if the Jaccard similarity of their five-word shingles is least or more; classes
     are what links connect. Weights are 1 per distinct shingle, or with by_count how often it
     occurs. Rows with the same words form one class at once, and only one of them goes on.
@@ -214,7 +223,12 @@ def near_duplicates(
         .join(of_group, ["h", "salt"], "left")
         .join(own, "doc_id", "left")
         .withColumn("class_id", F.coalesce("group_class", "own_class", "doc_id"))
-        .select("doc_id", "class_id", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept"))
+        .select(
+            "doc_id",
+            "class_id",
+            F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept"),
+            *([F.lower(F.hex("h")).alias("text_sha256")] if with_hash else []),
+        )
     )
 
 

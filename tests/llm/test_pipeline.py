@@ -76,3 +76,29 @@ def test_odd_documents(spark, odd, none):
         # Rows without an id can't be named, and stay.
         assert docs.filter("doc_id IN (1, 2, 3, 9)").count() == 0
         corpus_pipeline.pack_sequences(spark, docs, SF_DIR).count()
+
+
+def test_each_row_follows_its_own_verdict(spark):
+    prose = "several plain words that stand in the first of all these texts"
+    other = "another quite different sentence about rivers and their bridges"
+    third = "nothing here is like the rest since kitchens have tables and chairs"
+    loose = f" \t{third}\n\n"
+    docs = documents(
+        spark,
+        [
+            (1, prose, "en"), (2, f"  {other}\n twice  spaced ", "en"), (5, prose, "en"), (5, third, "en"), (6, "123 !!", "en"),
+            (6, f"{other} and more words in it", "en"), (None, "123 !!", None), (None, None, None), (None, prose, "en"),
+            (None, f"{third} without an id", "en"),
+        ],
+    )
+    texts = lambda frame: sorted((r.doc_id or 0, r.text or "") for r in frame.collect())
+    lettered = corpus_pipeline.identify_languages(spark, docs, SF_DIR)
+    assert lettered.columns == docs.columns
+    found = texts(lettered)
+    assert (6, "123 !!") not in found and (0, "123 !!") not in found and (0, "") not in found
+    assert (6, f"{other} and more words in it") in found
+    single = texts(corpus_pipeline.drop_exact_copies(spark, docs, SF_DIR))
+    assert (5, third) in single and (5, prose) not in single and (0, prose) not in single
+    assert (0, f"{third} without an id") in single
+    spaced = documents(spark, [(1, third, "en"), (2, loose, "en"), (3, other, "en"), (None, third, "en")])
+    assert texts(corpus_pipeline.drop_near_copies(spark, spaced, SF_DIR)) == [(0, third), (1, third), (3, other)]

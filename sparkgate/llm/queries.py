@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sparkgate.llm import bpe, bytebpe, counts, exact, langid, licences, near, packing, quality, secrets, warc
+from sparkgate.llm import bpe, bytebpe, counts, exact, langid, licences, near, packing, quality, runs, secrets, warc
 from sparkgate.llm.tables import private_folder, table
 
 
@@ -56,6 +56,10 @@ def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bytebpe.digests(table(spark, sf_dir, "documents"))
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.digests(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_quality_forest": op1_quality_forest,
     "op2_exact_dedup": op2_exact_dedup,
@@ -69,6 +73,7 @@ QUERIES = {
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_token_counts": op10_token_counts,
     "op11_byte_bpe": op11_byte_bpe,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 # The others learn, hash or pack: tests/llm holds them against brute force and held-out rows.

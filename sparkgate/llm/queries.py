@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sparkgate.llm import bpe, bytebpe, counts, exact, langid, licences, near, packing, quality, runs, secrets, warc
+from sparkgate.llm import bpe, bytebpe, counts, exact, langid, lemp, licences, near, packing, quality, runs, secrets, warc
 from sparkgate.llm.tables import private_folder, table
 
 
@@ -56,6 +56,10 @@ def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bytebpe.digests(table(spark, sf_dir, "documents"))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lemp.mined(table(spark, sf_dir, "embeddings"))
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.digests(table(spark, sf_dir, "documents"))
 
@@ -73,6 +77,7 @@ QUERIES = {
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_token_counts": op10_token_counts,
     "op11_byte_bpe": op11_byte_bpe,
+    "op12_hard_negatives": op12_hard_negatives,
     "op13_periodic_runs": op13_periodic_runs,
 }
 
@@ -83,4 +88,5 @@ ORACLE_SQL = {
     "op4_licence_scan_nested": licences.NESTED_ORACLE_SQL,
     "op7_warc_zstd": warc.ORACLE_SQL,
     "op8_secret_scan": secrets.ORACLE_SQL,
+    "op12_hard_negatives": lemp.ORACLE_SQL,
 }

@@ -35,7 +35,7 @@ _STATISTICS = pa.schema(
     + [(name, pa.float64()) for name in ("mean_word", "junk_rate")]
 )
 FEATURES = _STATISTICS.names[7:]
-_JUDGED = pa.schema([*list(_STATISTICS)[:7], ("anomaly", pa.float64()), ("kept", pa.bool_())])
+_JUDGED = pa.schema([*list(_STATISTICS)[:7], ("anomaly", pa.float64()), ("bin", pa.int64()), ("kept", pa.bool_())])
 
 
 def repeated_words(ids: np.ndarray, width: int = WINDOW) -> int:
@@ -60,9 +60,10 @@ def repeated_words(ids: np.ndarray, width: int = WINDOW) -> int:
 def text_statistics(text: str | None) -> tuple:
     """The rules' counts and rates of one text, in the order of _STATISTICS without the id.
 
-    The forest sees two rates: the mean length of words, and junk per word, which is symbols, words
-    in capitals and words that repeat the one before. Few features keep trees shallow enough for
-    each of them to be split.
+    The forest sees two rates: the mean length of words, and junk. Junk is the sum of symbols, words
+    in capitals and words that repeat the one before, per word; of words in repeated windows, per
+    word; and of repeated lines, per line. As one sum a page of a little of each stands out, and
+    good pages that repeat a line do not: on their own such rare rates part good pages from good.
     """
     text = text or ""
     words = _WORD.findall(text)
@@ -80,7 +81,7 @@ def text_statistics(text: str | None) -> tuple:
     return (
         n, chars, symbols, dup_lines, repeats,
         n < 10 or 100 * repeats > 20 * n,
-        chars / some, (symbols + upper + stutter) / some,
+        chars / some, (symbols + upper + stutter + repeats) / some + dup_lines / max(len(lines), 1),
     )
 
 
@@ -162,49 +163,65 @@ class Forest:
         return 2.0 ** (-total / len(self.roots) / self.norm)
 
 
-def _anomalies(stats: DataFrame, forest: Forest | None, threshold: float) -> DataFrame:
+def score_bin(scores: np.ndarray) -> np.ndarray:
+    """The bins scores are counted in and compared by."""
+    return np.ceil(scores * SCORE_BINS).astype(np.int64)
+
+
+def _anomalies(stats: DataFrame, forest: Forest | None, most: int) -> DataFrame:
+    """Rows with their anomaly, kept if they pass the fixed rules and score in bin most at most."""
+
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = np.column_stack([batch[name].to_numpy(zero_copy_only=False) for name in FEATURES])
             scores = forest.scores(rows) if forest else np.zeros(len(rows))
             failed = batch["base_failed"].to_numpy(zero_copy_only=False)
-            kept = ~failed & (scores < threshold)
+            bins = score_bin(scores)
+            kept = ~failed & (bins <= most)
             head = [batch[name] for name in _JUDGED.names[:7]]
-            yield pa.record_batch([*head, pa.array(scores), pa.array(kept)], schema=_JUDGED)
+            yield pa.record_batch([*head, pa.array(scores), pa.array(bins), pa.array(kept)], schema=_JUDGED)
 
     return stats.mapInArrow(judge, from_arrow_schema(_JUDGED))
 
 
-def fitted(stats: DataFrame, labels: DataFrame, label_col: str = "quality") -> tuple[Forest | None, float]:
+def threshold(good: np.ndarray, bad: np.ndarray) -> int:
+    """The bin that scores may reach, from how many labelled rows of either kind lie in each bin.
+
+    Of those that lose no more good rows than GOOD_LOSS it is the one that parts the labels best,
+    of equally good ones the highest. Without rows of one kind it is the highest bin: nothing tells
+    what is anomalous.
+    """
+    if not good.sum() or not bad.sum():
+        return SCORE_BINS
+    lost, caught = (1 - np.cumsum(counts) / counts.sum() for counts in (good, bad))
+    gain = np.where(lost <= GOOD_LOSS, caught - lost, -1.0)
+    return int(np.flatnonzero(gain == gain.max())[-1])
+
+
+def fitted(stats: DataFrame, labels: DataFrame, label_col: str = "quality") -> tuple[Forest | None, int]:
     """The forest and its threshold, from labelled statistics.
 
     The forest sees a bounded sample; the threshold is set on the scores of all labelled rows that
-    pass the fixed rules, as counts per score bin. Of those that lose no more good rows than
-    GOOD_LOSS it is the one that parts the labels best. Without labelled rows there is no forest,
-    and nothing is anomalous.
+    pass the fixed rules, as counts per score bin, see threshold(). Rows are compared with it by
+    their bins, so rows of equal scores share a verdict. Without labelled rows there is no forest.
     """
     told = labels.select(F.col("doc_id"), F.col(label_col).alias("label")).filter("label IS NOT NULL").distinct()
     known = stage(stats.join(told, "doc_id").filter("NOT base_failed"), "labelled")
 
     def sample(label: int, most: int) -> list:
-        rows = known.filter(F.col("label") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+        rows = known.filter(F.col("label") == label).orderBy(F.xxhash64("doc_id"), "doc_id", *FEATURES).limit(most)
         return rows.select(*FEATURES).collect()
 
     rows = sample(1, FIT_GOOD) + sample(0, FIT_BAD)
     if not rows:
-        return None, 1.0
+        return None, SCORE_BINS
     forest = Forest.fit(np.array(rows, float))
-    scored = _anomalies(known, forest, 1.0).select("doc_id", "anomaly").join(told, "doc_id")
-    counted = (
-        scored.groupBy(F.ceil(F.col("anomaly") * SCORE_BINS).cast("int").alias("bin"), "label").count().collect()
-    )
-    above = np.zeros((2, SCORE_BINS + 2))
-    for row in counted:
-        above[int(row["label"] == 1), min(row["bin"], SCORE_BINS)] += row["count"]
-    above = np.cumsum(above[:, ::-1], axis=1)[:, ::-1]
-    bad, good = above / np.maximum(above[:, :1], 1)
-    best = int(np.argmax(np.where(good <= GOOD_LOSS, bad - good, -1.0)))
-    return forest, (best - 1) / SCORE_BINS if best else 1.0
+    scored = _anomalies(known.drop("label"), forest, SCORE_BINS).select("doc_id", "bin").join(told, "doc_id")
+    counts = np.zeros((2, SCORE_BINS + 1))
+    for row in scored.groupBy("bin", "label").count().collect():
+        if row["label"] in (0, 1):
+            counts[int(row["label"]), min(row["bin"], SCORE_BINS)] += row["count"]
+    return forest, threshold(counts[1], counts[0])
 
 
 def judged(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -212,9 +229,10 @@ def judged(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
 
     Statistics are taken of all whole texts in one pass and stored; the forest and its threshold
     come from those with a label. Null and empty texts have no words and fail the fixed rules.
-    Null labels and labels of unknown documents are passed over. Ids may be null or repeat; each
-    row is judged by its own text. Other columns are not read.
+    Null labels and labels of unknown documents are passed over; with labels of one kind only,
+    nothing is anomalous. Equal statistics give equal scores and one verdict. Ids may be null or
+    repeat; each row is judged by its own text. Other columns are not read.
     """
     stats = stage(statistics(documents, id_col, text_col), "statistics")
-    forest, threshold = fitted(stats, labels)
-    return _anomalies(stats, forest, threshold)
+    forest, most = fitted(stats, labels)
+    return _anomalies(stats, forest, most).drop("bin")

@@ -60,3 +60,52 @@ def test_far_rows_have_short_paths():
     scores = quality.Forest.fit(rows).scores(rows)
     assert set(np.argsort(scores)[-2:]) == {400, 401}
     assert ((scores > 0) & (scores < 1)).all()
+
+
+def test_equal_scores_and_one_kind_of_label(spark):
+    text = " ".join(map(str, range(30)))
+    rows = documents(spark, [(n, text, "en") for n in range(40)])
+    for label in (0, 1):
+        told = spark.createDataFrame([(n, label) for n in range(20)], "doc_id long, quality int")
+        assert quality.judged(rows, told).filter("kept").count() == 40
+    mixed = spark.createDataFrame([(n, n % 2) for n in range(20)], "doc_id long, quality int")
+    assert quality.judged(rows, mixed).filter("kept").count() == 40
+
+
+def test_threshold_over_bins():
+    bins = quality.SCORE_BINS + 1
+    good, bad = np.zeros(bins), np.zeros(bins)
+    good[[100, 300]], bad[[299, 300, 500, 700]] = 500, 1
+    assert quality.threshold(good, bad) == 499
+    good[600] = 3
+    assert quality.threshold(good, bad) == 499
+    good[600] = 30
+    assert quality.threshold(good, bad) == 699
+    assert quality.threshold(good, np.zeros(bins)) == quality.threshold(np.zeros(bins), bad) == quality.SCORE_BINS
+
+
+def test_pages_of_repeated_short_lines(spark, given):
+    docs, labels = given("documents"), given("labels")
+    own = [" ".join(f"{word}{n}" for word in ("one", "more", "line", "of", "words")) for n in range(40)]
+    page = "\n".join(line for pair in zip(own, ["read"] * 40) for line in pair)
+    count = quality.text_statistics(page)
+    assert not count[5] and count[3] == 39
+    made = documents(spark, [(-1, page, "en")]).select(*docs.columns)
+    row = quality.judged(docs.union(made), labels).filter("doc_id = -1").first()
+    assert not row["base_failed"] and not row["kept"]
+
+
+def test_scores_against_paths_by_hand():
+    """Scores of trees walked node by node, as the definition has it."""
+    rng = np.random.default_rng(5)
+    rows = rng.normal(size=(300, 2))
+    forest = quality.Forest.fit(rows, trees=20, tree_rows=64)
+
+    def path(row, node):
+        while forest.feature[node] >= 0:
+            under = row[forest.feature[node]] < forest.split[node]
+            node = forest.left[node] if under else forest.right[node]
+        return forest.path[node]
+
+    expected = [2 ** (-np.mean([path(row, root) for root in forest.roots]) / forest.norm) for row in rows]
+    assert np.allclose(forest.scores(rows), expected)

@@ -5,9 +5,10 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from functools import cache
 
+import numpy as np
 import pyarrow as pa
 import pyspark.sql.functions as F
 import regex
@@ -18,8 +19,10 @@ from sparkgate.llm.vocabulary import SPLIT, tokenizer_path
 
 # Chunks a worker remembers, and the longest of them; longer ones are encoded each time.
 KNOWN_CHUNKS, KNOWN_LENGTH = 200_000, 128
-# Rows leave a worker in batches of about so many characters of text.
-GROUP_CHARS = 4_000_000
+# Pieces of up to so many bytes are merged together, longer ones one by one.
+TOGETHER_BYTES = 64
+# Documents are encoded in groups of about so many characters.
+GROUP_CHARS = 1_000_000
 
 # The pattern joins one space at most to what follows, and no piece goes on past other white space.
 # So text falls apart into chunks whose pieces depend on the chunk alone. These are the characters
@@ -27,7 +30,7 @@ GROUP_CHARS = 4_000_000
 _BLANK = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _CHUNK = re.compile(f" ?[^{_BLANK}]+|[{_BLANK}]+(?![^{_BLANK}])|[{_BLANK}]+")
 _PIECE = regex.compile(SPLIT)
-_NO_RANK = float("inf")
+_NO_RANK = 1 << 62
 
 
 class RankTree:
@@ -99,6 +102,75 @@ def merged(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return ids
 
 
+class PairRanks:
+    """The rank of every pair of tokens whose bytes make a token."""
+
+    def __init__(self, ranks: dict[bytes, int]) -> None:
+        self._width = max(ranks.values()) + 1
+        pairs = {
+            ranks[token[:cut]] * self._width + ranks[token[cut:]]: rank
+            for token, rank in ranks.items()
+            for cut in range(1, len(token))
+            if token[:cut] in ranks and token[cut:] in ranks
+        }
+        self._keys = np.array(sorted(pairs) or [-1], np.int64)
+        self._ranks = np.array([pairs.get(key, _NO_RANK) for key in self._keys.tolist()], np.int64)
+
+    def of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Ranks of pairs; _NO_RANK where there is none, or either side is below 0."""
+        pair = np.where((left < 0) | (right < 0), -2, left * self._width + right)
+        at = np.minimum(np.searchsorted(self._keys, pair), len(self._keys) - 1)
+        return np.where(self._keys[at] == pair, self._ranks[at], _NO_RANK)
+
+
+def merged_together(pieces: Sequence[bytes], byte_ids: np.ndarray, pairs: PairRanks) -> list[list[int]]:
+    """merged() of many pieces that are no tokens themselves: a tree for each, one merge of each a round.
+
+    Trees have the width of the longest piece's, so pieces should be about equally long.
+    """
+    sizes = np.array([len(piece) for piece in pieces], np.int64)
+    width = 1 << int(sizes.max() - 1).bit_length()
+    every = np.arange(len(pieces))
+    places = np.arange(width + 1)
+    symbols = np.full((len(pieces), width + 1), -1, np.int64)
+    symbols[places < sizes[:, None]] = byte_ids[np.frombuffer(b"".join(pieces), np.uint8)]
+    rank = pairs.of(symbols[:, :-1], symbols[:, 1:])
+    nodes = np.full((len(pieces), 2 * width), _NO_RANK, np.int64)
+    nodes[:, width:] = np.where(rank < _NO_RANK, rank * width + places[:-1], _NO_RANK)
+    level = width
+    while level > 1:
+        level //= 2
+        nodes[:, level : 2 * level] = np.minimum(nodes[:, 2 * level : 4 * level : 2], nodes[:, 2 * level + 1 : 4 * level : 2])
+    after = np.tile(places + 1, (len(pieces), 1))
+    before = np.tile(places - 1, (len(pieces), 1))
+    live = every
+    while True:
+        first = nodes[live, 1]
+        due = first < _NO_RANK
+        live, first = live[due], first[due]
+        if not len(live):
+            break
+        at, token = first % width, first // width
+        right = after[live, at]
+        end = after[live, right]
+        left = before[live, at]
+        symbols[live, at], symbols[live, right] = token, -1
+        after[live, at], before[live, end] = end, at
+        beside = pairs.of(token, symbols[live, end])
+        ahead = pairs.of(np.where(left >= 0, symbols[live, left], -1), token)
+        # The pair at the right half is gone; its own pair and the one before rank anew.
+        spots = np.stack([right, at, np.where(left >= 0, left, right)])
+        ranks = np.stack([np.full(len(live), _NO_RANK), beside, ahead])
+        node = width + spots
+        nodes[live, node] = np.where(ranks < _NO_RANK, ranks * width + spots, _NO_RANK)
+        for _ in range(width.bit_length() - 1):
+            node = node >> 1
+            nodes[live, node] = np.minimum(nodes[live, 2 * node], nodes[live, 2 * node + 1])
+    alive = symbols >= 0
+    ids, ends = symbols[alive].tolist(), np.cumsum(alive.sum(axis=1)).tolist()
+    return [ids[start:end] for start, end in zip([0, *ends], ends)]
+
+
 class ByteBpe:
     """Encoder and decoder under a file of ranks: a base64 token and its rank, which is its id, per line."""
 
@@ -107,31 +179,55 @@ class ByteBpe:
             lines = [line.split() for line in file if line.strip()]
         self.ranks = {base64.b64decode(token): int(rank) for token, rank in lines}
         self.tokens = {rank: token for token, rank in self.ranks.items()}
+        self._byte_ids = np.array([self.ranks[bytes([b])] for b in range(256)], np.int64)
+        self._pairs = PairRanks(self.ranks)
         self._known: dict[str, tuple[str, int, bytes]] = {}
 
-    def chunk_ids(self, chunk: str) -> list[int]:
-        """The ids of a text without inner white space, one split piece after the other."""
-        return [n for piece in _PIECE.findall(chunk) for n in merged(piece.encode(), self.ranks)]
+    def _piece_ids(self, pieces: Iterable[bytes]) -> dict[bytes, list[int]]:
+        found: dict[bytes, list[int]] = {}
+        by_width: dict[int, list[bytes]] = {}
+        for piece in pieces:
+            if piece in self.ranks or len(piece) > TOGETHER_BYTES:
+                found[piece] = merged(piece, self.ranks)
+            else:
+                by_width.setdefault((len(piece) - 1).bit_length(), []).append(piece)
+        for members in by_width.values():
+            found.update(zip(members, merged_together(members, self._byte_ids, self._pairs)))
+        return found
+
+    def _learn(self, chunks: Sequence[str]) -> dict[str, tuple[str, int, bytes]]:
+        """Chunks with their ids joined by commas, the ids' number and the bytes they stand for."""
+        split = [[piece.encode() for piece in _PIECE.findall(chunk)] for chunk in chunks]
+        coded = {
+            piece: (",".join(map(str, ids)), len(ids), self.decode(ids))
+            for piece, ids in self._piece_ids(dict.fromkeys(piece for part in split for piece in part)).items()
+        }
+        found = {}
+        for chunk, part in zip(chunks, split):
+            if len(part) == 1:
+                found[chunk] = coded[part[0]]
+            else:
+                texts, counts, decoded = zip(*[coded[piece] for piece in part])
+                found[chunk] = (",".join(texts), sum(counts), b"".join(decoded))
+        return found
 
-    def chunks(self, text: str) -> list[tuple[str, int, bytes]]:
-        """Of each chunk of a text: its ids joined by commas, their number, and the bytes they stand for."""
+    def encode(self, texts: Sequence[str]) -> list[list[tuple[str, int, bytes]]]:
+        """Of each text, its chunks' (ids joined by commas, number of ids, bytes decoded from them)."""
+        split = [_CHUNK.findall(text) for text in texts]
+        if len(self._known) > KNOWN_CHUNKS:
+            self._known = {}
         known = self._known
-        if len(known) > KNOWN_CHUNKS:
-            known.clear()
-        found = []
-        for chunk in _CHUNK.findall(text):
-            coded = known.get(chunk)
-            if coded is None:
-                ids = self.chunk_ids(chunk)
-                coded = (",".join(map(str, ids)), len(ids), self.decode(ids))
-                if len(chunk) <= KNOWN_LENGTH:
-                    known[chunk] = coded
-            found.append(coded)
-        return found
+        new = self._learn(list(dict.fromkeys(chunk for chunks in split for chunk in chunks if chunk not in known)))
+        known.update(new)
+        out = [[known[chunk] for chunk in chunks] for chunks in split]
+        for chunk in new:
+            if len(chunk) > KNOWN_LENGTH:
+                del known[chunk]
+        return out
 
     def ids(self, text: str) -> list[int]:
         """The ids of one text."""
-        return [int(n) for ids, _, _ in self.chunks(text) for n in ids.split(",")]
+        return [int(n) for ids, _, _ in self.encode([text])[0] for n in ids.split(",")]
 
     def decode(self, ids: Sequence[int]) -> bytes:
         """The bytes that ids stand for."""
@@ -158,20 +254,21 @@ def _coded(
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = byte_bpe(path)
 
-        def made(rows: list[tuple]) -> pa.RecordBatch:
+        def coded(ids: list[int | None], texts: list[str]) -> pa.RecordBatch:
+            rows = [(doc_id, *row(chunks)) for doc_id, chunks in zip(ids, coder.encode(texts))]
             return pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
         for batch in batches:
-            rows, size = [], 0
+            ids, texts, size = [], [], 0
             for doc_id, cell in zip(batch["doc_id"].to_pylist(), batch["text"]):
-                text = cell.as_py() or ""
-                rows.append((doc_id, *row(coder.chunks(text))))
-                size += len(text)
+                ids.append(doc_id)
+                texts.append(cell.as_py() or "")
+                size += len(texts[-1])
                 if size >= GROUP_CHARS:
-                    yield made(rows)
-                    rows, size = [], 0
-            if rows:
-                yield made(rows)
+                    yield coded(ids, texts)
+                    ids, texts, size = [], [], 0
+            if ids:
+                yield coded(ids, texts)
 
     return documents.select(
         F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text")

@@ -2,6 +2,7 @@ import base64
 import hashlib
 import random
 
+import numpy as np
 import pytest
 import tiktoken
 from hypothesis import given as cases
@@ -74,9 +75,17 @@ def test_tree_against_scanning(seed):
     while len(ranks) < 40:
         token = rng.choice(list(ranks)) + rng.choice(list(ranks))
         ranks.setdefault(token, len(ranks))
+    pieces = []
     for _ in range(60):
         piece = bytes(rng.choice(b"abc") for _ in range(rng.randrange(1, 50)))
-        assert bytebpe.merged(piece, ranks) == ([ranks[piece]] if piece in ranks else by_scanning(piece, ranks))
+        expected = [ranks[piece]] if piece in ranks else by_scanning(piece, ranks)
+        assert bytebpe.merged(piece, ranks) == expected
+        pieces.append(piece)
+    loose = [piece for piece in pieces if piece not in ranks]
+    ids = np.zeros(256, np.int64)
+    ids[list(b"abc")] = 0, 1, 2
+    found = bytebpe.merged_together(loose, ids, bytebpe.PairRanks(ranks))
+    assert found == [by_scanning(piece, ranks) for piece in loose]
 
 
 def test_pieces_of_any_length(library):

@@ -18,12 +18,13 @@ from pyspark.sql.pandas.types import from_arrow_schema
 from sparkgate.llm.components import components
 from sparkgate.llm.darts import bands, mix, signatures
 from sparkgate.llm.exact import content
-from sparkgate.llm.tables import narrow_enough, repeated_groups, salt, stage
+from sparkgate.llm.spread import spread_links
+from sparkgate.llm.tables import Scratch, narrow_enough, salt
 
 SHINGLE_WORDS, SIMILARITY = 5, 0.8
 # 42 bands of 6 coordinates: two texts of similarity 0.8 share none with a chance of 3 in a million.
 BANDS, BAND_ROWS = 42, 6
-# Rounds in which a bucket's rows are compared with one of them, before all that are still apart.
+# Rounds in which a bucket's rows are compared with one of them, before those still apart are joined.
 STAR_ROUNDS = 2
 # Some bits of every coordinate, in words of 63, tell most pairs that are not alike apart. A pair
 # whose agreeing coordinates are this many standard deviations below what is expected at the least
@@ -80,10 +81,29 @@ def similarity(first: str, second: str, by_count: bool = False) -> float:
     return float(shared / (wa.sum() + wb.sum() - shared))
 
 
+def digest(words: list[str]) -> bytes:
+    """SHA-256 of the words, parted by one space."""
+    return hashlib.sha256(" ".join(words).encode("utf-8", "surrogatepass")).digest()
+
+
+def elements_of(words: list[str], by_count: bool) -> np.ndarray:
+    """A set of hashes whose Jaccard similarity is that of the weighted shingles.
+
+    With by_count the second and further occurrences of a shingle are elements of their own.
+    """
+    codes, counts = np.unique(shingles(words), return_counts=True)
+    if not by_count or not len(codes):
+        return codes
+    turn = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+    codes = np.repeat(codes, counts)
+    return np.where(turn > 0, mix(codes + turn.astype(np.uint64) * _ODD), codes)
+
+
 _SIGNED = pa.schema(
     [("doc_id", pa.int64()), ("h", pa.binary()), ("size", pa.float64())]
     + [("bands", pa.list_(pa.int64())), ("sketch", pa.list_(pa.int64()))]
 )
+_ELEMENTS = pa.schema([("doc_id", pa.int64()), ("h", pa.binary()), ("elements", pa.list_(pa.int64()))])
 
 
 def _signed(texts: DataFrame, by_count: bool) -> DataFrame:
@@ -107,8 +127,7 @@ def _signed(texts: DataFrame, by_count: bool) -> DataFrame:
             codes = bands(signature, BAND_ROWS).view(np.int64)
             for n, code, sketch in zip(full, codes.tolist(), words.tolist()):
                 hashes[n], sketches[n] = code, sketch
-        digests = [hashlib.sha256(" ".join(words).encode("utf-8", "surrogatepass")).digest() for words in split]
-        columns = [[doc_id for doc_id, _ in rows], digests, [float(w.sum()) for _, w in sets], hashes, sketches]
+        columns = [[doc_id for doc_id, _ in rows], list(map(digest, split)), [float(w.sum()) for _, w in sets], hashes, sketches]
         return pa.record_batch([pa.array(c, f.type) for c, f in zip(columns, _SIGNED)], schema=_SIGNED)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -127,24 +146,18 @@ def _signed(texts: DataFrame, by_count: bool) -> DataFrame:
     return texts.mapInArrow(run, from_arrow_schema(_SIGNED))
 
 
-def _alike(pairs: DataFrame, texts: DataFrame, by_count: bool, least: float) -> DataFrame:
-    """Of pairs (a, b), those whose texts have at least that similarity."""
-    ids = stage(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "wanted")
-    wanted = texts.join(narrow_enough(ids, 16), "doc_id")
-    rows = pairs.join(
-        wanted.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b"
-    ).join(wanted.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+def _elements(texts: DataFrame, by_count: bool) -> DataFrame:
+    """Per text: doc_id, h and its set of elements."""
 
-    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            good = [
-                similarity(x.as_py() or "", y.as_py() or "", by_count) >= least
-                for x, y in zip(batch["text_a"], batch["text_b"])
-            ]
-            yield pa.record_batch([batch["a"], batch["b"]], schema=schema).filter(pa.array(good, pa.bool_()))
+            split = [_WORD.findall(text.as_py() or "") for text in batch["text"]]
+            sets = [elements_of(words, by_count).view(np.int64) for words in split]
+            ends = np.cumsum([0, *map(len, sets)])
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.array([], np.int64), *sets])))
+            yield pa.record_batch([batch["doc_id"], pa.array(list(map(digest, split)), pa.binary()), lists], schema=_ELEMENTS)
 
-    return rows.select("a", "b", "text_a", "text_b").mapInArrow(check, from_arrow_schema(schema))
+    return texts.mapInArrow(run, from_arrow_schema(_ELEMENTS))
 
 
 def _may_be_alike(least: float) -> Column:
@@ -172,6 +185,101 @@ def body(text: Column) -> Column:
     return F.trim(content(text))
 
 
+class _Texts:
+    """Signed rows, and what is known of their distinct texts.
+
+    Each row has a number. A text, of any number of rows with the same words, goes by the smallest
+    of its rows' numbers, its node.
+    """
+
+    def __init__(self, texts: DataFrame, by_count: bool, scratch: Scratch) -> None:
+        self._texts, self._by_count, self._scratch = texts, by_count, scratch
+        signed = _signed(texts, by_count).withColumn("salt", salt("doc_id")).withColumn("row", F.monotonically_increasing_id())
+        self.signed = scratch.stage(signed, "signatures")
+        named = self.signed.filter("doc_id IS NOT NULL")
+        worded = named.filter("size > 0")
+        # Of texts with several rows: by salt, so that a hot text's rows are dealt to many tasks.
+        parts = worded.groupBy("h", "salt").agg(
+            F.min("row").alias("part_node"), F.min("doc_id").alias("part_id"), F.count(F.lit(1)).alias("part_rows")
+        )
+        whole = parts.groupBy("h").agg(
+            F.min("part_node").alias("node"), F.min("part_id").alias("first_id"), F.sum("part_rows").alias("rows")
+        ).filter("rows > 1")
+        groups = parts.select("h", "salt").join(whole.drop("rows"), "h")
+        copies = worded.select("row", "h", "salt").join(groups, ["h", "salt"]).select("row", "node", "first_id")
+        self.copies = scratch.stage(copies, "copies")
+        others = scratch.stage(self.copies.filter("row <> node").select("row"), "others")
+        self.firsts = worded.join(narrow_enough(others, 16), "row", "left_anti").withColumnRenamed("row", "node")
+        often = named.groupBy("doc_id").count().filter("count > 1").select("doc_id")
+        self.often = scratch.stage(often, "often")
+
+    def nodes(self, rows: DataFrame) -> DataFrame:
+        """Rows of signed with node and first_id, the smallest id of the text."""
+        return rows.join(self.copies, "row", "left").withColumn("node", F.coalesce("node", "row")).withColumn(
+            "first_id", F.coalesce("first_id", "doc_id")
+        )
+
+    def shared_ids(self) -> DataFrame:
+        """doc_id and node of the texts with words whose id occurs more than once."""
+        rows = self.signed.filter("doc_id IS NOT NULL AND size > 0").select("doc_id", "row")
+        return self.nodes(rows.join(narrow_enough(self.often, 16), "doc_id", "left_semi")).select("doc_id", "node").distinct()
+
+    def elements(self, members: DataFrame) -> DataFrame:
+        """node, size and elements of the given nodes, each once."""
+        known = self._scratch.stage(self.firsts.select("node", "doc_id", "h", "size").join(members, "node", "left_semi"), "known")
+        ids = self._texts.join(narrow_enough(known.select("doc_id").distinct(), 16), "doc_id", "left_semi")
+        rows = _elements(ids, self._by_count).join(narrow_enough(known, 64), ["doc_id", "h"])
+        rows = self._scratch.stage(rows.select("doc_id", "node", "size", "elements"), "rows_of_members")
+        if self.often.isEmpty():
+            return rows.drop("doc_id")
+        # A repeated row gives its text's elements again.
+        often = narrow_enough(self.often, 16)
+        once = rows.join(often, "doc_id", "left_semi").dropDuplicates(["node"])
+        return self._scratch.stage(rows.join(often, "doc_id", "left_anti").union(once).drop("doc_id"), "elements")
+
+
+def _star_links(
+    together: DataFrame, members: DataFrame, elements: DataFrame, least: float, scratch: Scratch
+) -> tuple[DataFrame, DataFrame | None]:
+    """Links a, b between texts that rounds of comparing a bucket's rows with one of them find, as far
+    as they are verified, and the rows of buckets that still hold several classes."""
+    apart = together.withColumn("class_id", F.col("node"))
+    links = None
+    for turn in range(STAR_ROUNDS):
+        pick = F.max if turn % 2 else F.min
+        hearts = apart.groupBy("bucket").agg(pick("node").alias("heart"))
+        pairs = apart.join(hearts, "bucket").filter("node <> heart").select("node", "heart", "class_id").distinct()
+        classes = apart.select("node", "class_id").distinct()
+        own = members.join(classes, "node") if turn else members.withColumn("class_id", F.col("node"))
+        first = own.select(*[F.col(name).alias(f"{name}_a") for name in ("node", "class_id", "size", "sketch")])
+        second = members.select(*[F.col(name).alias(f"{name}_b") for name in ("node", "size", "sketch")])
+        likely = pairs.join(first, (F.col("heart") == F.col("node_a")) & (F.col("class_id") != F.col("class_id_a"))).join(
+            second, (F.col("node") == F.col("node_b")) & _may_be_alike(least)
+        )
+        likely = scratch.stage(likely.select(F.col("heart").alias("a"), F.col("node").alias("b")), f"likely_{turn}")
+        found = scratch.stage(_alike(likely, elements, "elements", least), f"links_{turn}")
+        known = found if links is None else found.union(links)
+        links = scratch.stage(components(known).filter("node <> class_id").select(F.col("class_id").alias("a"), F.col("node").alias("b")), f"stars_{turn}")
+        joined = together.join(links.select(F.col("b").alias("node"), F.col("a").alias("class_id")), "node", "left").withColumn(
+            "class_id", F.coalesce("class_id", "node")
+        )
+        mixed = joined.groupBy("bucket").agg(F.min("class_id").alias("low"), F.max("class_id").alias("high")).filter("low <> high")
+        apart = scratch.stage(joined.join(mixed.select("bucket"), "bucket", "left_semi"), f"apart_{turn}")
+        scratch.drop(f"likely_{turn}", f"links_{turn}", f"apart_{turn - 1}", f"stars_{turn - 1}")
+        if apart.isEmpty():
+            return links, None
+    return links, apart
+
+
+def _alike(pairs: DataFrame, sets: DataFrame, column: str, least: float) -> DataFrame:
+    """Of pairs (a, b), those whose sets have at least that similarity."""
+    first = sets.select(F.col("node").alias("a"), F.col("size").alias("size_a"), F.col(column).alias("set_a"))
+    second = sets.select(F.col("node").alias("b"), F.col("size").alias("size_b"), F.col(column).alias("set_b"))
+    shared = F.size(F.array_intersect("set_a", "set_b"))
+    alike = shared * (1 + least) >= (F.col("size_a") + F.col("size_b")) * least - 1e-6
+    return pairs.join(first, "a").join(second, "b").filter(alike).select("a", "b")
+
+
 def near_duplicates(
     documents: DataFrame,
     id_col: str = "doc_id",
@@ -191,38 +299,38 @@ def near_duplicates(
 
     Rows that share a band's bucket are candidates, if sizes and sketches do not rule a link out.
     In star rounds each row of a bucket is compared with one of them; rows that links have joined
-    since need no further comparison. What is still apart in a bucket afterwards is compared pair
-    by pair, so no candidate link between classes is passed over, and a large group of copies
-    costs about as many comparisons of texts as it has rows.
+    since need no further comparison. What is still apart in a bucket afterwards goes through
+    spread_links(), which passes over no link between classes and does not compare all pairs.
 
     Texts without words, null ones among them, are alone, as are rows with a null id. Texts of
-    fewer than five words have one shingle. Rows that repeat an id are one document, whose texts
-    are all linked. Other columns are not read. No rows, no classes.
+    fewer than five words have one shingle. Rows that repeat an id are one document: each of its
+    texts is compared, and all are linked. Other columns are not read. No rows, no classes.
     """
     texts = documents.select(
         F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text")
     )
-    signed = stage(_signed(texts, by_count).withColumn("salt", salt("doc_id")), "signatures")
-    named = signed.filter("doc_id IS NOT NULL AND size > 0")
-    groups = stage(repeated_groups(named.select("doc_id", "h", "salt"), ["h"], "doc_id"), "copies")
-    firsts = named.join(groups, ["h", "salt"], "left").filter("keep_id IS NULL OR keep_id = doc_id")
-    placed = firsts.select("doc_id", F.explode("bands").alias("bucket"))
-    shared = stage(placed.groupBy("bucket").count().filter("count > 1").select("bucket"), "shared")
-    # Both sides read from a shuffle, so that adaptive execution can split a hot bucket.
-    together = stage(placed.join(narrow_enough(shared, 16), "bucket").distinct(), "together")
-    known = firsts.select("doc_id", "size", "sketch", "bands").dropDuplicates(["doc_id"])
-    members = stage(together.join(known, "doc_id"), "members")
-    links = _links(members, texts.filter("doc_id IS NOT NULL"), by_count, least)
-    classes = stage(components(links), "classes")
-    own = classes.select(F.col("node").alias("doc_id"), F.col("class_id").alias("own_class"))
-    of_group = groups.join(classes, F.col("keep_id") == F.col("node"), "left").select(
-        "h", "salt", F.coalesce("class_id", "keep_id").alias("group_class")
-    )
+    scratch = Scratch(documents.sparkSession, "near")
+    known = _Texts(texts, by_count, scratch)
+    links = known.shared_ids()
+    links = links.join(links.groupBy("doc_id").agg(F.min("node").alias("a")), "doc_id").select("a", F.col("node").alias("b"))
+    found = _links(known, least, scratch)
+    classes = components(links if found is None else links.union(found))
+    classes = scratch.stage(classes.withColumnRenamed("class_id", "root"), "classes")
+
+    # The smallest id of a class: of its texts' first ids.
+    rows = known.nodes(known.signed.select("doc_id", "h", "size", "row"))
+    roots = classes.select(F.col("node").alias("row"))
+    tied = known.nodes(known.signed.select("doc_id", "row").join(roots, "row", "left_semi")).select("node", "first_id")
+    of_root = classes.join(tied, "node").groupBy("root").agg(F.min("first_id").alias("class_id"))
+    of_node = scratch.stage(classes.join(of_root, "root").select("node", "class_id"), "class_of_node")
+    scratch.drop("classes")
+    # Texts without words go with the others of their id.
+    ids = known.shared_ids().join(of_node, "node").groupBy("doc_id").agg(F.min("class_id").alias("id_class"))
     return (
-        signed.select("doc_id", "h", "salt")
-        .join(of_group, ["h", "salt"], "left")
-        .join(own, "doc_id", "left")
-        .withColumn("class_id", F.coalesce("group_class", "own_class", "doc_id"))
+        rows.join(of_node, "node", "left")
+        .join(narrow_enough(scratch.stage(ids, "class_of_id"), 32), "doc_id", "left")
+        .withColumn("class_id", F.coalesce("class_id", "id_class", F.when(F.col("size") > 0, F.col("first_id")), "doc_id"))
+        .withColumn("class_id", F.when(F.col("doc_id").isNotNull(), F.col("class_id")))
         .select(
             "doc_id",
             "class_id",
@@ -232,47 +340,21 @@ def near_duplicates(
     )
 
 
-def _links(members: DataFrame, texts: DataFrame, by_count: bool, least: float) -> DataFrame:
-    """Verified links a, b that connect all candidates that are alike."""
-    apart = members.withColumn("class_id", F.col("doc_id"))
-    told = ["size", "sketch", "bands", "class_id"]
-    links = None
-    for turn in range(STAR_ROUNDS + 1):
-        if turn < STAR_ROUNDS:
-            order = F.struct(F.xxhash64("doc_id", F.lit(turn)), "doc_id", *told)
-            hearts = stage(apart.groupBy("bucket").agg(F.min(order).alias("heart")), f"hearts_{turn}")
-            first = hearts.select(
-                F.col("bucket").alias("bucket_a"), F.col("heart.doc_id").alias("x"),
-                *[F.col(f"heart.{name}").alias(f"{name}_a") for name in told],
-            )
-            due = F.col("class_id_a") != F.col("class_id_b")
-        else:
-            first = apart.select(
-                F.col("bucket").alias("bucket_a"), F.col("doc_id").alias("x"),
-                *[F.col(name).alias(f"{name}_a") for name in told],
-            )
-            # Each pair once, in the least of the buckets it shares.
-            due = (F.col("class_id_a") < F.col("class_id_b")) & (
-                F.array_min(F.array_intersect("bands_a", "bands_b")) == F.col("bucket_a")
-            )
-        second = apart.select(
-            F.col("bucket").alias("bucket_b"), F.col("doc_id").alias("y"),
-            *[F.col(name).alias(f"{name}_b") for name in told],
-        )
-        pairs = second.join(first, (F.col("bucket_a") == F.col("bucket_b")) & _may_be_alike(least) & due)
-        pairs = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-        found = stage(_alike(stage(pairs, f"pairs_{turn}"), texts, by_count, least), f"links_{turn}")
-        links = found if links is None else links.union(found)
-        if turn == STAR_ROUNDS:
-            return links
-        classes = components(links)
-        joined = members.join(classes.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn(
-            "class_id", F.coalesce("class_id", "doc_id")
-        )
-        mixed = (
-            joined.groupBy("bucket").agg(F.min("class_id").alias("low"), F.max("class_id").alias("high")).filter("low <> high")
-        )
-        apart = stage(joined.join(mixed.select("bucket"), "bucket", "left_semi"), f"apart_{turn}")
-        if apart.isEmpty():
-            return links
+def _links(known: _Texts, least: float, scratch: Scratch) -> DataFrame | None:
+    """Verified links a, b that connect all candidate texts that are alike."""
+    placed = known.firsts.select("node", F.explode("bands").alias("bucket"))
+    shared = scratch.stage(placed.groupBy("bucket").count().filter("count > 1").select("bucket"), "shared")
+    # Read from a shuffle, so that adaptive execution can split a hot bucket.
+    together = scratch.stage(placed.join(narrow_enough(shared, 16), "bucket"), "together")
+    scratch.drop("shared")
+    if together.isEmpty():
+        return None
+    inside = scratch.stage(together.select("node").distinct(), "inside")
+    members = scratch.stage(
+        known.firsts.select("node", "size", "sketch").join(narrow_enough(inside, 16), "node", "left_semi"), "members"
+    )
+    elements = known.elements(inside)
+    links, apart = _star_links(together, members, elements, least, scratch)
+    if apart is not None:
+        links = links.union(spread_links(apart, elements, least, scratch))
     return links

@@ -31,8 +31,8 @@ def by_hand(rows, least=0.8):
     return {i: root(i) for i in parent}
 
 
-def classes(frame):
-    return {r.doc_id: r.class_id for r in near.near_duplicates(frame).collect() if r.doc_id is not None}
+def classes(frame, **options):
+    return {r.doc_id: r.class_id for r in near.near_duplicates(frame, **options).collect() if r.doc_id is not None}
 
 
 def test_given_rows(given):
@@ -93,3 +93,77 @@ def test_counts_as_weights():
     assert near.similarity("a b c d e a b c d e", "a b c d e", by_count=True) == pytest.approx(1 / 6)
     assert near.similarity("a b c d e", "a b c d e") == 1.0
     assert near.similarity("", "") == 0.0
+
+
+def variants(rng, n, width, most, vocabulary):
+    base = [rng.choice(vocabulary) for _ in range(width)]
+    for _ in range(n):
+        text = list(base)
+        for _ in range(rng.randrange(most)):
+            text[rng.randrange(width)] = rng.choice(vocabulary)
+        yield " ".join(text)
+
+
+@pytest.mark.parametrize(("n", "width", "most", "words"), [(900, 300, 38, 4000), (500, 80, 9, 12), (400, 60, 30, 300)])
+def test_many_variants_of_one_text(spark, n, width, most, words):
+    """Far apart from each other in the mean, so that star rounds leave most of them apart."""
+    rng = random.Random(n)
+    rows = list(enumerate(variants(rng, n, width, most, [f"w{k}" for k in range(words)])))
+    found = classes(documents(spark, [(i, text, "en") for i, text in rows]))
+    expected = by_hand(rows)
+    assert len(set(expected.values())) > 20
+    assert found == expected
+
+
+def test_ids_of_several_texts_each_with_a_copy(spark):
+    rng = random.Random(9)
+    words = [f"w{n}" for n in range(3000)]
+    rows = []
+    for i in range(40):
+        for part in range(2):
+            text = [rng.choice(words) for _ in range(100)]
+            rows.append((i, " ".join(text)))
+            text[rng.randrange(100)] = "other"
+            rows.append((1000 + 2 * i + part, " ".join(text)))
+        rows.append((i, rows[-2][1]))
+        rows.append((i, None))
+    found = near.near_duplicates(documents(spark, [(*row, "en") for row in rows]))
+    assert found.count() == len(rows)
+    assert {(r.doc_id, r.class_id) for r in found.collect()} == set(by_hand(rows).items())
+
+
+def counted_by_hand(rows, least=0.8):
+    from collections import Counter
+
+    def bag(text):
+        words = text.split()
+        return Counter(tuple(words[i : i + 5]) for i in range(len(words) - 4))
+
+    parent = {i: i for i, _ in rows}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    bags = [(i, bag(text)) for i, text in rows]
+    for (a, x), (b, y) in combinations(bags, 2):
+        if (x & y).total() >= least * (x | y).total() - 1e-12:
+            low, high = sorted((root(a), root(b)))
+            parent[high] = low
+    return {i: root(i) for i in parent}
+
+
+def test_counts_as_weights_in_a_whole_run(spark):
+    rng = random.Random(3)
+    words = [f"w{n}" for n in range(500)]
+    rows = []
+    for i in range(120):
+        line = [rng.choice(words) for _ in range(12)]
+        for copy in range(3):
+            rows.append((3 * i + copy, " ".join([rng.choice(words) for _ in range(4)] + line * rng.randrange(2, 9))))
+    frame = documents(spark, [(i, text, "en") for i, text in rows])
+    expected = counted_by_hand(rows)
+    assert classes(frame, by_count=True) == expected
+    assert 120 < len(set(expected.values())) < 360
+    assert classes(frame) == by_hand(rows) != expected

@@ -18,7 +18,7 @@ from pyspark.sql.pandas.types import from_arrow_schema
 from sparkgate.llm.vocabulary import SPLIT, tokenizer_path
 
 # Chunks a worker remembers, and the longest of them; longer ones are encoded each time.
-KNOWN_CHUNKS, KNOWN_LENGTH = 200_000, 128
+KNOWN_CHUNKS, KNOWN_LENGTH = 400_000, 128
 # Pieces of up to so many bytes are merged together, longer ones one by one.
 TOGETHER_BYTES = 64
 # Documents are encoded in groups of about so many characters.
@@ -179,6 +179,7 @@ class ByteBpe:
             lines = [line.split() for line in file if line.strip()]
         self.ranks = {base64.b64decode(token): int(rank) for token, rank in lines}
         self.tokens = {rank: token for token, rank in self.ranks.items()}
+        self._decimals = {rank: str(rank) for rank in self.tokens}
         self._byte_ids = np.array([self.ranks[bytes([b])] for b in range(256)], np.int64)
         self._pairs = PairRanks(self.ranks)
         self._known: dict[str, tuple[str, int, bytes]] = {}
@@ -198,8 +199,9 @@ class ByteBpe:
     def _learn(self, chunks: Sequence[str]) -> dict[str, tuple[str, int, bytes]]:
         """Chunks with their ids joined by commas, the ids' number and the bytes they stand for."""
         split = [[piece.encode() for piece in _PIECE.findall(chunk)] for chunk in chunks]
+        decimals = self._decimals
         coded = {
-            piece: (",".join(map(str, ids)), len(ids), self.decode(ids))
+            piece: (",".join([decimals[n] for n in ids]), len(ids), self.decode(ids))
             for piece, ids in self._piece_ids(dict.fromkeys(piece for part in split for piece in part)).items()
         }
         found = {}

@@ -11,11 +11,15 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import pyspark.sql.functions as F
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import types as T
 
 from sparkgate.errors import DuplicateKeyError
 from sparkgate.operators.skew import quoted
 
+# A delivery's keys are covered by so many ranges at most.
+KEY_RANGES = 32
+
 ACTION_COL = "__action__"
 INSERT, UPDATE, UNCHANGED = "insert", "update", "unchanged"
 
@@ -89,3 +93,29 @@ def require_unique(source: DataFrame, keys: Sequence[str]) -> None:
     if example is not None:
         found = ", ".join(f"{key}={example[key]!r}" for key in keys)
         raise DuplicateKeyError(f"source holds {example['n']} rows with {found}")
+
+
+def key_ranges(source: DataFrame, key: str, most: int = KEY_RANGES) -> list[tuple]:
+    """(least, greatest) key of each of up to most stretches of the source's keys, in order.
+
+    A filter on them lets a scan of the target skip the row groups that hold no such key. Keys that
+    are no numbers are covered by one range. Only the ranges reach the driver.
+    """
+    column = F.col(f"`{key}`")
+    known = source.filter(column.isNotNull())
+    stretch = F.lit(0)
+    if isinstance(source.schema[key].dataType, T.NumericType):
+        cuts = known.agg(F.percentile_approx(column, [n / most for n in range(1, most)]).alias("cuts")).first()["cuts"]
+        bounds = sorted(set(cuts or []))
+        if bounds:
+            stretch = F.size(F.filter(F.array(*[F.lit(bound) for bound in bounds]), lambda bound: column > bound))
+    rows = known.groupBy(stretch.alias("stretch")).agg(F.min(column).alias("low"), F.max(column).alias("high"))
+    return sorted((row["low"], row["high"]) for row in rows.collect())
+
+
+def within_ranges(key: str, ranges: Sequence[tuple]) -> Column:
+    """Whether a key lies in one of the ranges; in none of none."""
+    inside = F.lit(False)
+    for low, high in ranges:
+        inside = inside | F.col(f"`{key}`").between(low, high)
+    return inside

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import logging
 import time
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
@@ -23,10 +23,17 @@ from sparkgate.sources.landing import read_csv
 from sparkgate.sources.quarantine import write_to_quarantine
 from sparkgate.sources.run_metrics import emit_job_metrics, emit_run_event
 from sparkgate.sources.staging import StagingArea
-from sparkgate.sources.tables import create_table_if_not_exists, read_table, write_table_merge
+from sparkgate.sources.tables import (
+    create_table_if_not_exists,
+    published_batch,
+    read_table,
+    write_table_merge,
+)
 
 logger = logging.getLogger(__name__)
 
+# Files of a registered table without partitions.
+BUCKETS = 16
 EMPTY_SUMMARY = {"total": 0, "valid": 0, "rejected": 0, "inserted": 0, "updated": 0}
 
 
@@ -40,6 +47,8 @@ class TableJob:
     partition_cols: Sequence[str]
     rules: Sequence[ValidationRule]
     order_by: Sequence[str] = field(default=())
+    # Files of a table without partitions, by hash of its keys; 0 leaves it to Spark.
+    buckets: int = 0
 
 
 def table_job(table: str, rules: Sequence[ValidationRule]) -> TableJob:
@@ -50,6 +59,7 @@ def table_job(table: str, rules: Sequence[ValidationRule]) -> TableJob:
         keys=PRIMARY_KEYS[table],
         partition_cols=PARTITION_COLS[table],
         rules=rules,
+        buckets=0 if PARTITION_COLS[table] else BUCKETS,
     )
 
 
@@ -65,12 +75,16 @@ def run_table_job(
     events_path: str | None = None,
     run_date: str | None = None,
     replace_quarantine: bool = False,
+    batch_id: str | None = None,
 ) -> dict[str, int]:
     """Run one table's job and return its counts.
 
     Rejects are quarantined before the gate is checked, so they can be inspected when it fails;
     the target changes only after it. The source is read once, into staging, and so are the rules
     evaluated: counting, quarantining and merging read the stored labelled rows.
+
+    batch_id names the delivery, if it may come again: a batch whose merge was published is not
+    loaded a second time, and has one row of metrics and one event however often it is replayed.
     """
     started = time.monotonic()
     storage = settings.storage
@@ -86,7 +100,39 @@ def run_table_job(
         "table": job.table,
     }
 
+    def report(entry: Mapping) -> dict[str, int]:
+        """Metrics and event of a published merge, once per batch; its counts."""
+        counts = entry["details"]
+        emit_job_metrics(
+            spark,
+            metrics_path,
+            job_name=settings.job_name,
+            environment=settings.environment,
+            records_in=counts["total"],
+            records_valid=counts["valid"],
+            records_rejected=counts["rejected"],
+            rows_inserted=entry["rows_inserted"],
+            rows_updated=entry["rows_updated"],
+            duration_ms=int((time.monotonic() - started) * 1000),
+            once=batch_id,
+        )
+        emit_run_event(
+            spark,
+            events_path,
+            level="INFO",
+            event="JOB_COMPLETE",
+            records_in=counts["total"],
+            records_rejected=counts["rejected"],
+            once=batch_id,
+            **about,
+        )
+        return {**counts, "inserted": entry["rows_inserted"], "updated": entry["rows_updated"]}
+
     try:
+        if batch_id is not None:
+            published = published_batch(spark, table_path, batch_id)
+            if published is not None:
+                return report(published)
         with StagingArea(spark, job.table) as staging:
             # Stored once, so that all that looks at it sees the same rows.
             source = staging.write(read_source(), "source")
@@ -109,9 +155,17 @@ def run_table_job(
                 )
             check_threshold(result, settings.max_quarantine_ratio)
 
-            create_table_if_not_exists(spark, job.schema, table_path, job.partition_cols)
+            create_table_if_not_exists(
+                spark, job.schema, table_path, job.partition_cols,
+                keys=job.keys if job.buckets else (), buckets=job.buckets,
+            )
+            counts = {
+                "total": result.total_records,
+                "valid": result.records_passed,
+                "rejected": result.records_failed,
+            }
             merged = write_table_merge(
-                spark, result.valid_df, table_path, job.keys, stored=True
+                spark, result.valid_df, table_path, job.keys, stored=True, batch_id=batch_id, details=counts
             )
     except Exception as error:
         emit_run_event(
@@ -119,34 +173,7 @@ def run_table_job(
         )
         raise
 
-    emit_job_metrics(
-        spark,
-        metrics_path,
-        job_name=settings.job_name,
-        environment=settings.environment,
-        records_in=result.total_records,
-        records_valid=result.records_passed,
-        records_rejected=result.records_failed,
-        rows_inserted=merged.rows_inserted,
-        rows_updated=merged.rows_updated,
-        duration_ms=int((time.monotonic() - started) * 1000),
-    )
-    emit_run_event(
-        spark,
-        events_path,
-        level="INFO",
-        event="JOB_COMPLETE",
-        records_in=result.total_records,
-        records_rejected=result.records_failed,
-        **about,
-    )
-    return {
-        "total": result.total_records,
-        "valid": result.records_passed,
-        "rejected": result.records_failed,
-        "inserted": merged.rows_inserted,
-        "updated": merged.rows_updated,
-    }
+    return report({"details": counts, "rows_inserted": merged.rows_inserted, "rows_updated": merged.rows_updated})
 
 
 def run_products(

@@ -369,6 +369,20 @@ def build() -> dict[str, str]:
         UNION ALL
         SELECT CAST(2 AS BIGINT), CAST(0 AS BIGINT), count(*) FILTER (WHERE c_acctbal <= 0),
                count(*) FILTER (WHERE NOT COALESCE(c_acctbal <= 0, FALSE)) FROM customer"""
+    sql["table_bucketed_read"] = CUSTOMERS_MOVED
+    sql["table_merge_ledger"] = (
+        f"SELECT version, CAST(NULL AS VARCHAR) AS batch_id, rows_inserted, rows_updated, rows_unchanged "
+        f"FROM ({sql['table_merge_counts']})"
+    )
+    sql["table_touched_pruned"] = f"""
+        SELECT date, count(*) AS orders FROM ({ORDERS})
+        WHERE date < DATE '1999-01-01' AND order_id % 50 = 0 GROUP BY date"""
+    sql["schema_drift"] = "SELECT 'party' AS \"column\", 'added' AS change, 'string' AS data_type"
+    sql["schema_followed_rows"] = f"""
+        SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, CAST(NULL AS VARCHAR) AS party
+        FROM ({CUSTOMERS_MOVED})
+        UNION ALL
+        SELECT -s_suppkey, s_name, NULL, s_acctbal, 'SUPPLY', 'supplier' FROM supplier"""
     sql["table_registered_sql"] = (
         f"SELECT c_mktsegment, count(*) AS customers, min(c_acctbal) AS lowest "
         f"FROM ({CUSTOMERS_MOVED}) GROUP BY c_mktsegment"
@@ -385,6 +399,7 @@ def build() -> dict[str, str]:
                valid AS records_valid, rejected AS records_rejected, valid AS rows_inserted,
                CAST(0 AS BIGINT) AS rows_updated
         FROM ({_JOB_COUNTS})"""
+    sql["replay_metrics"] = sql["jobs_metrics"]
     sql["gate_keeps_table"] = sql["products_validate_valid"]
     sql["gate_keeps_rejects"] = (
         f"SELECT * REPLACE (upper(product_name) AS product_name) FROM ({sql['products_validate_rejects']})"
@@ -411,6 +426,23 @@ def build() -> dict[str, str]:
         )
 
     sql["jobs_order_items_table"] = items_of(SPOILED_ORDER_ITEMS)
+
+    def counts_of(job, rows, valid):
+        return (
+            f"SELECT '{job}' AS job, total, valid, CAST(total - valid AS BIGINT) AS rejected, valid AS inserted, "
+            f"CAST(0 AS BIGINT) AS updated FROM (SELECT (SELECT count(*) FROM ({rows})) AS total, "
+            f"(SELECT count(*) FROM ({valid})) AS valid)"
+        )
+
+    sql["jobs_all_summaries"] = "\nUNION ALL\n".join(
+        [
+            "SELECT 'no products' AS job, 0::BIGINT AS total, 0::BIGINT AS valid, 0::BIGINT AS rejected, "
+            "0::BIGINT AS inserted, 0::BIGINT AS updated",
+            counts_of("products", SPOILED_PRODUCTS, sql["products_validate_valid"]),
+            counts_of("orders", SPOILED_ORDERS, sql["orders_validate_valid"]),
+            counts_of("order_items", SPOILED_ORDER_ITEMS, sql["jobs_order_items_table"]),
+        ]
+    )
     sql["jobs_orders_rerun"] = rerun(orders_of, SPOILED_ORDERS, "order_id")
     sql["jobs_order_items_rerun"] = rerun(items_of, SPOILED_ORDER_ITEMS, "id")
     sql["quarantine_rows"] = (

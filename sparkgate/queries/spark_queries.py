@@ -45,7 +45,8 @@ from sparkgate.queries import mapped
 from sparkgate.queries.mapped import MAX_TS, MIN_TS, table
 from sparkgate.queries.workbook_copies import as_workbooks
 from sparkgate.settings import RunSettings, StorageSettings
-from sparkgate.sources.catalog import register_table
+from sparkgate.sources import catalog
+from sparkgate.sources.catalog import follow_schema, register_table
 from sparkgate.sources.excel import parse_workbooks
 from sparkgate.sources.landing import read_csv, read_json_lines, write_json_lines
 from sparkgate.sources.quarantine import read_quarantine, write_to_quarantine
@@ -54,6 +55,9 @@ from sparkgate.sources.staging import StagingArea
 from sparkgate.sources.tables import (
     create_table_if_not_exists,
     get_table_version,
+    load_table,
+    matched_partitions,
+    merge_history,
     read_table,
     write_table_merge,
 )
@@ -336,14 +340,14 @@ def custom_rules_chain(spark, sf_dir):
 # --- Versioned tables ---------------------------------------------------------------------------
 
 
-def _merge_customers_twice(spark, sf_dir) -> tuple[str, list[tuple]]:
+def _merge_customers_twice(spark, sf_dir, partition_cols=("c_mktsegment",), **layout) -> tuple[str, list[tuple]]:
     """Load all customers by segment, then move those in debt to a segment of their own."""
     customers = table(spark, sf_dir, "customer")
     schema = T.StructType(
         [T.StructField(f.name, f.dataType, f.name != "c_custkey") for f in customers.schema.fields]
     )
     path = f"{StagingArea(spark, 'query').path}/customers"
-    create_table_if_not_exists(spark, schema, path, ["c_mktsegment"])
+    create_table_if_not_exists(spark, schema, path, partition_cols, keys=["c_custkey"], **layout)
     moved = customers.filter(F.col("c_acctbal") <= 0).withColumn("c_mktsegment", F.lit("REVIEW"))
     steps = []
     for source in (customers, moved):
@@ -365,7 +369,7 @@ def table_merge_read(spark, sf_dir):
 @query
 def table_merge_first_version(spark, sf_dir):
     """The same table as it was before the second merge."""
-    path, _ = _merge_customers_twice(spark, sf_dir)
+    path, _ = _merge_customers_twice(spark, sf_dir, history=True)
     return read_table(spark, path, version=1)
 
 
@@ -378,6 +382,59 @@ def table_merge_counts(spark, sf_dir):
     )
 
 
+@query
+def table_bucketed_read(spark, sf_dir):
+    """The same table kept in buckets by key, without partitions."""
+    path, _ = _merge_customers_twice(spark, sf_dir, partition_cols=(), buckets=8)
+    return read_table(spark, path)
+
+
+@query
+def table_merge_ledger(spark, sf_dir):
+    """The counts of both merges, as the table's ledger keeps them."""
+    path, _ = _merge_customers_twice(spark, sf_dir, partition_cols=(), buckets=8)
+    return merge_history(spark, path).drop("details")
+
+
+@query
+def table_touched_pruned(spark, sf_dir):
+    """Days of the orders table that a small delivery touches, found by its ranges of keys."""
+    path = f"{StagingArea(spark, 'query').path}/orders"
+    orders = mapped.known_orders(spark, sf_dir)
+    create_table_if_not_exists(spark, orders.schema, path, ["date"])
+    write_table_merge(spark, orders, path, ["order_id"])
+    delivery = mapped.orders(spark, sf_dir).filter(F.col("order_id") % 50 == 0)
+    target = load_table(spark, path).rows(spark)
+    touched = matched_partitions(target, delivery, ["order_id"], ["date"])
+    return touched.select("date", F.col("__rows__").alias("orders"))
+
+
+def _widened_customers(spark, sf_dir) -> str:
+    """The customers table, into whose folder another program has put suppliers with a column more."""
+    path, _ = _merge_customers_twice(spark, sf_dir)
+    suppliers = table(spark, sf_dir, "supplier").select(
+        (-F.col("s_suppkey")).alias("c_custkey"), F.col("s_name").alias("c_name"),
+        F.col("s_acctbal").alias("c_acctbal"), F.lit("supplier").alias("party"),
+    )
+    suppliers.write.parquet(f"{path}/data/c_mktsegment=SUPPLY")
+    spark.catalog.recoverPartitions(load_table(spark, path).name)
+    return path
+
+
+@query
+def schema_drift(spark, sf_dir):
+    """What the catalog does not know of the files in a table's folder."""
+    return catalog.schema_drift(spark, _widened_customers(spark, sf_dir))
+
+
+@query
+def schema_followed_rows(spark, sf_dir):
+    """The rows of that table once the catalog has followed its files."""
+    path = _widened_customers(spark, sf_dir)
+    follow_schema(spark, path)
+    return read_table(spark, path)
+
+
 @query
 def table_registered_sql(spark, sf_dir):
     """SQL by name over a registered table."""
@@ -403,10 +460,10 @@ def _job(name: str, schema: T.StructType, keys, partition_cols, rules) -> TableJ
     return TableJob(name, schema, keys, partition_cols, rules)
 
 
-def _run_products(spark, sf_dir, base, rows=None, limit=1.0):
+def _run_products(spark, sf_dir, base, rows=None, limit=1.0, **options):
     rows = mapped.spoiled_products(spark, sf_dir) if rows is None else rows
     job = _job("products", rows.schema, ["product_id"], [], products_rules())
-    return run_table_job(spark, job, _settings(base, limit), lambda: rows)
+    return run_table_job(spark, job, _settings(base, limit), lambda: rows, **options)
 
 
 def _refused_run(spark, sf_dir, base):
@@ -476,6 +533,32 @@ def jobs_metrics(spark, sf_dir):
     return read_metrics(spark, _settings(base).storage.metrics_path).drop("duration_ms")
 
 
+@query
+def replay_metrics(spark, sf_dir):
+    """The metrics rows of one batch that came three times."""
+    base = StagingArea(spark, "query").path
+    for _ in range(3):
+        _run_products(spark, sf_dir, base, batch_id="delivery-1", replace_quarantine=True)
+    return read_metrics(spark, _settings(base).storage.metrics_path).drop("duration_ms")
+
+
+@query
+def jobs_all_summaries(spark, sf_dir):
+    """Counts of the three jobs, and of a run without input."""
+    base = StagingArea(spark, "query").path
+    nothing = mapped.spoiled_products(spark, sf_dir).filter("product_id < 0")
+    runs = {
+        "no products": _run_products(spark, sf_dir, base, nothing),
+        "products": _run_products(spark, sf_dir, base),
+        "orders": _run_orders(spark, sf_dir, base),
+        "order_items": _run_items(spark, sf_dir, base),
+    }
+    return spark.createDataFrame(
+        [(name, *counts.values()) for name, counts in runs.items()],
+        "job string, total bigint, valid bigint, rejected bigint, inserted bigint, updated bigint",
+    )
+
+
 @query
 def jobs_orders_table(spark, sf_dir):
     """The orders table, partitioned by date, after its job."""

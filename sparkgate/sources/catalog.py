@@ -1,67 +1,79 @@
-"""Catalog registration: make a table's live version queryable by name."""
+"""Catalog registration: a table under a name of its own, with the schema its files have now."""
 
 from __future__ import annotations
 
-import uuid
+import pyspark.sql.functions as F
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
-from pyspark.sql import SparkSession
+from sparkgate.schemas import raw_schema
+from sparkgate.sources import hadoop
+from sparkgate.sources.tables import Table, load_table, save_layout, sql_names
 
-from sparkgate.sources.tables import VERSION_COL, LiveFolder, Snapshot, load_snapshot
-
-FILES_SUFFIX = "__files"
-# Folders added to the catalog by one statement.
-FOLDERS_PER_STATEMENT = 500
+DRIFT_SCHEMA = "column string, change string, data_type string"
+ADDED, GONE, RETYPED = "added", "gone", "type changed"
 
 
 def register_table(spark: SparkSession, name: str, path: str) -> None:
     """Create or refresh the view ``database.table`` over the table at path.
 
-    Beneath the view lies an external table with one catalog partition per live data folder, so a
-    filter on a partition column is pruned in the catalog. Registering again picks up a new
-    version and changed columns: a table of a new name is filled, the view is pointed at it in one
-    step, and only then the earlier tables leave the catalog. Readers in between see the earlier
-    version or the new one, and a run that breaks off leaves the view as it was. Data is never
-    deleted.
+    The view names the table's columns; it is replaced in one step, so readers meet the earlier
+    columns or the new ones. Merges need no registration again, for the view reads the table.
     """
     database, _, table = name.rpartition(".")
     if database:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
-    snapshot = load_snapshot(spark, path)
-    view = _quoted(database, table)
-    prefix = f"{table}{FILES_SUFFIX}_".lower()
-    current = f"{prefix}{uuid.uuid4().hex}"
-    files = _quoted(database, current)
-    folder_columns = [VERSION_COL, *snapshot.partition_cols]
+    found = load_table(spark, path)
+    view = ".".join(sql_names([part]) for part in (database, table) if part)
+    spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT {sql_names(found.schema.fieldNames())} FROM {found.name}")
+
 
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in snapshot.schema.fields)
-    spark.sql(
-        f"CREATE TABLE {files} ({columns}, `{VERSION_COL}` bigint) USING parquet "
-        f"PARTITIONED BY ({', '.join(f'`{c}`' for c in folder_columns)}) "
-        f"LOCATION {_text(f'{snapshot.path}/data')}"
-    )
-    for start in range(0, len(snapshot.folders), FOLDERS_PER_STATEMENT):
-        some = snapshot.folders[start : start + FOLDERS_PER_STATEMENT]
-        clauses = " ".join(_partition_clause(snapshot, folder) for folder in some)
-        spark.sql(f"ALTER TABLE {files} ADD IF NOT EXISTS {clauses}")
-    shown = ", ".join(f"`{f.name}`" for f in snapshot.schema.fields)
-    spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT {shown} FROM {files}")
-    for found in spark.catalog.listTables(database or None):
-        if found.name.lower().startswith(prefix) and found.name.lower() != current:
-            spark.sql(f"DROP TABLE IF EXISTS {_quoted(database, found.name)}")
+def schema_drift(spark: SparkSession, path: str) -> DataFrame:
+    """Columns in which the table's files differ from what the catalog knows: column, change, data_type.
 
+    The footers of all files are read, by tasks. A column that some file has and the catalog has
+    not is added; one that no file has any more is gone; one whose type differs is told as such.
+    """
+    table = load_table(spark, path)
+    known = {field.name: field.dataType for field in raw_schema(table.schema).fields}
+    there = _file_columns(spark, table)
+    rows = []
+    if there is not None:
+        rows += [(name, ADDED, kind.simpleString()) for name, kind in there.items() if name not in known]
+        rows += [(name, GONE, kind.simpleString()) for name, kind in known.items() if name not in there]
+        rows += [
+            (name, RETYPED, kind.simpleString()) for name, kind in there.items() if name in known and known[name] != kind
+        ]
+    return spark.createDataFrame(sorted(rows), DRIFT_SCHEMA)
 
-def _quoted(*parts: str) -> str:
-    return ".".join(f"`{part}`" for part in parts if part)
 
+def _file_columns(spark: SparkSession, table: Table) -> dict[str, T.DataType] | None:
+    """Columns of the files and their partitions, as the catalog types partitions; None without files."""
+    if not hadoop.exists(spark, table.data_path):
+        return None
+    reader = spark.read.option("mergeSchema", "true").option("recursiveFileLookup", "true")
+    files = reader.format("parquet").option("pathGlobFilter", "*.parquet")
+    if spark.read.format("binaryFile").option("recursiveFileLookup", "true").option(
+        "pathGlobFilter", "*.parquet"
+    ).load(table.data_path).select("path").isEmpty():
+        return None
+    columns = {field.name: field.dataType for field in files.load(table.data_path).schema.fields}
+    return columns | {name: table.schema[name].dataType for name in table.partition_cols}
 
-def _text(value: str) -> str:
-    escaped = value.replace("\\", "\\\\").replace("'", "\\'")
-    return f"'{escaped}'"
 
+def follow_schema(spark: SparkSession, path: str) -> DataFrame:
+    """Let the catalog follow the table's files; the differences there were, see schema_drift.
 
-def _partition_clause(snapshot: Snapshot, folder: LiveFolder) -> str:
-    values = [f"`{VERSION_COL}` = {folder.version}"] + [
-        f"`{column}` = {'NULL' if value is None else _text(value)}"
-        for column, value in zip(snapshot.partition_cols, folder.partition_values)
-    ]
-    return f"PARTITION ({', '.join(values)}) LOCATION {_text(f'{snapshot.path}/data/{folder.dir}')}"
+    New columns are added, at the end of those that are no partitions. Columns that are gone stay,
+    and read as null; changed types stay as well. Both are left to be told as events.
+    """
+    drift = schema_drift(spark, path)
+    added = [(row["column"], row["data_type"]) for row in drift.filter(F.col("change") == ADDED).collect()]
+    if added:
+        table = load_table(spark, path)
+        columns = ", ".join(f"{sql_names([name])} {kind}" for name, kind in added)
+        spark.sql(f"ALTER TABLE {table.name} ADD COLUMNS ({columns})")
+        fresh = [T.StructField(name, T.DataType.fromDDL(kind)) for name, kind in added]
+        schema = T.StructType([*table.schema.fields, *fresh])
+        save_layout(spark, Table(table.path, schema, table.partition_cols, table.keys, table.buckets, table.history))
+    return drift

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import uuid
 from datetime import datetime, timezone
@@ -52,11 +53,13 @@ def emit_job_metrics(
     rows_inserted: int,
     rows_updated: int,
     duration_ms: int,
+    once: str | None = None,
 ) -> None:
-    """Append one row to the metrics table at metrics_path."""
+    """Append one row to the metrics table at metrics_path; with once, only the first of that name."""
     _append(
         spark,
         metrics_path,
+        once and f"{job_name} {environment} {once}",
         job_name=job_name,
         environment=environment,
         records_in=records_in,
@@ -81,11 +84,13 @@ def emit_run_event(
     message: str = "",
     records_in: int | None = None,
     records_rejected: int | None = None,
+    once: str | None = None,
 ) -> None:
-    """Append one log event, the input of the alarm windows in streaming.alarms."""
+    """Append one log event, the input of the alarm windows in streaming.alarms; with once, see above."""
     _append(
         spark,
         events_path,
+        once and f"{job_name} {environment} {event} {once}",
         ts=datetime.now(timezone.utc).isoformat(),
         level=level,
         event=event,
@@ -99,9 +104,15 @@ def emit_run_event(
     )
 
 
-def _append(spark: SparkSession, path: str, **row: object) -> None:
-    """One row is one small file, which appears whole: a stream may be reading the folder."""
-    hadoop.write_text(spark, f"{path.rstrip('/')}/{uuid.uuid4().hex}.json", json.dumps(row) + "\n")
+def _append(spark: SparkSession, path: str, once: str | None, **row: object) -> None:
+    """One row is one small file, which appears whole: a stream may be reading the folder.
+
+    A row that is to appear once has a file named after that, which is not replaced.
+    """
+    name = uuid.uuid4().hex if once is None else hashlib.md5(once.encode()).hexdigest()
+    location = f"{path.rstrip('/')}/{name}.json"
+    if once is None or not hadoop.exists(spark, location):
+        hadoop.write_text(spark, location, json.dumps(row) + "\n")
 
 
 def read_metrics(spark: SparkSession, metrics_path: str) -> DataFrame:

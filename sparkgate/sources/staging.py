@@ -39,7 +39,7 @@ class StagingArea:
         """Write df under name and return it as read back."""
         location = f"{self.path}/{name}"
         df.write.partitionBy(*partition_by).parquet(location)
-        return self._spark.read.schema(df.schema).parquet(location).select(*df.columns)
+        return self._spark.read.schema(df.schema).parquet(location).select(*[f"`{c}`" for c in df.columns])
 
     def clear(self) -> None:
         """Delete the folder. Frames read from it must not be used any more."""

@@ -1,24 +1,26 @@
-"""Versioned Parquet tables: create, read, upsert, version.
+"""Parquet tables of Spark's catalog: create, read, upsert, version.
 
-Layout under a table's path::
+A table is an external catalog table over the files under its path. Any Spark program reads it by
+name or as plain Parquet, see catalog.register_table for a name of one's own. Under the path::
 
-    meta.json             schema and partition columns
-    data/<attempt>/<version>/…  files of one attempt at a version, in partition folders if any
-    log/<version>.json    row count of a version, and the data folders live in it
+    data/                 the table's files, in partition folders if any
+    meta.json             schema and layout, from which the catalog entry is made where it is missing
+    merges/<version>.json counts of each merge, and the batch it came from
+    changes/              rows as they were before each merge, if the table keeps its history
 
-A merge writes new folders only, then publishes them by adding its log file; readers pin the
-folders of one version, so they see a merge wholly or not at all. Only folders with overwritten
-rows are rewritten; rows with new keys are added beside what is there. Like the jobs it serves,
-it allows one writer at a time: a second writer of the same version fails on the log, and leaves
-only files of its own, which no version names.
+A merge stores the new content of the partitions it touches, and then has Spark overwrite just
+these, by dynamic partition overwrite. Rows match on keys alone, so a partition is touched if it
+holds a matched row or receives one. If a run breaks off in between, the next merge finishes it
+from what is stored; one that breaks off earlier leaves the table as it was. One writer at a time.
 """
 
 from __future__ import annotations
 
+import hashlib
 import json
-import uuid
-from collections.abc import Sequence
-from dataclasses import asdict, dataclass
+import re
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from urllib.parse import unquote
 
 import pyspark.sql.functions as F
@@ -26,16 +28,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from sparkgate.errors import NullKeyError, SchemaError, SparkgateError, TableMergeError
-from sparkgate.functions.conform import conform, empty_frame
-from sparkgate.operators.merge import require_unique, unmatched_rows
+from sparkgate.functions.conform import conform
+from sparkgate.operators.merge import key_ranges, require_unique, unmatched_rows, within_ranges
 from sparkgate.operators.skew import quoted
 from sparkgate.schemas import raw_schema, required_columns
 from sparkgate.sources import hadoop
 from sparkgate.sources.staging import StagingArea
 
+DATABASE = "sparkgate_tables"
 VERSION_COL = "__version__"
-ATTEMPT_COL = "__attempt__"
-_NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+ACTION_COL = "__action__"
+_ROWS, _FILE = "__rows__", "__file__"
+_LEDGER_SCHEMA = (
+    "version bigint, batch_id string, rows_inserted bigint, rows_updated bigint, rows_unchanged bigint, "
+    "details map<string,bigint>"
+)
 
 
 @dataclass(frozen=True)
@@ -52,77 +59,55 @@ class MergeResult:
 
 
 @dataclass(frozen=True)
-class LiveFolder:
-    """One data folder of a version. Metadata only: there are as many as partitions, not rows."""
+class Table:
+    """A table's place and layout."""
 
-    dir: str
-    version: int
-    partition_values: tuple[str | None, ...]
+    path: str
+    schema: T.StructType
+    partition_cols: tuple[str, ...] = ()
+    keys: tuple[str, ...] = ()
+    buckets: int = 0
+    history: bool = False
 
+    @property
+    def data_path(self) -> str:
+        return f"{self.path}/data"
 
-@dataclass(frozen=True)
-class Snapshot:
-    """A table as of one version."""
+    @property
+    def name(self) -> str:
+        """Its name in the catalog, made from its path."""
+        last = re.sub(r"\W", "_", self.path.rpartition("/")[2]).lower()
+        return f"`{DATABASE}`.`{last}_{hashlib.md5(self.path.encode()).hexdigest()[:12]}`"
 
-    path: str
-    schema: T.StructType
-    partition_cols: tuple[str, ...]
-    version: int
-    rows: int
-    folders: tuple[LiveFolder, ...]
-
-    def read(
-        self, spark: SparkSession, folders: Sequence[LiveFolder] | None = None
-    ) -> DataFrame:
-        """Rows of the given folders, all live ones by default, plus the folder version."""
-        folders = self.folders if folders is None else folders
-        with_version = T.StructType(
-            [*raw_schema(self.schema).fields, T.StructField(VERSION_COL, T.LongType())]
-        )
-        if not folders:
-            return spark.createDataFrame([], with_version)
-        data = f"{self.path}/data"
-        return (
-            spark.read.schema(with_version)
-            .option("basePath", data)
-            .parquet(*[f"{data}/{place}" for place in self._places(spark, folders)])
-            .select(*with_version.fieldNames())
-        )
-
-    def _places(self, spark: SparkSession, folders: Sequence[LiveFolder]) -> list[str]:
-        """Paths that hold just these folders: where all of a version's are meant, only its root.
-
-        Spark looks at every path it is given by itself; one root takes one listing instead.
-        """
-        depth = len(self.partition_cols)
-        if depth != 1:
-            return [folder.dir for folder in folders]
-        by_root: dict[str, list[str]] = {}
-        for folder in folders:
-            root, _, name = folder.dir.rpartition("/")
-            by_root.setdefault(root, []).append(name)
-        places = []
-        for root, names in by_root.items():
-            there = hadoop.child_names(spark, f"{self.path}/data/{root}")
-            whole = {name for name in there if "=" in name} == set(names)
-            places += [root] if whole else [f"{root}/{name}" for name in names]
-        return places
-
-
-def _version_name(version: int) -> str:
-    return f"{VERSION_COL}={version:010d}"
+    @property
+    def insert_order(self) -> list[str]:
+        """Columns as the catalog has them: those of partitions last."""
+        data = [name for name in self.schema.fieldNames() if name not in self.partition_cols]
+        return [*data, *self.partition_cols]
+
+    def rows(self, spark: SparkSession) -> DataFrame:
+        """The table as it is now, in the catalog's order of columns."""
+        spark.catalog.refreshTable(self.name)
+        return spark.table(self.name)
 
 
 def _clean(path: str) -> str:
     return path.rstrip("/")
 
 
-def _log_file(path: str, version: int) -> str:
-    return f"{path}/log/{_version_name(version)}.json"
+def sql_names(names: Sequence[str]) -> str:
+    """Column names as SQL text, parted by commas."""
+    return ", ".join("`" + name.replace("`", "``") + "`" for name in names)
+
+
+def text_literal(value: str) -> str:
+    """A string as SQL text."""
+    escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    return hadoop.exists(spark, _log_file(_clean(path), 0))
+    return hadoop.exists(spark, f"{_clean(path)}/meta.json")
 
 
 def create_table_if_not_exists(
@@ -130,60 +115,138 @@ def create_table_if_not_exists(
     schema: T.StructType,
     path: str,
     partition_cols: Sequence[str] = (),
+    *,
+    keys: Sequence[str] = (),
+    buckets: int = 0,
+    history: bool = False,
 ) -> None:
-    """Create an empty table at path as version 0; leave an existing one alone."""
+    """Create an empty table at path as version 0; leave an existing one alone.
+
+    With buckets, rows are dealt to so many files per partition by hash of keys, and merges by
+    these keys do not shuffle the table. With history, earlier versions can be read.
+    """
     if table_exists(spark, path):
         return
-    if VERSION_COL in schema.fieldNames():
-        raise SchemaError(f"column name {VERSION_COL!r} is taken by the table layout")
+    for taken in (VERSION_COL, ACTION_COL, _ROWS, _FILE):
+        if taken in schema.fieldNames():
+            raise SchemaError(f"column name {taken!r} is taken by the table layout")
+    if (buckets or history) and not keys:
+        raise SchemaError("buckets and history need the table's keys")
+    table = Table(_clean(path), schema, tuple(partition_cols), tuple(keys), buckets, history)
+    save_layout(spark, table)
+    _register(spark, table)
+
+
+def save_layout(spark: SparkSession, table: Table) -> None:
+    """Write the table's schema and layout beside its files."""
+    meta = {
+        "schema": table.schema.jsonValue(), "partition_cols": list(table.partition_cols),
+        "keys": list(table.keys), "buckets": table.buckets, "history": table.history,
+    }
+    hadoop.remove(spark, f"{table.path}/meta.json")
+    hadoop.write_text(spark, f"{table.path}/meta.json", json.dumps(meta))
+
+
+def _register(spark: SparkSession, table: Table) -> None:
+    """Make the catalog know the table, and the partitions there are."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{DATABASE}`")
+    ddl = f"CREATE TABLE IF NOT EXISTS {table.name} ({raw_schema(table.schema).toDDL()}) USING parquet"
+    if table.partition_cols:
+        ddl += f" PARTITIONED BY ({sql_names(table.partition_cols)})"
+    if table.buckets:
+        names = sql_names(table.keys)
+        ddl += f" CLUSTERED BY ({names}) SORTED BY ({names}) INTO {table.buckets} BUCKETS"
+    spark.sql(f"{ddl} LOCATION {text_literal(table.data_path)}")
+    if table.partition_cols and hadoop.exists(spark, table.data_path):
+        spark.catalog.recoverPartitions(table.name)
+
+
+def load_table(spark: SparkSession, path: str) -> Table:
+    """The table at path, made known to the catalog if it is not."""
     path = _clean(path)
-    meta = {"schema": schema.jsonValue(), "partition_cols": list(partition_cols)}
-    hadoop.remove(spark, f"{path}/meta.json")
-    hadoop.write_text(spark, f"{path}/meta.json", json.dumps(meta))
-    _publish(spark, path, 0, 0, [])
+    if not table_exists(spark, path):
+        raise TableMergeError(f"no table at {path}")
+    meta = json.loads(hadoop.read_text(spark, f"{path}/meta.json"))
+    table = Table(
+        path, T.StructType.fromJson(meta["schema"]), tuple(meta["partition_cols"]), tuple(meta["keys"]),
+        meta["buckets"], meta["history"],
+    )
+    if not spark.catalog.tableExists(table.name):
+        _register(spark, table)
+    return table
 
 
-def _publish(
-    spark: SparkSession, path: str, version: int, rows: int, folders: Sequence[LiveFolder]
-) -> None:
-    log = {"rows": rows, "folders": [asdict(folder) for folder in folders]}
-    hadoop.write_text(spark, _log_file(path, version), json.dumps(log))
+# --- Versions -----------------------------------------------------------------------------------
+
+
+def _merges(spark: SparkSession, path: str) -> list[tuple[int, str]]:
+    """(version, file name) of each merge, in order."""
+    names = [n for n in hadoop.child_names(spark, f"{path}/merges") if n.endswith(".json")]
+    return sorted((int(name.partition(".")[0].partition("-")[0]), name) for name in names)
 
 
 def get_table_version(spark: SparkSession, path: str) -> int:
-    """Latest published version; each merge adds one."""
+    """Number of the last merge; each merge adds one, and a new table is at 0."""
     path = _clean(path)
-    names = [n for n in hadoop.child_names(spark, f"{path}/log") if n.endswith(".json")]
-    if not names:
+    if not table_exists(spark, path):
         raise TableMergeError(f"no table at {path}")
-    return int(names[-1].removeprefix(f"{VERSION_COL}=").removesuffix(".json"))
+    merges = _merges(spark, path)
+    return merges[-1][0] if merges else 0
+
 
+def merge_history(spark: SparkSession, path: str) -> DataFrame:
+    """One row per merge: version, batch_id, row counts and details."""
+    return spark.read.schema(_LEDGER_SCHEMA).json(f"{_clean(path)}/merges")
 
-def load_snapshot(spark: SparkSession, path: str, version: int | None = None) -> Snapshot:
-    """The table's metadata as of a version, the latest by default."""
+
+def published_batch(spark: SparkSession, path: str, batch_id: str) -> dict | None:
+    """What the ledger says of a batch's merge; None if it was not published.
+
+    A merge of the batch that broke off after its rows were stored is finished first.
+    """
     path = _clean(path)
-    version = get_table_version(spark, path) if version is None else version
-    meta = json.loads(hadoop.read_text(spark, f"{path}/meta.json"))
-    log = json.loads(hadoop.read_text(spark, _log_file(path, version)))
-    return Snapshot(
-        path=path,
-        schema=T.StructType.fromJson(meta["schema"]),
-        partition_cols=tuple(meta["partition_cols"]),
-        version=version,
-        rows=log["rows"],
-        folders=tuple(
-            LiveFolder(f["dir"], f["version"], tuple(f["partition_values"]))
-            for f in log["folders"]
-        ),
-    )
+    if not table_exists(spark, path):
+        return None
+    _finish_pending(spark, load_table(spark, path))
+    mark = f"-{_batch_mark(batch_id)}.json"
+    for _, name in _merges(spark, path):
+        if name.endswith(mark):
+            return json.loads(hadoop.read_text(spark, f"{path}/merges/{name}"))
+    return None
+
+
+def _batch_mark(batch_id: str) -> str:
+    return hashlib.md5(batch_id.encode()).hexdigest()
+
+
+def _publish(spark: SparkSession, table: Table, entry: Mapping) -> None:
+    mark = f"-{_batch_mark(entry['batch_id'])}" if entry["batch_id"] is not None else ""
+    hadoop.write_text(spark, f"{table.path}/merges/{entry['version']:010d}{mark}.json", json.dumps(entry) + "\n")
 
 
 def read_table(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
-    """Rows of the table as of a version, the latest by default."""
-    snapshot = load_snapshot(spark, path, version)
-    if not snapshot.folders:
-        return empty_frame(spark, snapshot.schema)
-    return snapshot.read(spark).drop(VERSION_COL)
+    """Rows of the table now, or as of a version if the table keeps its history.
+
+    Rows that merges have changed since are taken from the changes: as each was before the first
+    merge after that version that changed it. Rows inserted since are left out.
+    """
+    table = load_table(spark, path)
+    columns = quoted(table.schema.fieldNames())
+    rows = table.rows(spark).select(*columns)
+    latest = get_table_version(spark, path)
+    if version is None or version == latest:
+        return rows
+    if not table.history or not 0 <= version < latest:
+        raise TableMergeError(f"version {version} of {table.path} cannot be read")
+    changes = spark.read.parquet(f"{table.path}/changes").filter(F.col(VERSION_COL) > version)
+    before = F.min_by(F.struct(*columns, ACTION_COL), VERSION_COL).alias("before")
+    first = changes.groupBy(*quoted(table.keys)).agg(before).select("before.*")
+    return unmatched_rows(rows, first, table.keys).unionByName(
+        first.filter(F.col(ACTION_COL) == "update").select(*columns)
+    )
+
+
+# --- Merges -------------------------------------------------------------------------------------
 
 
 def write_table_merge(
@@ -193,23 +256,25 @@ def write_table_merge(
     merge_keys: Sequence[str],
     *,
     stored: bool = False,
+    batch_id: str | None = None,
+    details: Mapping[str, int] | None = None,
 ) -> MergeResult:
-    """Upsert df into the table at path and publish the next version.
+    """Upsert df into the table at path as its next version.
 
     Rows match on merge_keys alone: a row whose partition column changed leaves its old partition.
     stored says that df reads from stored files; otherwise it is written to staging first. That it
-    holds each key once is checked either way, by counts combined map-side.
+    holds each key once is checked either way, by counts combined map-side. batch_id and details
+    are kept with the merge's counts, see published_batch.
     """
     try:
-        snapshot = load_snapshot(spark, path)
-        source = conform(df, snapshot.schema)
-        if stored:
-            require_unique(source, merge_keys)
-            return _merge(spark, snapshot, source, list(merge_keys))
+        table = load_table(spark, path)
+        _finish_pending(spark, table)
+        source = conform(df, table.schema)
         with StagingArea(spark, "merge") as staging:
-            source = staging.write(source, "source")
+            if not stored:
+                source = staging.write(source, "source")
             require_unique(source, merge_keys)
-            return _merge(spark, snapshot, source, list(merge_keys))
+            return _merge(spark, table, source, list(merge_keys), staging, batch_id, dict(details or {}))
     except SparkgateError:
         raise
     except Exception as error:
@@ -217,47 +282,152 @@ def write_table_merge(
 
 
 def _merge(
-    spark: SparkSession, snapshot: Snapshot, source: DataFrame, keys: list[str]
+    spark: SparkSession, table: Table, source: DataFrame, keys: list[str], staging: StagingArea,
+    batch_id: str | None, details: dict[str, int],
 ) -> MergeResult:
-    source_rows = _checked_count(source, snapshot.schema, keys)
-    version = snapshot.version + 1
-    if source_rows == 0:
-        _publish(spark, snapshot.path, version, snapshot.rows, snapshot.folders)
-        return MergeResult(0, 0, snapshot.rows)
-
-    rewritten = _folders_to_rewrite(spark, snapshot, source, keys)
-    merged = source
-    if rewritten:
-        old = snapshot.read(spark, rewritten).drop(VERSION_COL)
-        merged = unmatched_rows(old, source, keys).unionByName(source)
-
-    if snapshot.partition_cols:
-        # Gives each partition few files, and splits a partition that is far too large for one.
-        merged = merged.hint("rebalance", *snapshot.partition_cols)
-    # A folder no other attempt uses: a writer that loses the race for the version, or a job that
-    # runs again, must not touch what another has written.
-    attempt = f"{ATTEMPT_COL}=a{uuid.uuid4().hex}"
-    root = LiveFolder(f"{attempt}/{_version_name(version)}", version, ())
-    merged.write.partitionBy(*snapshot.partition_cols).parquet(f"{snapshot.path}/data/{root.dir}")
-
-    updated = 0
-    if rewritten:
-        # Counted on stored files, from their footers: task retries cannot distort that.
-        kept = snapshot.read(spark, [root]).count() - source_rows
-        updated = old.count() - kept
-    gone = set(rewritten)
-    live = [folder for folder in snapshot.folders if folder not in gone]
-    live += _partition_folders(spark, snapshot, root)
-    inserted = source_rows - updated
-    _publish(spark, snapshot.path, version, snapshot.rows + inserted, live)
-    return MergeResult(inserted, updated, snapshot.rows - updated)
+    if (table.buckets or table.history) and tuple(keys) != table.keys:
+        raise TableMergeError(f"{table.path} is kept by {list(table.keys)}, not by {keys}")
+    source_rows = _checked_count(source, table.schema, keys)
+    version = get_table_version(spark, table.path) + 1
+    target = table.rows(spark)
+    touched, updated = None, 0
+    if source_rows:
+        touched = staging.write(matched_partitions(target, source, keys, table.partition_cols), "touched")
+        updated = touched.agg(F.sum(_ROWS)).first()[0] or 0
+    result = MergeResult(source_rows - updated, updated, _rows_before(spark, table, target) - updated)
+    entry = {"version": version, "batch_id": batch_id, **result.__dict__, "details": details}
+    if table.history and source_rows:
+        _keep_changes(table, target, source, touched, keys, version)
+    if not updated:
+        if source_rows:
+            _insert(spark, table, source, overwrite=False)
+        _publish(spark, table, entry)
+        return result
+
+    old = target
+    if table.partition_cols:
+        received = source.select(*quoted(table.partition_cols))
+        affected = touched.select(*quoted(table.partition_cols)).union(received).distinct()
+        old = _in_partitions(target, staging.write(affected, "affected"), table.partition_cols)
+    merged = unmatched_rows(old, source, keys).unionByName(source.select(*quoted(target.columns)))
+    pending = f"{table.path}/pending"
+    merged.write.mode("overwrite").parquet(f"{pending}/rows")
+    touched.write.mode("overwrite").parquet(f"{pending}/touched")
+    hadoop.write_text(spark, f"{pending}/ready", json.dumps(entry))
+    _finish_pending(spark, table)
+    return result
+
+
+def _rows_before(spark: SparkSession, table: Table, target: DataFrame) -> int:
+    """Row count before the merge, from the ledger; counted from footers if it has none."""
+    merges = _merges(spark, table.path)
+    if not merges:
+        return target.count()
+    last = json.loads(hadoop.read_text(spark, f"{table.path}/merges/{merges[-1][1]}"))
+    return last["rows_inserted"] + last["rows_updated"] + last["rows_unchanged"]
+
+
+def matched_partitions(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], partition_cols: Sequence[str]
+) -> DataFrame:
+    """Per partition of the target with rows the source matches: their number, and one of its files.
+
+    Reads keys only, and of those only row groups within the ranges of the source's keys.
+    """
+    ranges = key_ranges(source, keys[0])
+    rows = target.filter(within_ranges(keys[0], ranges)).select(
+        *quoted(dict.fromkeys([*keys, *partition_cols])), F.col("_metadata.file_path").alias(_FILE)
+    )
+    matched = rows.join(source.select(*quoted(keys)), list(keys), "left_semi")
+    return matched.groupBy(*quoted(partition_cols)).agg(F.count(F.lit(1)).alias(_ROWS), F.min(_FILE).alias(_FILE))
+
+
+def _in_partitions(target: DataFrame, partitions: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows of the target in these partitions, of which there are few: others are not read."""
+    if not columns:
+        return target
+    missing = F.lit(False)
+    for name in columns:
+        missing = missing | F.col(f"`{name}`").isNull()
+    named = target.join(F.broadcast(partitions.filter(~missing)), list(columns), "left_semi").select(*quoted(target.columns))
+    same = F.lit(True)
+    for name in columns:
+        same = same & F.col(f"t.`{name}`").eqNullSafe(F.col(f"p.`{name}`"))
+    unnamed = target.filter(missing).alias("t").join(F.broadcast(partitions.filter(missing).alias("p")), same, "left_semi")
+    return named.unionByName(unnamed.select(*[F.col(f"t.`{name}`") for name in target.columns]))
+
+
+def _insert(spark: SparkSession, table: Table, rows: DataFrame, *, overwrite: bool) -> None:
+    """Have Spark write rows into the table; overwriting replaces the partitions they belong to.
+
+    Adaptive execution gives each partition few files, and splits one that is too large for one.
+    """
+    by = [*table.partition_cols, *table.keys]
+    rows = rows.select(*quoted(table.insert_order))
+    if table.buckets:
+        rows = rows.repartition(table.buckets, *quoted(table.keys))
+    elif table.partition_cols:
+        rows = rows.hint("rebalance", *table.partition_cols)
+    if by:
+        # Sorted files have narrow key ranges, which later merges skip by.
+        rows = rows.sortWithinPartitions(*quoted(by))
+    rows.write.insertInto(table.name, overwrite=overwrite)
+    spark.catalog.refreshTable(table.name)
+
+
+def _overwriting_session(spark: SparkSession) -> SparkSession:
+    """A session of its own, for the mode is a setting: other threads must not meet it."""
+    session = spark.newSession()
+    for name in ("spark.sql.session.timeZone", "spark.sql.shuffle.partitions"):
+        session.conf.set(name, spark.conf.get(name))
+    session.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    return session
+
+
+def _finish_pending(spark: SparkSession, table: Table) -> None:
+    """Write what a merge has stored into the table, if there is such; it can be done again."""
+    pending = f"{table.path}/pending"
+    if not hadoop.exists(spark, f"{pending}/ready"):
+        return
+    entry = json.loads(hadoop.read_text(spark, f"{pending}/ready"))
+    if not any(version >= entry["version"] for version, _ in _merges(spark, table.path)):
+        session = _overwriting_session(spark)
+        rows = session.read.schema(raw_schema(table.schema)).parquet(f"{pending}/rows")
+        touched = session.read.parquet(f"{pending}/touched")
+        _insert(session, table, rows, overwrite=True)
+        if table.partition_cols:
+            same = F.lit(True)
+            for name in table.partition_cols:
+                same = same & F.col(f"t.`{name}`").eqNullSafe(F.col(f"p.`{name}`"))
+            there = rows.select(*quoted(table.partition_cols)).distinct()
+            emptied = touched.alias("t").join(F.broadcast(there.alias("p")), same, "left_anti")
+            for row in emptied.select(_FILE).toLocalIterator():
+                hadoop.remove(spark, unquote(row[0].rpartition("/")[0]))
+        spark.catalog.refreshTable(table.name)
+        _publish(spark, table, entry)
+    hadoop.remove(spark, pending)
+
+
+def _keep_changes(
+    table: Table, target: DataFrame, source: DataFrame, touched: DataFrame, keys: list[str], version: int
+) -> None:
+    """Store the rows that the merge replaces as they are, and the keys of those it inserts."""
+    for key in keys:
+        if not source.filter(F.col(f"`{key}`").isNull()).isEmpty():
+            raise NullKeyError(f"a table with history takes no null in merge key '{key}'")
+    columns = quoted(table.schema.fieldNames())
+    old = _in_partitions(target, touched.select(*quoted(table.partition_cols)), table.partition_cols)
+    replaced = old.join(source.select(*quoted(keys)), keys, "left_semi").select(*columns, F.lit("update").alias(ACTION_COL))
+    added = source.select(*quoted(keys)).join(old.select(*quoted(keys)), keys, "left_anti")
+    changes = replaced.unionByName(added.withColumn(ACTION_COL, F.lit("insert")), allowMissingColumns=True)
+    changes.write.mode("overwrite").parquet(f"{table.path}/changes/{VERSION_COL}={version}")
 
 
 def _checked_count(source: DataFrame, schema: T.StructType, keys: Sequence[str]) -> int:
     """Row count; raises when a column the target declares non-null holds a null."""
     required = required_columns(schema)
     row = source.agg(
-        F.count(F.lit(1)).alias("__rows__"),
+        F.count(F.lit(1)).alias(_ROWS),
         *[F.count_if(F.col(f"`{name}`").isNull()).alias(name) for name in required],
     ).first()
     for name in required:
@@ -265,66 +435,16 @@ def _checked_count(source: DataFrame, schema: T.StructType, keys: Sequence[str])
             raise NullKeyError(f"{row[name]} source row(s) with null in merge key '{name}'")
         if row[name]:
             raise SchemaError(f"{row[name]} source row(s) with null in required column '{name}'")
-    return row["__rows__"]
-
-
-def _folders_to_rewrite(
-    spark: SparkSession, snapshot: Snapshot, source: DataFrame, keys: list[str]
-) -> list[LiveFolder]:
-    """Live folders holding a row the source overwrites; reads keys and folder names only."""
-    if not snapshot.folders:
-        return []
-    place = [F.col(c).cast("string") for c in (VERSION_COL, *snapshot.partition_cols)]
-    hits = (
-        snapshot.read(spark)
-        .select(*quoted(keys), F.array(*place).alias("__folder__"))
-        .join(source.select(*quoted(keys)), keys, "left_semi")
-        .select("__folder__")
-        .distinct()
-        .collect()
-    )
-    wanted = {tuple(row["__folder__"]) for row in hits}
-    return [f for f in snapshot.folders if (str(f.version), *f.partition_values) in wanted]
-
-
-def _partition_folders(
-    spark: SparkSession, snapshot: Snapshot, root: LiveFolder
-) -> list[LiveFolder]:
-    """The folders a write has left under its version, one per partition."""
-    folders = [root]
-    for _ in snapshot.partition_cols:
-        folders = [
-            LiveFolder(
-                f"{parent.dir}/{name}",
-                root.version,
-                (*parent.partition_values, _partition_value(name)),
-            )
-            for parent in folders
-            for name in hadoop.child_names(spark, f"{snapshot.path}/data/{parent.dir}")
-            if "=" in name
-        ]
-    return folders
-
-
-def _partition_value(name: str) -> str | None:
-    value = name.partition("=")[2]
-    return None if value == _NULL_PARTITION else unquote(value)
+    return row[_ROWS]
 
 
 def merge_into_catalog_table(df: DataFrame, table: str, merge_keys: Sequence[str]) -> None:
     """The same upsert on a catalog table whose format supports MERGE itself."""
-    matched = F.lit(True)
-    for key in merge_keys:
-        matched = matched & (F.col(f"{table}.{key}") == F.col(f"__source__.{key}"))
     try:
-        (
-            df.alias("__source__")
-            .mergeInto(table, matched)
-            .whenMatched()
-            .updateAll()
-            .whenNotMatched()
-            .insertAll()
-            .merge()
-        )
+        source = df.alias("__source__")
+        matched = F.lit(True)
+        for key in merge_keys:
+            matched = matched & F.expr(f"{table}.`{key}` = __source__.`{key}`")
+        source.mergeInto(table, matched).whenMatched().updateAll().whenNotMatched().insertAll().merge()
     except Exception as error:
         raise TableMergeError(f"merge into {table} failed: {error}") from error

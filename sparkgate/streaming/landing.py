@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from dataclasses import replace
 
@@ -13,6 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 from sparkgate.plans.jobs import TableJob, run_table_job
 from sparkgate.schemas import raw_schema
 from sparkgate.settings import RunSettings
+from sparkgate.sources import hadoop
 from sparkgate.sources.excel import WORKBOOK_GLOB, parse_workbooks
 from sparkgate.sources.landing import CSV_GLOB
 
@@ -63,6 +65,11 @@ def _files(reader, glob: str, archive_dir: str | None, files_per_batch: int):
     return reader
 
 
+def _stream_id(spark: SparkSession, checkpoint_path: str) -> str:
+    """The id that Spark gave the stream of this checkpoint, which restarts keep."""
+    return json.loads(hadoop.read_text(spark, f"{checkpoint_path.rstrip('/')}/metadata"))["id"]
+
+
 def start_table_load(
     spark: SparkSession,
     source: DataFrame,
@@ -74,9 +81,9 @@ def start_table_load(
     """Run the table job on each batch of new files until all present ones are done.
 
     A batch that fails its gate raises; its files are then not marked done, and the next start
-    replays the same batch. Replays change nothing twice: the upsert is by key, and rejects
-    replace those of the same batch. Pass a function as job when its rules read a table that
-    changes between batches, such as orders for order items.
+    replays the same batch. Replays change nothing twice: a batch whose merge was published is not
+    loaded again and reports once, and rejects replace those of the same batch. Pass a function as
+    job when its rules read a table that changes between batches, such as orders for order items.
     """
 
     def run_batch(batch: DataFrame, batch_id: int) -> None:
@@ -90,6 +97,8 @@ def start_table_load(
             batch_settings,
             lambda: batch,
             replace_quarantine=True,
+            # A checkpoint that starts anew counts its batches anew, under another id.
+            batch_id=f"{_stream_id(spark, checkpoint_path)}:{current.table}:{batch_id}",
             **options,
         )
 

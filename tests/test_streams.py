@@ -9,13 +9,14 @@ from datetime import date, datetime
 import pyspark.sql.functions as F
 import pytest
 
+from sparkgate.plans import jobs
 from sparkgate.plans.jobs import table_job
 from sparkgate.plans.rule_sets import orders_rules, products_rules
 from sparkgate.queries.workbook_copies import workbook_bytes
 from sparkgate.schemas import ORDERS_SCHEMA, PRODUCTS_SCHEMA
 from sparkgate.settings import settings_from_args
 from sparkgate.sources.quarantine import read_quarantine
-from sparkgate.sources.run_metrics import EVENTS_SCHEMA
+from sparkgate.sources.run_metrics import EVENTS_SCHEMA, read_metrics, read_run_events
 from sparkgate.sources.tables import get_table_version, read_table
 from sparkgate.streaming import alarms
 from sparkgate.streaming.landing import start_table_load, stream_csv, stream_workbooks
@@ -73,6 +74,30 @@ def test_a_failed_gate_leaves_the_batch_for_replay(spark, settings, tmp_path):
     assert read_quarantine(spark, storage.quarantine_base_path, "products").count() == 2
 
 
+@pytest.mark.parametrize("lost", ["emit_job_metrics", "emit_run_event"])
+def test_a_batch_replayed_after_its_merge_reports_once(spark, settings, tmp_path, monkeypatch, lost):
+    storage = settings.storage
+    land(storage.incoming_path, "a.csv", "1,1,d,Pears", "2,1,d,Figs", ",1,d,None")
+    real = getattr(jobs, lost)
+
+    def after(*args, **options):
+        if options.get("level") != "ERROR":
+            real(*args, **options)
+            raise OSError("driver lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(jobs, lost, after)
+        with pytest.raises(Exception, match="driver lost"):
+            load(spark, settings, tmp_path)
+    assert get_table_version(spark, storage.table_path("products")) == 1
+    load(spark, settings, tmp_path)
+    assert get_table_version(spark, storage.table_path("products")) == 1
+    rows = read_metrics(spark, storage.metrics_path).drop("duration_ms").collect()
+    assert [tuple(r) for r in rows] == [("test-job", "test", 3, 2, 1, 2, 0)]
+    done = read_run_events(spark, storage.events_path).filter("event = 'JOB_COMPLETE'")
+    assert [(r.records_in, r.records_rejected) for r in done.collect()] == [(3, 1)]
+
+
 def test_finished_files_go_to_the_archive(spark, settings, tmp_path):
     incoming = settings.storage.incoming_path
     archive = str(tmp_path / "archive")

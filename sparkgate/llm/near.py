@@ -31,7 +31,7 @@ STAR_ROUNDS = 2
 # similarity is not compared in full: 3 in a million links of just that similarity.
 PLANES, SKETCH_WORDS, SKETCH_BITS, DEVIATIONS = 4, 4, 63, 4.5
 # Words a worker remembers the hashes of.
-KNOWN_WORDS = 300_000
+KNOWN_WORDS = 150_000
 # Texts are signed in groups of about so many characters.
 GROUP_CHARS = 1_000_000
 
@@ -106,6 +106,20 @@ _SIGNED = pa.schema(
 _ELEMENTS = pa.schema([("doc_id", pa.int64()), ("h", pa.binary()), ("elements", pa.list_(pa.int64()))])
 
 
+def _groups(batch: pa.RecordBatch) -> Iterator[list[tuple[int | None, str]]]:
+    """The batch's (doc_id, text), in groups of about GROUP_CHARS characters."""
+    group: list[tuple[int | None, str]] = []
+    size = 0
+    for doc_id, text in zip(batch["doc_id"], batch["text"]):
+        group.append((doc_id.as_py(), text.as_py() or ""))
+        size += len(group[-1][1])
+        if size >= GROUP_CHARS:
+            yield group
+            group, size = [], 0
+    if group:
+        yield group
+
+
 def _signed(texts: DataFrame, by_count: bool) -> DataFrame:
     """Per text: doc_id, h (digest of its words), size (total weight), band hashes and sketch."""
 
@@ -132,15 +146,7 @@ def _signed(texts: DataFrame, by_count: bool) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            group: list[tuple[int | None, str]] = []
-            size = 0
-            for doc_id, text in zip(batch["doc_id"], batch["text"]):
-                group.append((doc_id.as_py(), text.as_py() or ""))
-                size += len(group[-1][1])
-                if size >= GROUP_CHARS:
-                    yield sign(group)
-                    group, size = [], 0
-            if group:
+            for group in _groups(batch):
                 yield sign(group)
 
     return texts.mapInArrow(run, from_arrow_schema(_SIGNED))
@@ -149,13 +155,21 @@ def _signed(texts: DataFrame, by_count: bool) -> DataFrame:
 def _elements(texts: DataFrame, by_count: bool) -> DataFrame:
     """Per text: doc_id, h and its set of elements."""
 
+    def made(rows: list[tuple[int, str]]) -> pa.RecordBatch:
+        sets, digests = [], []
+        for _, text in rows:
+            words = _WORD.findall(text)
+            sets.append(elements_of(words, by_count).view(np.int64))
+            digests.append(digest(words))
+        ends = np.cumsum([0, *map(len, sets)])
+        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(sets)))
+        ids = pa.array([doc_id for doc_id, _ in rows], pa.int64())
+        return pa.record_batch([ids, pa.array(digests, pa.binary()), lists], schema=_ELEMENTS)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            split = [_WORD.findall(text.as_py() or "") for text in batch["text"]]
-            sets = [elements_of(words, by_count).view(np.int64) for words in split]
-            ends = np.cumsum([0, *map(len, sets)])
-            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.array([], np.int64), *sets])))
-            yield pa.record_batch([batch["doc_id"], pa.array(list(map(digest, split)), pa.binary()), lists], schema=_ELEMENTS)
+            for group in _groups(batch):
+                yield made(group)
 
     return texts.mapInArrow(run, from_arrow_schema(_ELEMENTS))
 

@@ -19,6 +19,7 @@ import pyspark.sql.functions as F
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import types as T
 
+from sparkgate.operators.key_bitmap import BITS_COL, BUCKET_COL, bucket_of, holds, key_bitmaps
 from sparkgate.operators.skew import (
     SPREAD_WIDTH,
     comparable_columns,
@@ -264,12 +265,17 @@ class ReferentialIntegrityRule(StatefulRule):
     execution. When the ladder looks ahead, keys missing from the reference are looked for first,
     among the distinct foreign keys: with none, only nulls fail; if they can be broadcast, rows
     stay where they are.
+
+    dense_keys declares that both columns are integers and the reference's lie close together, as
+    counted ids do. The reference is then taken as bitmaps, see operators.key_bitmap, and rows meet
+    a stretch of keys each.
     """
 
-    def __init__(self, fk_column: str, reference_df: DataFrame, ref_column: str) -> None:
+    def __init__(self, fk_column: str, reference_df: DataFrame, ref_column: str, *, dense_keys: bool = False) -> None:
         self.fk = fk_column
         self.reference_df = reference_df
         self.ref_column = ref_column
+        self.dense_keys = dense_keys
 
     @property
     def rule_name(self) -> str:
@@ -286,7 +292,7 @@ class ReferentialIntegrityRule(StatefulRule):
 
         missing = missing_keys(
             context.preview, self.fk, self.reference_df, self.ref_column,
-            context.staging, f"{context.prefix}_missing",
+            context.staging, f"{context.prefix}_missing", dense_keys=self.dense_keys,
         )
         size = missing.agg(F.sum(key_width([self.fk]))).first()[0]
         if size is None:
@@ -303,13 +309,21 @@ class ReferentialIntegrityRule(StatefulRule):
         # Padded after the distinct, so that the join shuffles it anew: adaptive execution splits
         # hot keys only where a join reads straight from a shuffle. The pad is zero for every key
         # but no literal, which would be folded out of the join key.
+        wanted = F.when(context.alive, F.col(f"`{self.fk}`"))
+        if self.dense_keys:
+            reference = key_bitmaps(self.reference_df, self.ref_column).select(
+                F.col(BUCKET_COL).alias(key), F.hash(BUCKET_COL).bitwiseAND(F.lit(0)).alias(pad), F.col(BITS_COL).alias(found)
+            )
+            wanted_pad = F.when(wanted.isNotNull(), F.lit(0)).otherwise(context.spread + 1)
+            df = df.join(reference, (bucket_of(wanted) == F.col(key)) & (wanted_pad == F.col(pad)), "left")
+            df = df.withColumn(found, holds(F.col(found), wanted))
+            return df, context.alive & ~F.col(found)
         reference = (
             self.reference_df.filter(ref_key.isNotNull())
             .select(ref_key.alias(key))
             .distinct()
             .select(key, F.hash(key).bitwiseAND(F.lit(0)).alias(pad), F.lit(True).alias(found))
         )
-        wanted = F.when(context.alive, F.col(f"`{self.fk}`"))
         wanted_pad = F.when(wanted.isNotNull(), F.lit(0)).otherwise(context.spread + 1)
         df = df.join(reference, (wanted == F.col(key)) & (wanted_pad == F.col(pad)), "left")
         return df, context.alive & F.col(found).isNull()

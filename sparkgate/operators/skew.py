@@ -14,6 +14,7 @@ import pyspark.sql.functions as F
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import types as T
 
+from sparkgate.operators.key_bitmap import key_bitmaps, orphan_rows
 from sparkgate.sources.staging import StagingArea
 
 # Rows of one group that need not stay together are dealt into this many subgroups.
@@ -61,10 +62,13 @@ def repeated_keys(df: DataFrame, keys: Sequence[str], staging: StagingArea, name
 
 
 def missing_keys(
-    df: DataFrame, key: str, reference: DataFrame, ref_key: str, staging: StagingArea, name: str
+    df: DataFrame, key: str, reference: DataFrame, ref_key: str, staging: StagingArea, name: str,
+    *, dense_keys: bool = False,
 ) -> DataFrame:
     """Distinct keys of df, null aside, that the reference column does not hold."""
     wanted = df.select(F.col(f"`{key}`").alias(key)).filter(F.col(f"`{key}`").isNotNull())
+    if dense_keys:
+        return staging.write(orphan_rows(wanted.distinct(), key, key_bitmaps(reference, ref_key)), name)
     known = reference.select(F.col(f"`{ref_key}`").alias(key))
     return staging.write(wanted.distinct().join(known, key, "left_anti"), name)
 

@@ -22,6 +22,7 @@ DEFAULT_MAX_TS = datetime(2030, 12, 31)
 
 
 def products_rules() -> list[ValidationRule]:
+    # Rules, columns and their order.
     return [
         NotNullRule("product_id"),
         UniqueKeyRule(["product_id"]),
@@ -33,6 +34,7 @@ def products_rules() -> list[ValidationRule]:
 def orders_rules(
     min_ts: datetime = DEFAULT_MIN_TS, max_ts: datetime = DEFAULT_MAX_TS
 ) -> list[ValidationRule]:
+    # Rules, columns and their order.
     return [
         NotNullRule("order_id"),
         UniqueKeyRule(["order_id"]),
@@ -47,13 +49,16 @@ def order_items_rules(
     orders: DataFrame,
     min_ts: datetime = DEFAULT_MIN_TS,
     max_ts: datetime = DEFAULT_MAX_TS,
+    *,
+    dense_keys: bool = False,
 ) -> list[ValidationRule]:
+    # Rules, columns and their order.
     return [
         NotNullRule("id"),
         NotNullRule("order_id"),
         NotNullRule("product_id"),
         UniqueKeyRule(["id"]),
         BooleanFlagRule("reordered"),
-        ReferentialIntegrityRule("order_id", orders, "order_id"),
+        ReferentialIntegrityRule("order_id", orders, "order_id", dense_keys=dense_keys),
         TimestampRangeRule("order_timestamp", min_ts, max_ts),
     ]

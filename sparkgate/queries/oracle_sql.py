@@ -287,7 +287,9 @@ def build() -> dict[str, str]:
     sql["orders_sanity"] = _orders_sanity(ORDERS)
     sql["orders_sanity_spoiled"] = _orders_sanity(SPOILED_ORDERS)
     sql["ri_audit"] = _ri_audit(ORDER_ITEMS)
-    sql["ri_audit_spoiled"] = _ri_audit(SPOILED_ORDER_ITEMS)
+    sql["ri_audit_spoiled"] = sql["ri_audit_bitmap"] = _ri_audit(SPOILED_ORDER_ITEMS)
+    sql["products_sanity_incremental"] = sql["products_sanity_spoiled"]
+    sql["orders_sanity_incremental"] = sql["orders_sanity_spoiled"]
 
     _pair("not_null", SPOILED_ORDERS, "order_id IS NULL", NULL_REASON.format("order_id"), sql)
     _unique_pair("unique", ORDER_ITEMS, ["id"], ITEM_COLUMNS, sql)
@@ -301,6 +303,7 @@ def build() -> dict[str, str]:
     )
     _unique_pair("unique_hot_key", ORDER_ITEMS, ["reordered"], ITEM_COLUMNS, sql)
     _pair("fk", SPOILED_ORDER_ITEMS, FK_FAILS, FK_REASON, sql)
+    _pair("fk_bitmap", SPOILED_ORDER_ITEMS, FK_FAILS, FK_REASON, sql)
     _pair("ts_range", SPOILED_ORDERS, TS_FAILS, TS_REASON, sql)
     _pair(
         "positive",
@@ -345,11 +348,14 @@ def build() -> dict[str, str]:
         sql[f"rule_unique_default_hot_{side}"] = sql[f"rule_unique_hot_key_{side}"]
     sql["rule_unique_look_ahead_valid"] = sql["rule_unique_valid"]
     sql["order_items_look_ahead_rejects"] = sql["order_items_validate_rejects"]
+    sql["order_items_bitmap_rejects"] = sql["order_items_validate_rejects"]
     sql["threshold_gate_report"] = "\nUNION ALL\n".join(gates)
 
     known = f"EXISTS (SELECT 1 FROM ({ORDERS}) o WHERE o.order_id = t.order_id)"
     sql["join_anti_orphans"] = f"SELECT * FROM ({SPOILED_ORDER_ITEMS}) t WHERE NOT {known}"
     sql["join_semi_known"] = f"SELECT * FROM ({SPOILED_ORDER_ITEMS}) t WHERE {known}"
+    sql["join_anti_orphans_bitmap"] = sql["join_anti_orphans"]
+    sql["join_semi_known_bitmap"] = sql["join_semi_known"]
 
     sql["merge_upsert_result"] = f"{MERGE_SIDES} SELECT {_MERGED}, {_ACTION} AS action FROM {_FULL}"
     sql["merge_upsert_rows"] = f"{MERGE_SIDES} SELECT {_MERGED} FROM {_FULL}"

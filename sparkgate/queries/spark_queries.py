@@ -19,6 +19,7 @@ from sparkgate.functions.names import (
     is_workbook,
     safe_execution_id_column,
 )
+from sparkgate.operators.key_bitmap import key_bitmaps, known_rows, orphan_rows
 from sparkgate.operators.ladder import label_rows, rejected_rows, surviving_rows
 from sparkgate.operators.merge import (
     ACTION_COL,
@@ -114,6 +115,36 @@ def ri_audit_spoiled(spark, sf_dir):
     )
 
 
+@query
+def ri_audit_bitmap(spark, sf_dir):
+    """The audit with the orders' ids as bitmaps."""
+    return audits.orphaned_order_items(
+        mapped.spoiled_order_items(spark, sf_dir), mapped.orders(spark, sf_dir), dense_keys=True
+    )
+
+
+def _in_deliveries(rows: DataFrame, key: str, add: Callable[[DataFrame, str], None]) -> None:
+    """Hand rows over in three deliveries, the last of which comes twice."""
+    delivery = F.pmod(F.coalesce(key, F.lit(0)), F.lit(3))
+    for n in (0, 1, 2, 2):
+        add(rows.filter(delivery == n), f"run:{n}")
+
+
+@query
+def products_sanity_incremental(spark, sf_dir):
+    """The audit over deliveries, each of which was read once, when it came."""
+    state = audits.AuditState(f"{StagingArea(spark, 'query').path}/audit")
+    _in_deliveries(mapped.spoiled_products(spark, sf_dir), "product_id", state.add_products)
+    return state.products_sanity(spark)
+
+
+@query
+def orders_sanity_incremental(spark, sf_dir):
+    state = audits.AuditState(f"{StagingArea(spark, 'query').path}/audit")
+    _in_deliveries(mapped.spoiled_orders(spark, sf_dir), "order_id", state.add_orders)
+    return state.orders_sanity(spark)
+
+
 # --- Single rules -------------------------------------------------------------------------------
 
 
@@ -142,6 +173,13 @@ _rule_pair(
     ),
     mapped.spoiled_order_items,
 )
+_rule_pair(
+    "fk_bitmap",
+    lambda spark, sf_dir: ReferentialIntegrityRule(
+        "order_id", mapped.orders(spark, sf_dir), "order_id", dense_keys=True
+    ),
+    mapped.spoiled_order_items,
+)
 _rule_pair(
     "ts_range",
     lambda *_: TimestampRangeRule("order_timestamp", MIN_TS, MAX_TS),
@@ -203,6 +241,14 @@ def order_items_look_ahead_rejects(spark, sf_dir):
     return rejected_rows(label_rows(items, rules, look_ahead=True), rules)
 
 
+@query
+def order_items_bitmap_rejects(spark, sf_dir):
+    """The whole chain of order items, looking at keys first, with the orders' ids as bitmaps."""
+    rules = order_items_rules(mapped.orders(spark, sf_dir), MIN_TS, MAX_TS, dense_keys=True)
+    items = mapped.spoiled_order_items(spark, sf_dir)
+    return rejected_rows(label_rows(items, rules, look_ahead=True), rules)
+
+
 class PriceCeilingRule(ValidationRule):
     """A user's own rule, written as a plain split."""
 
@@ -296,6 +342,18 @@ def join_semi_known(spark, sf_dir):
     return items.join(mapped.orders(spark, sf_dir).select("order_id"), "order_id", "left_semi")
 
 
+@query
+def join_anti_orphans_bitmap(spark, sf_dir):
+    bitmaps = key_bitmaps(mapped.orders(spark, sf_dir), "order_id")
+    return orphan_rows(mapped.spoiled_order_items(spark, sf_dir), "order_id", bitmaps)
+
+
+@query
+def join_semi_known_bitmap(spark, sf_dir):
+    bitmaps = key_bitmaps(mapped.orders(spark, sf_dir), "order_id")
+    return known_rows(mapped.spoiled_order_items(spark, sf_dir), "order_id", bitmaps)
+
+
 def _merge_sides(spark, sf_dir):
     return mapped.known_orders(spark, sf_dir), mapped.delivered_orders(spark, sf_dir), ["order_id"]
 

@@ -89,10 +89,12 @@ class AuditState:
             F.coalesce(F.sum("total"), F.lit(0)).alias("total_products"), F.coalesce(F.sum("nulls"), F.lit(0)).alias("null_pks")
         )
         keys = merged_bitmaps(self._kept(spark, "keys"))
-        departments = self._kept(spark, "departments").distinct().agg(F.count(F.lit(1)).alias("department_count"))
-        unique = keys.agg(key_count().alias("unique_products"))
-        joined = totals.join(F.broadcast(unique), F.lit(True)).join(F.broadcast(departments), F.lit(True))
-        return joined.select("total_products", "unique_products", "null_pks", "department_count")
+        departments = self._kept(spark, "departments").distinct().agg(F.count(F.lit(1)))
+        unique = keys.agg(key_count())
+        return totals.select(
+            "total_products", unique.scalar().alias("unique_products"), "null_pks",
+            departments.scalar().alias("department_count"),
+        )
 
     def add_orders(self, orders: DataFrame, delivery: str) -> None:
         """Keep what a delivery of orders adds."""
@@ -112,5 +114,5 @@ class AuditState:
             F.min("earliest").alias("earliest_order"), F.max("latest").alias("latest_order"),
         )
         keys = merged_bitmaps(self._kept(spark, "keys"))
-        joined = totals.join(F.broadcast(keys.agg(key_count().alias("unique_orders"))), F.lit(True))
-        return joined.select("total_orders", "unique_orders", "invalid_amounts", "earliest_order", "latest_order")
+        unique = keys.agg(key_count()).scalar().alias("unique_orders")
+        return totals.select("total_orders", unique, "invalid_amounts", "earliest_order", "latest_order")

@@ -254,6 +254,20 @@ def _windows(wanted, value, name, having=""):
     )
 
 
+def _transitions(breaching):
+    """Breaching periods in a row are one alarm: on at the end of its first, off a period after its last."""
+    return f"""
+        WITH marked AS (
+            SELECT *, lag(window_end) OVER own AS before, lead(window_start) OVER own AS after
+            FROM ({breaching}) WINDOW own AS (PARTITION BY job_name, environment ORDER BY window_start)
+        ), latest AS (SELECT max(time_bucket(INTERVAL 5 MINUTE, ts)) AS latest FROM events)
+        SELECT window_end AS changed_at, job_name, environment, 'ALARM' AS state FROM marked
+        WHERE before IS NULL OR before < window_start
+        UNION ALL
+        SELECT window_end + INTERVAL 5 MINUTE, job_name, environment, 'OK' FROM marked, latest
+        WHERE (after IS NULL OR after > window_end) AND window_end + INTERVAL 5 MINUTE <= latest"""
+
+
 def _products_sanity(rows):
     return f"""
         SELECT count(*) AS total_products, count(DISTINCT product_id) AS unique_products,
@@ -510,6 +524,10 @@ def build() -> dict[str, str]:
     sql["rejects_5m"] = rejects
     sql["alarm_value_spike_5m"] = f"SELECT * FROM ({rejects}) WHERE records_rejected > 100"
     sql["completions_5m"] = _windows("event = 'JOB_COMPLETE'", "count(*)", "completions")
+    sql["stream_errors_compacted_5m"] = errors
+    sql["alarm_transitions"] = _transitions(sql["alarm_errors_5m"])
+    sql["alarm_reject_transitions"] = _transitions(sql["alarm_value_spike_5m"])
+    sql["stream_alarm_transitions"] = sql["alarm_transitions"]
     for name in ("errors_5m", "value_spike_5m", "completions_5m"):
         sql[f"stream_{name}"] = sql[name if name in sql else f"alarm_{name}"]
     return sql

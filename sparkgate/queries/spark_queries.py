@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
+from functools import partial
 
 import pyspark.sql.functions as F
 from pyspark.sql import DataFrame, SparkSession
@@ -824,31 +825,66 @@ def _stream_session(spark: SparkSession) -> SparkSession:
     return session
 
 
-def _register_stream(name: str, metric: Callable[..., DataFrame]) -> None:
-    def run(spark, sf_dir):
-        """All windows, as a stream keeps them that has read all events."""
-        session = _stream_session(spark)
-        base = StagingArea(spark, "query").path
-        events = (
-            session.readStream.schema(table(session, sf_dir, "events").schema)
-            .option("pathGlobFilter", "events.parquet")
-            .parquet(sf_dir)
-            .withColumn("ts", F.col("ts").cast("timestamp"))
-        )
-        windows = metric(mapped.run_events(events), late=LATE)
-        alarms.start_alarm_table(windows, f"{base}/windows", f"{base}/checkpoint").awaitTermination()
-        return (
-            alarms.read_alarm_table(spark, f"{base}/windows", windows.schema)
-            .withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
-            .withColumn("window_end", F.col("window_end").cast("timestamp_ntz"))
-        )
+def _in_order_of_time(events: DataFrame, folder: str, parts: int) -> None:
+    """Write events as files that come one after the other, as a stream takes them."""
+    second = F.unix_timestamp(F.col("ts").cast("timestamp"))
+    low, high = events.agg(F.min(second), F.max(second)).first()
+    place = F.floor((second - F.lit(low)) * parts / (F.lit(high) - F.lit(low) + 1))
+    for n in range(parts):
+        events.filter(place == n).coalesce(1).write.mode("append").parquet(folder)
+
+
+def _streamed(spark, sf_dir, metric, files_per_batch=None, base=None, **options) -> DataFrame:
+    """All windows, as a stream keeps them that has read all events."""
+    session = _stream_session(spark)
+    base = base or StagingArea(spark, "query").path
+    schema = table(session, sf_dir, "events").schema
+    reader = session.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
+    folder = sf_dir
+    if files_per_batch:
+        folder = f"{base}/events"
+        _in_order_of_time(table(session, sf_dir, "events"), folder, 6)
+        reader = session.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
+    events = reader.parquet(folder).withColumn("ts", F.col("ts").cast("timestamp"))
+    windows = metric(mapped.run_events(events), late=LATE)
+    alarms.start_alarm_table(windows, f"{base}/windows", f"{base}/checkpoint", **options).awaitTermination()
+    return (
+        alarms.read_alarm_table(spark, f"{base}/windows", windows.schema)
+        .withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+        .withColumn("window_end", F.col("window_end").cast("timestamp_ntz"))
+    )
 
-    QUERIES[name] = run
+
+def _register_stream(name: str, metric: Callable[..., DataFrame], **options) -> None:
+    QUERIES[name] = lambda spark, sf_dir: _streamed(spark, sf_dir, metric, **options)
 
 
 _register_stream("stream_errors_5m", alarms.error_counts)
 _register_stream("stream_value_spike_5m", alarms.reject_alarms)
 _register_stream("stream_completions_5m", alarms.completions)
+# The same windows from a table whose batches are put together as they go.
+_register_stream("stream_errors_compacted_5m", alarms.error_counts, files_per_batch=1, compact_every=2, open_for="2 hours")
+
+
+@query
+def alarm_transitions(spark, sf_dir):
+    """When the error alarm of each job turned on and off."""
+    events = mapped.run_events(table(spark, sf_dir, "events"))
+    return alarms.error_transitions(alarms.error_counts(events, quiet=True))
+
+
+@query
+def alarm_reject_transitions(spark, sf_dir):
+    """When the alarm on rejected records of each job turned on and off."""
+    events = mapped.run_events(table(spark, sf_dir, "events"))
+    return alarms.reject_transitions(alarms.reject_sums(events, quiet=True))
+
+
+@query
+def stream_alarm_transitions(spark, sf_dir):
+    """The error alarm's changes, from the windows that a stream keeps."""
+    quiet = partial(alarms.error_counts, quiet=True)
+    return alarms.error_transitions(_streamed(spark, sf_dir, quiet, files_per_batch=2))
 
 
 @query

@@ -166,3 +166,75 @@ def test_streamed_windows_equal_batch(spark, tmp_path, metric):
     batch = getattr(alarms, metric)(spark.createDataFrame(EVENTS, EVENTS_SCHEMA))
     assert values(found, found.columns[-1]) == values(batch, batch.columns[-1])
     assert found.agg(F.count("*")).first()[0] > 0
+
+
+def changes(frame):
+    return sorted((r.changed_at.minute, r.changed_at.hour, r.job_name, r.state) for r in frame.collect())
+
+
+def test_alarms_turn_on_and_off(spark):
+    events = [
+        event(0, "ERROR"), event(6, "ERROR"), event(12), event(31, "ERROR"), event(58), event(59, "ERROR", job="b"),
+    ]
+    windows = alarms.error_counts(spark.createDataFrame(events, EVENTS_SCHEMA), quiet=True)
+    assert windows.count() == 6
+    # Two periods in a row are one alarm; a silent period ends one; the last is still on.
+    assert changes(alarms.error_transitions(windows)) == sorted([
+        (5, 10, "a", "ALARM"), (15, 10, "a", "OK"), (35, 10, "a", "ALARM"), (40, 10, "a", "OK"), (0, 11, "b", "ALARM")])
+    assert changes(alarms.error_transitions(windows, threshold=2)) == []
+    rejects = [event(1, rejected=101), event(2, rejected=None), event(7, rejected=100), event(20, rejected=60), event(21, rejected=60)]
+    sums = alarms.reject_sums(spark.createDataFrame(rejects, EVENTS_SCHEMA), quiet=True)
+    assert changes(alarms.reject_transitions(sums)) == [(5, 10, "a", "ALARM"), (10, 10, "a", "OK"), (25, 10, "a", "ALARM")]
+    empty = alarms.error_counts(spark.createDataFrame([], EVENTS_SCHEMA), quiet=True)
+    assert changes(alarms.error_transitions(empty)) == []
+
+
+def files_below(folder):
+    return sorted(f"{place}/{f}" for place, _, files in os.walk(folder) for f in files if f.endswith(".parquet"))
+
+
+def test_an_alarm_table_does_not_grow_with_its_batches(spark, tmp_path):
+    path, schema = str(tmp_path / "alarms"), "window_start timestamp, window_end timestamp, job_name string, environment string, errors long"
+    schema = spark.createDataFrame([], schema).schema
+
+    def batch(number, *rows):
+        full = [(datetime(2025, 4, d, 10, m), datetime(2025, 4, d, 10, m + 5), "a", "dev", n) for d, m, n in rows]
+        spark.createDataFrame(full, schema).coalesce(1).write.parquet(f"{path}/batches/batch_id={number}")
+
+    def found(**options):
+        return sorted((r.window_start.day, r.window_start.minute, r.errors) for r in alarms.read_alarm_table(spark, path, schema, **options).collect())
+
+    batch(0, (1, 0, 1), (1, 5, 1))
+    batch(1, (1, 5, 2), (2, 0, 1))
+    batch(2, (2, 0, 3), (2, 5, 1))
+    expected = [(1, 0, 1), (1, 5, 2), (2, 0, 3), (2, 5, 1)]
+    assert found() == expected
+    assert alarms.compact_alarm_table(spark, path, schema, datetime(2025, 4, 2, 10, 6)) == 2
+    assert found() == expected and sorted(os.listdir(f"{path}/batches")) == ["batch_id=2"]
+    assert alarms.compact_alarm_table(spark, path, schema, datetime(2025, 4, 2, 10, 6)) == 0
+    batch(3, (2, 10, 4), (3, 0, 1))
+    # A window that was put away changes all the same.
+    batch(4, (1, 0, 9))
+    expected = [(1, 0, 9), (1, 5, 2), (2, 0, 3), (2, 5, 1), (2, 10, 4), (3, 0, 1)]
+    assert found() == expected
+    assert alarms.compact_alarm_table(spark, path, schema, datetime(2025, 4, 9)) == 3
+    assert found() == expected and os.listdir(f"{path}/batches") == []
+    assert sorted(n for n in os.listdir(f"{path}/closed") if "=" in n) == [f"day=2025-04-0{d}" for d in (1, 2, 3)]
+    assert len(files_below(path)) == 3
+    assert found(since=date(2025, 4, 2)) == [x for x in expected if x[0] >= 2]
+    plan = alarms.read_alarm_table(spark, path, schema, since=date(2025, 4, 2))._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan
+
+
+def test_a_stream_keeps_its_alarm_table_small(spark, tmp_path):
+    folder = tmp_path / "events"
+    for n in range(6):
+        rows = [(datetime(2025, 4, 1 + n, 10, 7), "ERROR", "E", "a", "dev", "x", "t", "", None, None)]
+        spark.createDataFrame(rows, EVENTS_SCHEMA).coalesce(1).write.mode("append").json(str(folder))
+    stream = spark.readStream.schema(EVENTS_SCHEMA).option("maxFilesPerTrigger", 1).json(str(folder))
+    windows = alarms.error_counts(stream, late="10 minutes")
+    path = str(tmp_path / "alarms")
+    alarms.start_alarm_table(windows, path, str(tmp_path / "c"), compact_every=2).awaitTermination()
+    assert alarms.read_alarm_table(spark, path, windows.schema).count() == 6
+    assert len([n for n in os.listdir(f"{path}/batches") if "=" in n]) <= 3
+    assert len([n for n in os.listdir(f"{path}/closed") if "=" in n]) >= 3

@@ -31,9 +31,9 @@ STAR_ROUNDS = 2
 # similarity is not compared in full: 3 in a million links of just that similarity.
 PLANES, SKETCH_WORDS, SKETCH_BITS, DEVIATIONS = 4, 4, 63, 4.5
 # Words a worker remembers the hashes of.
-KNOWN_WORDS = 150_000
+KNOWN_WORDS = 50_000
 # Texts are signed in groups of about so many characters.
-GROUP_CHARS = 1_000_000
+GROUP_CHARS = 500_000
 
 _WORD = re.compile("[^ \t-\r]+")
 _ODD = np.uint64(0x9E3779B97F4A7C15)

@@ -90,3 +90,16 @@ def test_cut():
     assert packing.cut(1) == [(0, 1)]
     assert packing.cut(1024) == [(0, 1024)]
     assert packing.cut(2049) == [(0, 1), (1, 1024), (1025, 1024)]
+
+
+def test_the_bound_binds_and_costs_little(spark):
+    rng = random.Random(3)
+    sizes = [min(1024, int(rng.lognormvariate(6, 1)) + 1) for _ in range(15_000)]
+    fit = packing.BestFit(packing.CAPACITY, packing.OPEN_BINS)
+    for at in range(0, len(sizes), packing.WINDOW_PIECES):
+        for size in sorted(sizes[at : at + packing.WINDOW_PIECES], reverse=True):
+            fit.place(size)
+    assert fit.closed > 100
+    rows = [(n, 0, 0, size, n) for n, size in enumerate(sizes)]
+    packed = packing.pack(spark.createDataFrame(rows, "doc_id long, piece int, start long, length long, ids_crc32 long"))
+    assert sound(packed.collect()) <= 1.02 * -(-sum(sizes) // 1024)

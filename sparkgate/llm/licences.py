@@ -404,16 +404,6 @@ FROM d LEFT JOIN own USING (doc_id) LEFT JOIN inherited i ON i.folder = d.folder
 
 
 def document_path() -> Column:
-    """Where the given documents would lie: their source, then folders of a thousand and of ten."""
-    return F.concat_ws("/", "source", F.expr("doc_id div 1000"), F.expr("doc_id div 10"), "doc_id")
-
-
-# The same in SQL.
-ORACLE_PATH = "concat_ws('/', source, doc_id // 1000, doc_id // 10, doc_id)"
-ORACLE_SQL = _oracle_sql(ORACLE_PATH)
-
-
-def nested_path() -> Column:
     """The given documents at three depths, as in repositories: of three, one lies in its source,
     one in a folder of a thousand, and one in a folder of a hundred below that.
     """
@@ -422,8 +412,8 @@ def nested_path() -> Column:
 
 
 # The same in SQL.
-NESTED_ORACLE_PATH = (
+ORACLE_PATH = (
     "concat_ws('/', source, CASE WHEN doc_id % 3 > 0 THEN doc_id // 1000 END, "
     "CASE WHEN doc_id % 3 > 1 THEN doc_id // 100 END, doc_id)"
 )
-NESTED_ORACLE_SQL = _oracle_sql(NESTED_ORACLE_PATH)
+ORACLE_SQL = _oracle_sql(ORACLE_PATH)

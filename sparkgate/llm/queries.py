@@ -24,10 +24,6 @@ def op4_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.licences(table(spark, sf_dir, "documents"), path=licences.document_path())
 
 
-def op4_licence_scan_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licences.licences(table(spark, sf_dir, "documents"), path=licences.nested_path())
-
-
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.languages(table(spark, sf_dir, "documents"))
 
@@ -69,7 +65,6 @@ QUERIES = {
     "op2_exact_dedup": op2_exact_dedup,
     "op3_near_dedup": op3_near_dedup,
     "op4_licence_scan": op4_licence_scan,
-    "op4_licence_scan_nested": op4_licence_scan_nested,
     "op5_language_id": op5_language_id,
     "op6_word_bpe": op6_word_bpe,
     "op7_warc_zstd": op7_warc_zstd,
@@ -85,7 +80,6 @@ QUERIES = {
 ORACLE_SQL = {
     "op2_exact_dedup": exact.ORACLE_SQL,
     "op4_licence_scan": licences.ORACLE_SQL,
-    "op4_licence_scan_nested": licences.NESTED_ORACLE_SQL,
     "op7_warc_zstd": warc.ORACLE_SQL,
     "op8_secret_scan": secrets.ORACLE_SQL,
     "op12_hard_negatives": lemp.ORACLE_SQL,

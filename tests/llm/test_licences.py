@@ -1,4 +1,7 @@
+import math
 import os
+import random
+from collections import Counter
 
 import pyspark.sql.functions as F
 import pytest
@@ -68,10 +71,10 @@ def test_folders_above_give_their_licence_in_the_given_tables(spark):
     folder = os.path.join(os.path.dirname(SF_DIR), "sf0.01")
     if not os.path.isdir(folder):
         pytest.skip("test tables not at hand")
-    found = queries.op4_licence_scan_nested(spark, folder)
-    assert differences(found, connect(folder), licences.NESTED_ORACLE_SQL) == ""
+    found = queries.op4_licence_scan(spark, folder)
+    assert differences(found, connect(folder), licences.ORACLE_SQL) == ""
     documents = spark.read.parquet(f"{folder}/documents.parquet")
-    places = documents.select("doc_id", licences.directory(licences.nested_path()).alias("folder"))
+    places = documents.select("doc_id", licences.directory(licences.document_path()).alias("folder"))
     rows = found.join(places, "doc_id").collect()
     holders = {r.folder for r in rows if r.found_in == "file"}
     inherited = [r for r in rows if r.found_in == "folder"]
@@ -114,3 +117,79 @@ def test_whole_licence_texts_and_wrapped_headers(spark):
     assert found[9] == ("MIT", "block") and found[10] == ("LGPL-3.0", "block")
     assert [found[i] for i, _, _ in files] == [(name, "file") for name, _ in WHOLE]
     assert {found[i] for i in (8, *range(100, 160))} == {(None, None)}
+
+
+def by_hand(texts):
+    """licence, found_in and cosine of each text: every line, run and whole text against every template."""
+    terms = {i: licences.terms_of(text) for i, text in texts}
+    known = set(licences.LONG_VOCABULARY)
+    held = Counter(term for words in terms.values() for term in known & set(words))
+    idf = {term: licences._idf(len(texts), held[term]) for term in known}
+    other = licences._idf(len(texts), 1)
+    short, long = licences._vectors(idf), licences._vectors(idf, licences.LONG)
+
+    own = {term: idf[term] for term in licences.VOCABULARY}
+
+    def cosine(words, vector, known=idf):
+        """Terms that no template of the kind holds weigh as if one text had them."""
+        weights = {t: (1 + math.log(n)) * known.get(t, other) for t, n in Counter(words).items()}
+        norm = math.sqrt(sum(w * w for w in weights.values()))
+        dot = sum(w * vector.get(t, 0.0) for t, w in weights.items())
+        return round(dot / norm, licences.DIGITS) if norm else 0.0
+
+    out = {}
+    for i, text in texts:
+        found = []
+        for (licence, _), vector in zip(licences.TEMPLATES, short):
+            for line in text.split("\n"):
+                c = cosine(licences.terms_of(line), vector, own)
+                found += [(1, -c, licence, "line")] if c >= licences.LINE_COSINE else []
+            c = cosine(terms[i], vector, own)
+            found += [(1, -c, licence, "file")] if c >= licences.FILE_COSINE else []
+        for (licence, body, least), vector in zip(licences.LONG, long):
+            sentence = least == licences.LINE_COSINE
+            c = cosine(terms[i], vector)
+            found += [(0, -c, licence, "file")] if c >= licences.FILE_COSINE and not sentence else []
+            if least is not None:
+                width = len(licences.terms_of(body))
+                for at in range(0, max(len(terms[i]) - width, 0) + 1, max(1, width // licences.STEPS)):
+                    c = cosine(terms[i][at : at + width], vector)
+                    found += [(int(sentence), -c, licence, "block")] if c >= least else []
+        if found:
+            _, less, licence, place = min(found)
+            out[i] = (licence, "file" if any(x[3] == "file" for x in found) else place, -less)
+        else:
+            out[i] = (None, None, None)
+    return out
+
+
+def test_filters_against_all_lines_runs_and_templates(spark, given):
+    """Given texts, licence texts cut short, and notices with words changed: some near, some just not."""
+    rng = random.Random(6)
+    pool = [r.text or "" for r in given("documents").select("text").limit(60).collect()]
+    texts = [text[:1500] for text in pool]
+    sources = [body for _, body, _ in licences.LONG] + [body for _, body in licences.TEMPLATES]
+    for n in range(150):
+        words = sources[n % len(sources)].split()
+        words = words[: rng.choice([60, 120, 300])]
+        for _ in range(int(len(words) * rng.choice([0, 0.1, 0.25, 0.4]))):
+            words[rng.randrange(len(words))] = rng.choice(["other", "thing", "the", "software", "license"])
+        body = "".join(word + rng.choice([" ", " ", " ", "\n * "]) for word in words)
+        around = " ".join(rng.choice(pool).split()[: rng.choice([0, 0, 30, 120])])
+        texts.append(f"{around}\n{body}\n{around}")
+    rows = list(enumerate(texts))
+    found = licences.licences(documents(spark, [(i, text, "en") for i, text in rows])).collect()
+    expected = by_hand(rows)
+    kinds = Counter(place for _, place, _ in expected.values())
+    assert min(kinds[place] for place in ("line", "file", "block", None)) >= 5, kinds
+    for r in found:
+        licence, place, cosine = expected[r.doc_id]
+        assert (r.licence, r.found_in) == (licence, place), (r, expected[r.doc_id])
+        assert cosine is None or abs(r.cosine - cosine) <= 2e-6
+
+
+def test_null_sources(spark):
+    rows = [(1, "Released under the MIT License.", "en"), (11, WORDS, "en"), (2, None, "en")]
+    docs = documents(spark, rows).withColumn("source", F.lit(None).cast("string"))
+    found = licences.licences(docs, path=licences.document_path())
+    assert {r.doc_id: r.found_in for r in found.collect()}[1] == "file" and found.count() == 3

@@ -8,7 +8,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,12 +28,36 @@ def staging_root(spark: SparkSession) -> str:
     return tempfile.gettempdir()
 
 
+_open_scope: ContextVar[list[StagingArea] | None] = ContextVar("open_scope", default=None)
+
+
+@contextmanager
+def staging_scope() -> Iterator[None]:
+    """Clears at its end every staging area made inside, in this thread.
+
+    Operators return frames that read what they have staged, so that must stay until the frame has
+    been used: use it inside the scope, for instance write it. Without a scope staged tables lie in
+    the checkpoint folder until that goes.
+    """
+    areas: list[StagingArea] = []
+    token = _open_scope.set(areas)
+    try:
+        yield
+    finally:
+        _open_scope.reset(token)
+        for area in areas:
+            area.clear()
+
+
 class StagingArea:
     """A private folder for the intermediate tables of one run."""
 
     def __init__(self, spark: SparkSession, label: str = "run") -> None:
         self._spark = spark
         self.path = f"{staging_root(spark)}/sparkgate/{label}-{uuid.uuid4().hex}"
+        scope = _open_scope.get()
+        if scope is not None:
+            scope.append(self)
 
     def write(
         self, df: DataFrame, name: str, *, partition_by: Sequence[str] = ()
@@ -41,6 +67,11 @@ class StagingArea:
         df.write.partitionBy(*partition_by).parquet(location)
         return self._spark.read.schema(df.schema).parquet(location).select(*[f"`{c}`" for c in df.columns])
 
+    def drop(self, *names: str) -> None:
+        """Delete these tables, where they exist. Frames read from them must not be used any more."""
+        for name in names:
+            hadoop.remove(self._spark, f"{self.path}/{name}")
+
     def clear(self) -> None:
         """Delete the folder. Frames read from it must not be used any more."""
         hadoop.remove(self._spark, self.path)

@@ -219,3 +219,29 @@ def test_name_columns(spark):
     assert archive_folder(date(2025, 4, 9)) == "YYYY=2025/MM=04/DD=09"
     bucket = spark.createDataFrame([("s3://b/",), ("b",)], "b string").select(bucket_name(F.col("b")))
     assert [r[0] for r in bucket.collect()] == ["b", "b"]
+
+
+def test_a_scope_clears_what_was_staged_inside(spark, tmp_path):
+    from sparkgate.sources.staging import StagingArea, staging_root, staging_scope
+
+    def left():
+        return {name for name in os.listdir(f"{staging_root(spark)}/sparkgate")}
+
+    outer = StagingArea(spark, "outer")
+    kept = outer.write(spark.range(3).toDF("n"), "kept")
+    before = left()
+    with staging_scope():
+        inner = StagingArea(spark, "inner").write(spark.range(9).toDF("n"), "rows")
+        with staging_scope():
+            StagingArea(spark, "innermost").write(inner, "rows")
+            assert len(left() - before) == 2
+        assert len(left() - before) == 1
+        result = outer.write(inner.filter("n > 5"), "result")
+    assert left() == before and result.count() == kept.count() == 3
+    with pytest.raises(ValueError, match="stop"):
+        with staging_scope():
+            StagingArea(spark, "inner").write(spark.range(2).toDF("n"), "rows")
+            raise ValueError("stop")
+    assert left() == before
+    outer.drop("kept")
+    assert os.listdir(outer.path) == ["result"]

@@ -38,6 +38,7 @@ def components(links: DataFrame, first: str = "a", second: str = "b") -> DataFra
             hung.select(F.col("m").alias("low"), "high")
         )
         edges = area.write(small.filter("low <> high").distinct(), f"links_{turn}")
+        area.drop(f"links_{turn - 1}")
         state = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("low", "high").cast("decimal(38,0)"))).first()
         if state == seen:
             break

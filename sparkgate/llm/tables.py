@@ -7,7 +7,6 @@ from collections.abc import Sequence
 import pyspark.sql.functions as F
 from pyspark.sql import Column, DataFrame, SparkSession
 
-from sparkgate.sources import hadoop
 from sparkgate.sources.staging import StagingArea
 
 # A hot key's rows are counted in this many parts before the parts are summed.
@@ -26,26 +25,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def stage(df: DataFrame, name: str) -> DataFrame:
     """df computed once, kept as Parquet in the shared checkpoint folder, and read back.
 
-    Frames built on it stay lazy, so the folder outlives the call; it goes with the checkpoint
-    folder of the session.
+    Frames built on it stay lazy, so the folder outlives the call; it goes with the staging scope
+    around it, or with the checkpoint folder of the session.
     """
     return StagingArea(df.sparkSession, "llm").write(df, name)
 
 
-class Scratch:
-    """Intermediate tables of one operator, in one folder, each removed when it is done with."""
-
-    def __init__(self, spark: SparkSession, label: str = "llm") -> None:
-        self._spark, self._area = spark, StagingArea(spark, label)
+class Scratch(StagingArea):
+    """Intermediate tables of one operator, in one folder, each dropped when it is done with."""
 
     def stage(self, df: DataFrame, name: str) -> DataFrame:
         """df computed once, kept under that name until it is dropped."""
-        return self._area.write(df, name)
-
-    def drop(self, *names: str) -> None:
-        """Remove these tables, where they exist. Nothing may be read from them any more."""
-        for name in names:
-            hadoop.remove(self._spark, f"{self._area.path}/{name}")
+        return self.write(df, name)
 
 
 def private_folder(spark: SparkSession, name: str) -> str:

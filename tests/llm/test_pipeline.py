@@ -18,7 +18,7 @@ from conftest import SF_DIR  # noqa: E402
 def test_names():
     found = __spark_entry__.queries()
     assert "pipeline" in found
-    assert sorted({int(n[2:].split("_")[0]) for n in found if re.match(r"op\d+_", n)}) == list(range(1, 11))
+    assert sorted({int(n[2:].split("_")[0]) for n in found if re.match(r"op\d+_", n)}) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
@@ -102,3 +102,23 @@ def test_each_row_follows_its_own_verdict(spark):
     assert (0, f"{third} without an id") in single
     spaced = documents(spark, [(1, third, "en"), (2, loose, "en"), (3, other, "en"), (None, third, "en")])
     assert texts(corpus_pipeline.drop_near_copies(spark, spaced, SF_DIR)) == [(0, third), (1, third), (3, other)]
+
+
+def test_a_run_leaves_only_its_last_tables(spark, given, monkeypatch):
+    import os
+
+    from sparkgate.sources.staging import staging_root, staging_scope
+
+    given("documents")
+    folder = f"{staging_root(spark)}/sparkgate"
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    with staging_scope():
+        rows = corpus_pipeline.run(spark, SF_DIR)
+        assert rows.count() > 0
+        made = set(os.listdir(folder)) - before
+        assert {name.rpartition("-")[0] for name in made} == {"pipeline", "llm"}
+        pipeline = next(name for name in made if name.startswith("pipeline"))
+        assert os.listdir(f"{folder}/{pipeline}") == ["secret_scan"]
+        # The pieces that the last stage packs.
+        assert len([name for name in made if name.startswith("llm")]) == 1
+    assert set(os.listdir(folder)) == before

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 
 from sparkgate.llm import exact, langid, near, packing, secrets
 from sparkgate.llm.tables import narrow_enough, stage, table
+from sparkgate.sources.staging import StagingArea, staging_scope
 
 # Languages less sure than this are rejected: the chance of a coin toss at each of two choices.
 LEAST_SURE = 0.25
@@ -76,8 +77,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents."""
+    """All stages over documents. What a stage stores on its way goes once its result is written."""
     docs = table(spark, sf_dir, "documents")
+    written = StagingArea(spark, "pipeline")
+    before = None
     for name, step in STAGES[:-1]:
-        docs = stage(step(spark, docs, sf_dir), name)
+        with staging_scope():
+            docs = written.write(step(spark, docs, sf_dir), name)
+        if before:
+            written.drop(before)
+        before = name
     return STAGES[-1][1](spark, docs, sf_dir)

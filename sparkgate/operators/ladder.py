@@ -19,11 +19,13 @@ from sparkgate.operators.rules import (
     MarkingRule,
     PredicateRule,
     StatefulRule,
+    UniqueKeyRule,
     ValidationRule,
 )
 from sparkgate.operators.skew import (
     BROADCAST_BYTES,
     DEFAULT_HOT_ROWS,
+    comparable_columns,
     quoted,
     spread,
 )
@@ -110,6 +112,30 @@ def label_rows(
     return frame.select(*quoted(carried), label.alias(RULE_COL))
 
 
+def narrowed_to_count(
+    df: DataFrame, rules: Sequence[ValidationRule], *, order_by: Sequence[str] = ()
+) -> DataFrame:
+    """df with the columns that decide how many rows fail each rule, in their order.
+
+    Besides the columns that rules read these are the ones that tell which row of a duplicated key
+    is the first: up to the last that a later rule reads. Rows that are alike up to there are alike
+    to all later rules, so it does not matter which of them stays. With a rule that does not tell
+    what it reads, all columns are needed.
+    """
+    reads = [rule.columns_read() for rule in rules]
+    if any(columns is None for columns in reads):
+        return df
+    needed = {name for columns in reads for name in columns}
+    for place, rule in enumerate(rules):
+        if isinstance(rule, UniqueKeyRule):
+            later = {name for columns in reads[place + 1 :] for name in columns} - set(rule.keys)
+            order = [*(rule.order_by or order_by)]
+            order += [name for name in comparable_columns(df) if name not in order and name not in rule.keys]
+            last = max((n for n, name in enumerate(order) if name in later), default=-1)
+            needed.update(order[: last + 1])
+    return df.select(*quoted([name for name in df.columns if name in needed]))
+
+
 def _split_with(frame: DataFrame, rule: ValidationRule, place: int) -> DataFrame:
     """Apply a rule that splits for itself, keeping the reason it gives."""
     alive = frame.filter(F.col(RULE_COL).isNull()).drop(RULE_COL, REASON_COL)

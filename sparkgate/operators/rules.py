@@ -73,6 +73,10 @@ class ValidationRule(ABC):
     def validate(self, df: DataFrame) -> tuple[DataFrame, DataFrame]:
         """(valid, invalid) rows of df; invalid has the added column ``__error_reason__``."""
 
+    def columns_read(self) -> list[str] | None:
+        """Columns that decide whether a row fails; None if that cannot be told."""
+        return None
+
 
 class MarkingRule(ValidationRule):
     """A rule the ladder can apply without splitting the frame."""
@@ -127,6 +131,9 @@ class ColumnRule(PredicateRule):
     def rule_name(self) -> str:
         return f"{self.kind}:{self.column}"
 
+    def columns_read(self) -> list[str] | None:
+        return [self.column]
+
     @property
     def reason(self) -> str:
         return self.reason_format.format(column=self.column)
@@ -208,6 +215,9 @@ class UniqueKeyRule(StatefulRule):
     def rule_name(self) -> str:
         return f"unique_key:{'|'.join(self.keys)}"
 
+    def columns_read(self) -> list[str] | None:
+        return [*self.keys, *self.order_by]
+
     @property
     def reason(self) -> str:
         return DUPLICATE_REASON.format(keys=self.keys)
@@ -281,6 +291,9 @@ class ReferentialIntegrityRule(StatefulRule):
     def rule_name(self) -> str:
         return f"referential_integrity:{self.fk}"
 
+    def columns_read(self) -> list[str] | None:
+        return [self.fk]
+
     @property
     def reason(self) -> str:
         return ORPHAN_REASON.format(column=self.fk, ref_column=self.ref_column)

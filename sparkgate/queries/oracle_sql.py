@@ -425,6 +425,7 @@ def build() -> dict[str, str]:
         f"SELECT * REPLACE (upper(product_name) AS product_name) FROM ({sql['products_validate_rejects']})"
     )
     sql["stream_products_load"] = sql["products_validate_valid"]
+    sql["stream_retried_rejects"] = sql["products_validate_rejects"]
     sql["jobs_orders_table"] = sql["orders_validate_valid"]
     loaded = f"EXISTS (SELECT 1 FROM ({sql['orders_validate_valid']}) o WHERE o.order_id = t.order_id)"
     steps = [(n, r, f"NOT {loaded}" if f == FK_FAILS else f) for n, r, f in ITEM_STEPS]
@@ -474,6 +475,8 @@ def build() -> dict[str, str]:
         "SELECT CASE WHEN product_id % 97 = 0 THEN NULL ELSE product_id END AS product_id, "
         f"department_id, department, product_name FROM ({PRODUCTS})"
     )
+    sql["listed_files"] = f"SELECT DISTINCT department_id, CAST(1 AS BIGINT) AS files FROM ({PRODUCTS})"
+    sql["archived_files"] = PRODUCTS
     sql["json_lines_scan"] = SPOILED_ORDER_ITEMS
     sql["excel_scan"] = SPOILED_ORDERS
     sql["defect_injection"] = SPOILED_ORDERS

@@ -7,6 +7,7 @@ from datetime import date
 from functools import partial
 
 import pyspark.sql.functions as F
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -21,7 +22,7 @@ from sparkgate.functions.names import (
     safe_execution_id_column,
 )
 from sparkgate.operators.key_bitmap import key_bitmaps, known_rows, orphan_rows
-from sparkgate.operators.ladder import label_rows, rejected_rows, surviving_rows
+from sparkgate.operators.ladder import label_rows, narrowed_to_count, rejected_rows, surviving_rows
 from sparkgate.operators.merge import (
     ACTION_COL,
     merge_actions,
@@ -41,6 +42,7 @@ from sparkgate.operators.rules import (
 )
 from sparkgate.operators.validation import rule_results, validation_summary
 from sparkgate.plans import audits
+from sparkgate.plans.full_run import archive_file
 from sparkgate.plans.jobs import TableJob, run_table_job
 from sparkgate.plans.rule_sets import order_items_rules, orders_rules, products_rules
 from sparkgate.queries import mapped
@@ -50,7 +52,7 @@ from sparkgate.settings import RunSettings, StorageSettings
 from sparkgate.sources import catalog
 from sparkgate.sources.catalog import follow_schema, register_table
 from sparkgate.sources.excel import parse_workbooks
-from sparkgate.sources.landing import read_csv, read_json_lines, write_json_lines
+from sparkgate.sources.landing import list_files, read_csv, read_json_lines, write_json_lines
 from sparkgate.sources.quarantine import read_quarantine, write_to_quarantine
 from sparkgate.sources.run_metrics import read_metrics
 from sparkgate.sources.staging import StagingArea
@@ -270,19 +272,22 @@ def custom_rule_rejects(spark, sf_dir):
 # --- Rule chains --------------------------------------------------------------------------------
 
 
-def _products_chain(spark, sf_dir):
-    rules = products_rules()
-    return label_rows(mapped.spoiled_products(spark, sf_dir), rules), rules
+def _labelled(rows, rules, counted=False):
+    """The rows with their labels, or only what it takes to count labels."""
+    return label_rows(narrowed_to_count(rows, rules) if counted else rows, rules), rules
 
 
-def _orders_chain(spark, sf_dir):
-    rules = orders_rules(MIN_TS, MAX_TS)
-    return label_rows(mapped.spoiled_orders(spark, sf_dir), rules), rules
+def _products_chain(spark, sf_dir, **options):
+    return _labelled(mapped.spoiled_products(spark, sf_dir), products_rules(), **options)
 
 
-def _order_items_chain(spark, sf_dir):
+def _orders_chain(spark, sf_dir, **options):
+    return _labelled(mapped.spoiled_orders(spark, sf_dir), orders_rules(MIN_TS, MAX_TS), **options)
+
+
+def _order_items_chain(spark, sf_dir, **options):
     rules = order_items_rules(mapped.orders(spark, sf_dir), MIN_TS, MAX_TS)
-    return label_rows(mapped.spoiled_order_items(spark, sf_dir), rules), rules
+    return _labelled(mapped.spoiled_order_items(spark, sf_dir), rules, **options)
 
 
 _CHAINS = {
@@ -300,10 +305,10 @@ def _register_chain(name: str, chain: Callable) -> None:
         return surviving_rows(chain(spark, sf_dir)[0])
 
     def results(spark, sf_dir):
-        return rule_results(*chain(spark, sf_dir))
+        return rule_results(*chain(spark, sf_dir, counted=True))
 
     def summary(spark, sf_dir):
-        return validation_summary(chain(spark, sf_dir)[0])
+        return validation_summary(chain(spark, sf_dir, counted=True)[0])
 
     QUERIES[f"{name}_validate_rejects"] = rejects
     QUERIES[f"{name}_validate_valid"] = valid
@@ -319,7 +324,7 @@ for _name, _chain in _CHAINS.items():
 def threshold_gate_report(spark, sf_dir):
     """Per table, whether its reject ratio is above the limit."""
     return union_frames(
-        validation_summary(chain(spark, sf_dir)[0]).select(
+        validation_summary(chain(spark, sf_dir, counted=True)[0]).select(
             F.lit(name).alias("table_name"),
             "failure_ratio",
             (F.col("failure_ratio") > GATE_LIMIT).alias("over_limit"),
@@ -678,6 +683,36 @@ def csv_scan(spark, sf_dir):
     return read_csv(spark, base, rows.schema)
 
 
+def _landed_products(spark, sf_dir) -> str:
+    """A landing folder with a subfolder of products per department."""
+    base = f"{StagingArea(spark, 'query').path}/landing"
+    rows = mapped.products(spark, sf_dir).withColumn("folder", F.col("department_id"))
+    rows.repartition("folder").write.partitionBy("folder").option("header", "true").csv(base)
+    return base
+
+
+@query
+def listed_files(spark, sf_dir):
+    """Files of a landing folder and its subfolders, counted by subfolder."""
+    found = list_files(spark, _landed_products(spark, sf_dir), F.col("file_name").endswith(".csv"))
+    folder = F.regexp_extract("path", "folder=([^/]+)", 1).cast("int")
+    return found.groupBy(folder.alias("department_id")).agg(F.count_if(F.col("length") > 0).alias("files"))
+
+
+@query
+def archived_files(spark, sf_dir):
+    """Products read from the archive, after all files of the landing folder were moved there."""
+    base = f"{StagingArea(spark, 'query').path}/landing"
+    rows = mapped.products(spark, sf_dir)
+    rows.repartition(5).write.option("header", "true").csv(base)
+    for row in list_files(spark, base, F.col("file_name").endswith(".csv")).select("path").toLocalIterator():
+        archive_file(spark, row.path, f"{base}-archive")
+    if not list_files(spark, base).isEmpty():
+        raise AssertionError("files are left in the landing folder")
+    reader = spark.read.option("recursiveFileLookup", "true").option("header", "true")
+    return reader.schema(rows.schema).csv(f"{base}-archive")
+
+
 @query
 def json_lines_scan(spark, sf_dir):
     """Order items, some fields null, through JSON lines."""
@@ -887,13 +922,9 @@ def stream_alarm_transitions(spark, sf_dir):
     return alarms.error_transitions(_streamed(spark, sf_dir, quiet, files_per_batch=2))
 
 
-@query
-def stream_products_load(spark, sf_dir):
-    """Products arriving as CSV files, loaded by a stream of gated batches."""
-    base = StagingArea(spark, "query").path
+def _load_stream(spark, sf_dir, base, limit=1.0):
     rows = mapped.spoiled_products(spark, sf_dir)
-    rows.write.option("header", "true").csv(f"{base}/landing")
-    settings = _settings(base)
+    settings = _settings(base, limit)
     job = _job("products", rows.schema, ["product_id"], [], products_rules())
     start_table_load(
         spark,
@@ -902,4 +933,26 @@ def stream_products_load(spark, sf_dir):
         settings,
         f"{base}/checkpoint",
     ).awaitTermination()
-    return read_table(spark, settings.storage.table_path("products"))
+    return settings.storage
+
+
+@query
+def stream_products_load(spark, sf_dir):
+    """Products arriving as CSV files, loaded by a stream of gated batches."""
+    base = StagingArea(spark, "query").path
+    mapped.spoiled_products(spark, sf_dir).write.option("header", "true").csv(f"{base}/landing")
+    return read_table(spark, _load_stream(spark, sf_dir, base).table_path("products"))
+
+
+@query
+def stream_retried_rejects(spark, sf_dir):
+    """What quarantine holds once a batch that its gate refused has come again under a higher limit."""
+    base = StagingArea(spark, "query").path
+    mapped.spoiled_products(spark, sf_dir).write.option("header", "true").csv(f"{base}/landing")
+    try:
+        _load_stream(spark, sf_dir, base, limit=0.0)
+    except StreamingQueryException:
+        storage = _load_stream(spark, sf_dir, base)
+        rejects = read_quarantine(spark, storage.quarantine_base_path, "products")
+        return rejects.drop("table", "run_date", "execution_id")
+    raise AssertionError("the gate let the batch pass")

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import contextlib
+import random
 import re
+from datetime import date, datetime
 
 import pyspark.sql.functions as F
 import pytest
@@ -200,3 +202,35 @@ def test_splitting_rules_do_not_repeat_what_came_before(spark):
     assert "Window" not in plan_of(labelled)
     counts = {r["__rule__"]: r["count"] for r in labelled.groupBy("__rule__").count().collect()}
     assert counts == {None: 60, 0: 10, 1: 10, 2: 10, 3: 10, 4: 10}
+
+
+def test_counting_reads_only_what_decides(spark, tmp_path):
+    from sparkgate.operators.ladder import narrowed_to_count
+    from sparkgate.operators.validation import validation_summary
+    from sparkgate.plans.rule_sets import orders_rules
+    from sparkgate.schemas import ORDERS_SCHEMA, raw_schema
+
+    rng = random.Random(2)
+    rows = [
+        (rng.randrange(4), rng.choice([None, *range(30)]), rng.choice([None, 1, 2]),
+         datetime(2025, 1, rng.randrange(1, 4)), rng.choice([-1.0, 0.0, 5.0]), date(2025, 1, rng.randrange(1, 28)))
+        for _ in range(400)
+    ]
+    spark.createDataFrame(rows, raw_schema(ORDERS_SCHEMA)).write.parquet(f"{tmp_path}/orders")
+    orders = spark.read.parquet(f"{tmp_path}/orders").withColumn("note", F.lit("x"))
+    rules = orders_rules()
+    narrow = narrowed_to_count(orders, rules)
+    assert narrow.columns == ["order_num", "order_id", "user_id", "order_timestamp", "total_amount"]
+    summary = validation_summary(label_rows(narrow, rules))
+    assert "date" not in plan_of(summary).split("ReadSchema: ")[1].split("\n")[0]
+
+    def counts(frame, applied=rules):
+        return sorted(map(tuple, label_rows(frame, applied).groupBy("__rule__").count().collect()), key=str)
+
+    assert counts(narrow) == counts(orders)
+    # What comes before the last column that a later rule reads decides, what comes after does not.
+    unique = [UniqueKeyRule(["order_id"])]
+    assert narrowed_to_count(orders, unique).columns == ["order_id"]
+    by_user = [UniqueKeyRule(["order_id"], order_by=["date"]), NotNullRule("user_id")]
+    assert narrowed_to_count(orders, by_user).columns == ["order_num", "order_id", "user_id", "date"]
+    assert counts(narrowed_to_count(orders, by_user), by_user) == counts(orders, by_user)

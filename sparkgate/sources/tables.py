@@ -290,11 +290,12 @@ def _merge(
     source_rows = _checked_count(source, table.schema, keys)
     version = get_table_version(spark, table.path) + 1
     target = table.rows(spark)
+    before = _rows_before(spark, table, target)
     touched, updated = None, 0
-    if source_rows:
+    if source_rows and before:
         touched = staging.write(matched_partitions(target, source, keys, table.partition_cols), "touched")
         updated = touched.agg(F.sum(_ROWS)).first()[0] or 0
-    result = MergeResult(source_rows - updated, updated, _rows_before(spark, table, target) - updated)
+    result = MergeResult(source_rows - updated, updated, before - updated)
     entry = {"version": version, "batch_id": batch_id, **result.__dict__, "details": details}
     if table.history and source_rows:
         _keep_changes(table, target, source, touched, keys, version)
@@ -409,14 +410,16 @@ def _finish_pending(spark: SparkSession, table: Table) -> None:
 
 
 def _keep_changes(
-    table: Table, target: DataFrame, source: DataFrame, touched: DataFrame, keys: list[str], version: int
+    table: Table, target: DataFrame, source: DataFrame, touched: DataFrame | None, keys: list[str], version: int
 ) -> None:
     """Store the rows that the merge replaces as they are, and the keys of those it inserts."""
     for key in keys:
         if not source.filter(F.col(f"`{key}`").isNull()).isEmpty():
             raise NullKeyError(f"a table with history takes no null in merge key '{key}'")
     columns = quoted(table.schema.fieldNames())
-    old = _in_partitions(target, touched.select(*quoted(table.partition_cols)), table.partition_cols)
+    old = target.limit(0)
+    if touched is not None:
+        old = _in_partitions(target, touched.select(*quoted(table.partition_cols)), table.partition_cols)
     replaced = old.join(source.select(*quoted(keys)), keys, "left_semi").select(*columns, F.lit("update").alias(ACTION_COL))
     added = source.select(*quoted(keys)).join(old.select(*quoted(keys)), keys, "left_anti")
     changes = replaced.unionByName(added.withColumn(ACTION_COL, F.lit("insert")), allowMissingColumns=True)

@@ -35,7 +35,8 @@ from sparkgate.schemas import raw_schema, required_columns
 from sparkgate.sources import hadoop
 from sparkgate.sources.staging import StagingArea
 
-DATABASE = "sparkgate_tables"
+# Where the catalog entries go; their files lie elsewhere.
+DATABASE = "default"
 VERSION_COL = "__version__"
 ACTION_COL = "__action__"
 _ROWS, _FILE = "__rows__", "__file__"
@@ -77,7 +78,7 @@ class Table:
     def name(self) -> str:
         """Its name in the catalog, made from its path."""
         last = re.sub(r"\W", "_", self.path.rpartition("/")[2]).lower()
-        return f"`{DATABASE}`.`{last}_{hashlib.md5(self.path.encode()).hexdigest()[:12]}`"
+        return f"`{DATABASE}`.`sparkgate_{last}_{hashlib.md5(self.path.encode()).hexdigest()[:12]}`"
 
     @property
     def insert_order(self) -> list[str]:
@@ -149,7 +150,6 @@ def save_layout(spark: SparkSession, table: Table) -> None:
 
 def _register(spark: SparkSession, table: Table) -> None:
     """Make the catalog know the table, and the partitions there are."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{DATABASE}`")
     ddl = f"CREATE TABLE IF NOT EXISTS {table.name} ({raw_schema(table.schema).toDDL()}) USING parquet"
     if table.partition_cols:
         ddl += f" PARTITIONED BY ({sql_names(table.partition_cols)})"

@@ -10,7 +10,7 @@ import pyspark.sql.functions as F
 from pyspark.sql import DataFrame, Window
 
 from sparkgate.llm.components import components
-from sparkgate.llm.tables import Scratch
+from sparkgate.llm.tables import Scratch, narrow_enough
 
 # Allowance for rounding when sizes are compared.
 _SLACK = 1e-6
@@ -24,15 +24,16 @@ def _grouped(apart: DataFrame, elements: DataFrame) -> DataFrame:
     return nodes.join(groups.withColumnRenamed("class_id", "group"), "node").join(elements, "node")
 
 
-def _differences(rows: DataFrame) -> DataFrame:
+def _differences(rows: DataFrame, scratch: Scratch) -> DataFrame:
     """rows with delta, the elements that are in either the row or its group's centre, not in both.
 
     The centre holds what more than half of the group's rows hold, so it is no larger than twice
     their mean size.
     """
     held = rows.select("group", F.explode("elements").alias("element")).groupBy("group", "element").count()
-    totals = rows.groupBy("group").agg(F.count(F.lit(1)).alias("rows"))
-    most = held.join(totals, "group").filter(2 * F.col("count") > F.col("rows"))
+    totals = scratch.stage(rows.groupBy("group").agg(F.count(F.lit(1)).alias("rows")), "totals")
+    # Sent to all tasks if there are few groups, so that a large group's elements stay spread.
+    most = held.join(narrow_enough(totals, 16), "group").filter(2 * F.col("count") > F.col("rows"))
     centres = most.groupBy("group").agg(F.collect_list("element").alias("centre"))
     centre = F.coalesce("centre", F.array().cast("array<long>"))
     return rows.join(centres, "group", "left").select(
@@ -57,12 +58,13 @@ def spread_links(apart: DataFrame, elements: DataFrame, least: float, scratch: S
     Elements that only one class holds can link nothing; they count as the rarest.
     """
     gap = (1 - least) / (1 + least)
-    rows = scratch.stage(_differences(scratch.stage(_grouped(apart, elements), "groups")), "differences")
+    grouped = scratch.stage(_grouped(apart, elements), "groups")
+    rows = scratch.stage(_differences(grouped, scratch), "differences")
     judged = rows.select(
         "node", "class_id", "group", "size", F.size("delta").alias("n"), (F.size("delta") - gap * F.col("size")).alias("excess")
     )
-    nearest = judged.groupBy("group").agg(F.min(F.struct("excess", "node")).alias("least"))
-    judged = judged.join(nearest, "group").withColumn("close", F.col("excess") + F.col("least.excess") <= _SLACK)
+    nearest = scratch.stage(judged.groupBy("group").agg(F.min(F.struct("excess", "node")).alias("least")), "nearest")
+    judged = judged.join(narrow_enough(nearest, 48), "group").withColumn("close", F.col("excess") + F.col("least.excess") <= _SLACK)
     close = judged.filter("close AND node <> least.node").select(F.col("least.node").alias("a"), F.col("node").alias("b"))
 
     held = rows.select("group", "node", "class_id", F.explode("delta").alias("element"))
@@ -94,5 +96,5 @@ def spread_links(apart: DataFrame, elements: DataFrame, least: float, scratch: S
     alike = apart_by <= gap * (F.col("size_a") + F.col("size_b")) + _SLACK
     checked = pairs.join(first, "a").join(second, "b").filter(alike).select("a", "b")
     links = scratch.stage(close.union(checked), "spread_links")
-    scratch.drop("groups", "differences", "shared_elements", "starts", "meeting")
+    scratch.drop("groups", "totals", "differences", "nearest", "shared_elements", "starts", "meeting")
     return links

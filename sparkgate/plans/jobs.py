@@ -224,18 +224,20 @@ def run_order_items(
     source_path: str | None = None,
     orders_df: DataFrame | None = None,
     orders_path: str | None = None,
+    dense_keys: bool = False,
     **options,
 ) -> dict[str, int]:
     """Order items job over workbooks, or over source_df, checked against orders.
 
     Orders come from orders_df, else from the orders table, which is empty before any order has
-    been loaded. Options are those of run_table_job.
+    been loaded. dense_keys has their ids taken as bitmaps, see ReferentialIntegrityRule. Options are
+    those of run_table_job.
     """
     if orders_df is None:
         orders_path = orders_path or settings.storage.table_path("orders")
         create_table_if_not_exists(spark, ORDERS_SCHEMA, orders_path, PARTITION_COLS["orders"])
         orders_df = read_table(spark, orders_path)
-    job = table_job("order_items", order_items_rules(orders_df))
+    job = table_job("order_items", order_items_rules(orders_df, dense_keys=dense_keys))
 
     def read_source() -> DataFrame:
         if source_df is not None:

@@ -11,7 +11,9 @@ name or as plain Parquet, see catalog.register_table for a name of one's own. Un
 A merge stores the new content of the partitions it touches, and then has Spark overwrite just
 these, by dynamic partition overwrite. Rows match on keys alone, so a partition is touched if it
 holds a matched row or receives one. If a run breaks off in between, the next merge finishes it
-from what is stored; one that breaks off earlier leaves the table as it was. One writer at a time.
+from what is stored; one that breaks off earlier leaves the table as it was. Where no row is
+matched, rows are only appended; if that breaks off before it is published, the same delivery merges
+to the same rows when it comes again. One writer at a time.
 """
 
 from __future__ import annotations
@@ -301,8 +303,12 @@ def _merge(
         _keep_changes(table, target, source, touched, keys, version)
     if not updated:
         if source_rows:
+            # Until the merge is published the ledger's row count cannot be relied on.
+            hadoop.remove(spark, f"{table.path}/pending")
+            hadoop.write_text(spark, f"{table.path}/pending/appending", json.dumps(entry))
             _insert(spark, table, source, overwrite=False)
         _publish(spark, table, entry)
+        hadoop.remove(spark, f"{table.path}/pending")
         return result
 
     old = target
@@ -320,9 +326,9 @@ def _merge(
 
 
 def _rows_before(spark: SparkSession, table: Table, target: DataFrame) -> int:
-    """Row count before the merge, from the ledger; counted from footers if it has none."""
+    """Row count before the merge, from the ledger; counted from footers where that may be wrong."""
     merges = _merges(spark, table.path)
-    if not merges:
+    if not merges or hadoop.exists(spark, f"{table.path}/pending/appending"):
         return target.count()
     last = json.loads(hadoop.read_text(spark, f"{table.path}/merges/{merges[-1][1]}"))
     return last["rows_inserted"] + last["rows_updated"] + last["rows_unchanged"]

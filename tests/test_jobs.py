@@ -133,6 +133,7 @@ def test_order_items_read_the_orders_table(spark, settings):
     run_orders(spark, settings, source_df=orders_of(spark, [(101, 5.0, DAY)]))
     items = items_of(spark, [(1, 101, 0), (2, 102, 1)])
     assert run_order_items(spark, settings, source_df=items)["rejected"] == 1
+    assert run_order_items(spark, settings, source_df=items, dense_keys=True)["rejected"] == 1
 
 
 def test_products_from_csv(spark, settings):

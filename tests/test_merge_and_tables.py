@@ -216,6 +216,19 @@ def test_a_merge_that_broke_off_early_leaves_the_table_alone(spark, tmp_path, mo
     assert rows_of(read_table(spark, path)) == {1: ("a3", "2025-01-02")}
 
 
+def test_an_append_that_broke_off_is_made_good(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    create_table_if_not_exists(spark, SCHEMA, path, ["day"])
+    write_table_merge(spark, frame(spark, [(1, "a", "2025-01-01")]), path, ["k"])
+    fresh = [(2, "b", "2025-01-01"), (3, "c", "2025-01-02")]
+    broken_merge(monkeypatch, spark, path, fresh, "_publish")
+    assert get_table_version(spark, path) == 1
+    assert write_table_merge(spark, frame(spark, fresh), path, ["k"]) == MergeResult(0, 2, 1)
+    assert rows_of(read_table(spark, path)) == {1: ("a", "2025-01-01"), 2: ("b", "2025-01-01"), 3: ("c", "2025-01-02")}
+    assert write_table_merge(spark, frame(spark, [(4, "d", None)]), path, ["k"]) == MergeResult(1, 0, 3)
+    assert not hadoop.exists(spark, f"{path}/pending")
+
+
 def test_a_table_is_found_again_without_its_catalog_entry(spark, tmp_path):
     path = str(tmp_path / "t")
     create_table_if_not_exists(spark, SCHEMA, path, ["day"], keys=["k"], buckets=2)

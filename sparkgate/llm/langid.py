@@ -13,6 +13,8 @@ import pyspark.sql.functions as F
 from pyspark.sql import Column, DataFrame
 from pyspark.sql.pandas.types import from_arrow_schema
 
+from sparkgate.llm.tables import tidied
+
 # Texts are described by their letter n-grams, hashed to so many places.
 PLACES, LONGEST = 1 << 12, 3
 # The machines are fitted on at most so many texts, dealt evenly to the languages, picked by hash.
@@ -189,7 +191,7 @@ def learned(documents: DataFrame) -> LanguageModel:
             if rows:
                 yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*rows), _VECTORS)], schema=_VECTORS)
 
-    rows = picked.select("lang", "text").mapInArrow(vectors, from_arrow_schema(_VECTORS)).collect()
+    rows = picked.select("lang", "text").mapInArrow(tidied(vectors), from_arrow_schema(_VECTORS)).collect()
     # An order of their own, so that the model does not depend on how rows arrive.
     found = sorted((row["lang"], bytes(row["vector"])) for row in rows)
     packed = np.frombuffer(b"".join(vector for _, vector in found), np.float16)
@@ -237,5 +239,5 @@ def languages(
 
     told = [F.sha2(body(F.col("text")), 256).alias(name) for name, _ in hashes]
     return texts.select("doc_id", held_out("doc_id").alias("held_out"), "text", *told).mapInArrow(
-        predict, from_arrow_schema(schema)
+        tidied(predict), from_arrow_schema(schema)
     )

@@ -19,7 +19,7 @@ from sparkgate.llm.components import components
 from sparkgate.llm.darts import bands, mix, signatures
 from sparkgate.llm.exact import content
 from sparkgate.llm.spread import spread_links
-from sparkgate.llm.tables import Scratch, narrow_enough, salt
+from sparkgate.llm.tables import Scratch, narrow_enough, salt, tidied
 
 SHINGLE_WORDS, SIMILARITY = 5, 0.8
 # 42 bands of 6 coordinates: two texts of similarity 0.8 share none with a chance of 3 in a million.
@@ -148,8 +148,9 @@ def _signed(texts: DataFrame, by_count: bool) -> DataFrame:
         for batch in batches:
             for group in _groups(batch):
                 yield sign(group)
+        _known.clear()
 
-    return texts.mapInArrow(run, from_arrow_schema(_SIGNED))
+    return texts.mapInArrow(tidied(run), from_arrow_schema(_SIGNED))
 
 
 def _elements(texts: DataFrame, by_count: bool) -> DataFrame:
@@ -170,8 +171,9 @@ def _elements(texts: DataFrame, by_count: bool) -> DataFrame:
         for batch in batches:
             for group in _groups(batch):
                 yield made(group)
+        _known.clear()
 
-    return texts.mapInArrow(run, from_arrow_schema(_ELEMENTS))
+    return texts.mapInArrow(tidied(run), from_arrow_schema(_ELEMENTS))
 
 
 def _may_be_alike(least: float) -> Column:

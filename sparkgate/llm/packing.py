@@ -12,7 +12,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql.pandas.types import from_arrow_schema
 
-from sparkgate.llm.tables import stage
+from sparkgate.llm.tables import stage, tidied
 from sparkgate.llm.vocabulary import byte_encoder, tokenizer_path
 
 CAPACITY = 1024
@@ -106,7 +106,7 @@ def pieces(
 
     return documents.select(
         F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text")
-    ).mapInArrow(encode, from_arrow_schema(_PIECES))
+    ).mapInArrow(tidied(encode), from_arrow_schema(_PIECES))
 
 
 def pack(
@@ -138,7 +138,7 @@ def pack(
         "window", F.pmod(F.xxhash64("piece", "doc_id"), F.lit(windows))
     ).repartition(tasks, F.xxhash64("doc_id", "piece", "ids_crc32"))
     ordered = dealt.sortWithinPartitions("window", F.desc("length"), "doc_id", "piece", "ids_crc32")
-    return ordered.mapInArrow(place, from_arrow_schema(_PLACED))
+    return ordered.mapInArrow(tidied(place), from_arrow_schema(_PLACED))
 
 
 def packed_documents(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:

@@ -15,20 +15,40 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import types as T
 
 from sparkgate.errors import DuplicateKeyError
+from sparkgate.operators.sieve import KeySieve
 from sparkgate.operators.skew import quoted
 
 # A delivery's keys are covered by so many ranges at most.
 KEY_RANGES = 32
 
 ACTION_COL = "__action__"
+_MAYBE = "__maybe__"
 INSERT, UPDATE, UNCHANGED = "insert", "update", "unchanged"
 
 
-def unmatched_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Target rows no source row has the keys of; a null key matches nothing."""
+def unmatched_rows(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], sieve: KeySieve | None = None
+) -> DataFrame:
+    """Target rows no source row has the keys of; a null key matches nothing.
+
+    With a sieve of the source's keys, rows that it rules out stay where they are.
+    """
+    if sieve is not None:
+        tagged = sieve.tag(target, keys, "__sieve", _MAYBE)
+        ruled_out = tagged.filter(~F.col(_MAYBE)).select(*quoted(target.columns))
+        return ruled_out.unionByName(unmatched_rows(tagged.filter(_MAYBE).drop(_MAYBE), source, keys))
     return target.join(source.select(*quoted(keys)), list(keys), "left_anti").select(*quoted(target.columns))
 
 
+def matched_rows(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], sieve: KeySieve | None = None
+) -> DataFrame:
+    """Target rows a source row has the keys of; rows that the sieve rules out are not shuffled."""
+    if sieve is not None:
+        target = sieve.tag(target, keys, "__sieve", _MAYBE).filter(_MAYBE).drop(_MAYBE)
+    return target.join(source.select(*quoted(keys)), list(keys), "left_semi")
+
+
 def merge_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The target after the merge. Source keys must be unique, and columns as in the target."""
     return unmatched_rows(target, source, keys).unionByName(source.select(*quoted(target.columns)))

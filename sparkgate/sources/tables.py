@@ -31,7 +31,8 @@ from pyspark.sql import types as T
 
 from sparkgate.errors import NullKeyError, SchemaError, SparkgateError, TableMergeError
 from sparkgate.functions.conform import conform
-from sparkgate.operators.merge import key_ranges, require_unique, unmatched_rows, within_ranges
+from sparkgate.operators.merge import key_ranges, matched_rows, require_unique, unmatched_rows, within_ranges
+from sparkgate.operators.sieve import KeySieve, can_sieve, key_sieve
 from sparkgate.operators.skew import quoted
 from sparkgate.schemas import raw_schema, required_columns
 from sparkgate.sources import hadoop
@@ -42,6 +43,8 @@ DATABASE = "default"
 VERSION_COL = "__version__"
 ACTION_COL = "__action__"
 _ROWS, _FILE = "__rows__", "__file__"
+# From so many rows on, the keys of a delivery are boiled down to a sieve for its match.
+SIEVE_ROWS = 200_000
 _LEDGER_SCHEMA = (
     "version bigint, batch_id string, rows_inserted bigint, rows_updated bigint, rows_unchanged bigint, "
     "details map<string,bigint>"
@@ -293,9 +296,12 @@ def _merge(
     version = get_table_version(spark, table.path) + 1
     target = table.rows(spark)
     before = _rows_before(spark, table, target)
-    touched, updated = None, 0
+    touched, updated, sieve = None, 0, None
     if source_rows and before:
-        touched = staging.write(matched_partitions(target, source, keys, table.partition_cols), "touched")
+        # Of a table much larger than the delivery most rows match none of it; buckets stay anyway.
+        if SIEVE_ROWS <= source_rows <= before // 2 and not table.buckets and can_sieve(target, source, keys):
+            sieve = key_sieve(source, keys, source_rows, staging, "sieve")
+        touched = staging.write(matched_partitions(target, source, keys, table.partition_cols, sieve), "touched")
         updated = touched.agg(F.sum(_ROWS)).first()[0] or 0
     result = MergeResult(source_rows - updated, updated, before - updated)
     entry = {"version": version, "batch_id": batch_id, **result.__dict__, "details": details}
@@ -316,7 +322,7 @@ def _merge(
         received = source.select(*quoted(table.partition_cols))
         affected = touched.select(*quoted(table.partition_cols)).union(received).distinct()
         old = _in_partitions(target, staging.write(affected, "affected"), table.partition_cols)
-    merged = unmatched_rows(old, source, keys).unionByName(source.select(*quoted(target.columns)))
+    merged = unmatched_rows(old, source, keys, sieve).unionByName(source.select(*quoted(target.columns)))
     pending = f"{table.path}/pending"
     merged.write.mode("overwrite").parquet(f"{pending}/rows")
     touched.write.mode("overwrite").parquet(f"{pending}/touched")
@@ -335,17 +341,19 @@ def _rows_before(spark: SparkSession, table: Table, target: DataFrame) -> int:
 
 
 def matched_partitions(
-    target: DataFrame, source: DataFrame, keys: Sequence[str], partition_cols: Sequence[str]
+    target: DataFrame, source: DataFrame, keys: Sequence[str], partition_cols: Sequence[str],
+    sieve: KeySieve | None = None,
 ) -> DataFrame:
     """Per partition of the target with rows the source matches: their number, and one of its files.
 
-    Reads keys only, and of those only row groups within the ranges of the source's keys.
+    Reads keys only, and of those only row groups within the ranges of the source's keys; a sieve of
+    these has fewer of them shuffled.
     """
     ranges = key_ranges(source, keys[0])
     rows = target.filter(within_ranges(keys[0], ranges)).select(
         *quoted(dict.fromkeys([*keys, *partition_cols])), F.col("_metadata.file_path").alias(_FILE)
     )
-    matched = rows.join(source.select(*quoted(keys)), list(keys), "left_semi")
+    matched = matched_rows(rows, source, keys, sieve)
     return matched.groupBy(*quoted(partition_cols)).agg(F.count(F.lit(1)).alias(_ROWS), F.min(_FILE).alias(_FILE))
 
 

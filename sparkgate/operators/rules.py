@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import types as T
 
 from sparkgate.operators.key_bitmap import BITS_COL, BUCKET_COL, bucket_of, holds, key_bitmaps
+from sparkgate.operators.sieve import can_sieve, key_sieve
 from sparkgate.operators.skew import (
     SPREAD_WIDTH,
     comparable_columns,
@@ -203,8 +204,8 @@ class UniqueKeyRule(StatefulRule):
     Rows are ranked in two rounds, first in subgroups of their key, then among the subgroups'
     winners, so that no key's rows meet in one task, however many they are. When the ladder looks
     ahead, repeated keys are counted first: with none, no row can fail; if they can be broadcast,
-    only their rows are ranked and all others stay where they are; and one round is enough when
-    none of them is hot.
+    only their rows are ranked and all others stay where they are; if not, so do rows that a sieve
+    of them rules out; and one round is enough when none of them is hot.
     """
 
     def __init__(self, key_columns: list[str], order_by: Sequence[str] = ()) -> None:
@@ -231,15 +232,18 @@ class UniqueKeyRule(StatefulRule):
         repeated = repeated_keys(
             context.preview, self.keys, context.staging, f"{context.prefix}_repeated"
         )
-        size, most = repeated.agg(F.sum(key_width(self.keys)), F.max("n")).first()
+        size, most, count = repeated.agg(F.sum(key_width(self.keys)), F.max("n"), F.count(F.lit(1))).first()
         if size is None:
             return df, F.lit(False)
         split = most > context.hot_rows
-        if size > context.broadcast_bytes:
-            return self._rank(df, context, split, first), fails
-
         contested = f"{context.prefix}_contested"
-        tagged = tag_keys(df, self.keys, repeated, context.prefix, contested)
+        if size <= context.broadcast_bytes:
+            tagged = tag_keys(df, self.keys, repeated, context.prefix, contested)
+        elif can_sieve(df, repeated, self.keys):
+            sieve = key_sieve(repeated, self.keys, count, context.staging, f"{context.prefix}_sieve")
+            tagged = sieve.tag(df, self.keys, context.prefix, contested)
+        else:
+            return self._rank(df, context, split, first), fails
         contest = F.col(contested) & context.alive
         ranked = self._rank(tagged.filter(contest), context, split, first)
         return tagged.filter(~contest).withColumn(first, F.lit(True)).unionByName(ranked), fails
@@ -274,7 +278,7 @@ class ReferentialIntegrityRule(StatefulRule):
     key, which matches nothing and hashes apart, and hot foreign keys are split by adaptive
     execution. When the ladder looks ahead, keys missing from the reference are looked for first,
     among the distinct foreign keys: with none, only nulls fail; if they can be broadcast, rows
-    stay where they are.
+    stay where they are; if not, so do rows that a sieve of them rules out.
 
     dense_keys declares that both columns are integers and the reference's lie close together, as
     counted ids do. The reference is then taken as bitmaps, see operators.key_bitmap, and rows meet
@@ -307,15 +311,31 @@ class ReferentialIntegrityRule(StatefulRule):
             context.preview, self.fk, self.reference_df, self.ref_column,
             context.staging, f"{context.prefix}_missing", dense_keys=self.dense_keys,
         )
-        size = missing.agg(F.sum(key_width([self.fk]))).first()[0]
+        size, count = missing.agg(F.sum(key_width([self.fk])), F.count(F.lit(1))).first()
         if size is None:
             return df, context.alive & foreign.isNull()
-        if size > context.broadcast_bytes:
-            return self._look_up(df, context)
         orphan = f"{context.prefix}_orphan"
-        df = tag_keys(df, [self.fk], missing, context.prefix, orphan)
+        if size <= context.broadcast_bytes:
+            df = tag_keys(df, [self.fk], missing, context.prefix, orphan)
+        elif not self.dense_keys and can_sieve(df, missing, [self.fk]):
+            suspect = f"{context.prefix}_suspect"
+            sieve = key_sieve(missing, [self.fk], count, context.staging, f"{context.prefix}_sieve")
+            df = self._tag_orphans(sieve.tag(df, [self.fk], context.prefix, suspect), suspect, missing, context, orphan)
+        else:
+            return self._look_up(df, context)
         return df, context.alive & (foreign.isNull() | F.col(orphan))
 
+    def _tag_orphans(
+        self, df: DataFrame, suspect: str, missing: DataFrame, context: MarkContext, orphan: str
+    ) -> DataFrame:
+        """df plus a boolean: its foreign key is missing. Only suspect rows are joined with the missing keys."""
+        key = f"{context.prefix}_key"
+        doubtful = context.alive & F.col(suspect) & F.col(f"`{self.fk}`").isNotNull()
+        listed = missing.select(F.col(f"`{self.fk}`").alias(key), F.lit(True).alias(orphan))
+        joined = df.filter(doubtful).join(listed, F.col(f"`{self.fk}`") == F.col(key), "left").drop(key)
+        joined = joined.withColumn(orphan, F.col(orphan).isNotNull())
+        return df.filter(~doubtful).withColumn(orphan, F.lit(False)).unionByName(joined)
+
     def _look_up(self, df: DataFrame, context: MarkContext) -> tuple[DataFrame, Column]:
         key, pad, found = (f"{context.prefix}_{part}" for part in ("key", "pad", "found"))
         ref_key = F.col(f"`{self.ref_column}`")

@@ -8,7 +8,9 @@ import pyspark.sql.functions as F
 import pytest
 from pyspark.sql import types as T
 
+from sparkgate.operators.ladder import label_rows
 from sparkgate.operators.merge import unmatched_rows
+from sparkgate.operators.rules import NotNullRule, ReferentialIntegrityRule, UniqueKeyRule
 from sparkgate.operators.sieve import can_sieve, key_sieve
 from sparkgate.sources import tables
 from sparkgate.sources.staging import StagingArea
@@ -57,6 +59,29 @@ def test_keys_whose_equals_hash_apart_are_not_sieved(spark):
     assert not can_sieve(folded, folded, ["t"])
 
 
+def test_of_keys_too_many_to_broadcast_only_repeated_ones_are_ranked(spark, items):
+    labelled = label_rows(items, [UniqueKeyRule(["id"])], look_ahead=True, broadcast_bytes=0)
+    assert kept_out(spark, labelled) == 1
+    assert labelled.filter("__rule__ = 0").count() == 1_000
+    assert labelled.filter("__rule__ IS NULL").select("id").distinct().count() == 20_000
+
+
+def test_of_orphans_too_many_to_broadcast_only_suspects_are_looked_up(spark, items):
+    orders = spark.range(8_500).withColumnRenamed("id", "order_id")
+    rules = [NotNullRule("order_id"), ReferentialIntegrityRule("order_id", orders, "order_id")]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        labelled = label_rows(items, rules, look_ahead=True, broadcast_bytes=0)
+        # The suspect rows, and the list of missing keys.
+        assert kept_out(spark, labelled) == 2
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    failed = items.filter("order_id >= 8500")
+    assert labelled.filter("__rule__ = 1").drop("__rule__").exceptAll(failed).isEmpty()
+    assert labelled.filter("__rule__ = 1").count() == failed.count() > 0
+    assert labelled.count() == items.count()
+
+
 def test_rows_a_delivery_cannot_match_are_not_shuffled(spark, items):
     delivery = items.filter("id % 40 = 1").withColumn("note", F.lit("new"))
     sieve = key_sieve(delivery, ["id"], 500, StagingArea(spark, "test"), "sieve")
